@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -22,8 +23,6 @@ def recode(df: DataFrame, charset: str = "UTF-8", column: str = "value") -> Data
 
 def _decode(raw: Column, charset: str) -> Column:
     """Decode with replacement; `decode` itself fails on bad bytes and refuses e.g. GBK."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def decode(batch: pd.Series) -> pd.Series:
         return batch.map(lambda b: b.decode(charset, "replace"), na_action="ignore")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, time, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def as_datetime(moment) -> datetime:
@@ -26,10 +26,14 @@ def between_times(df: DataFrame, lo, hi, include_hi: bool = False) -> DataFrame:
     archive was written under another time zone.
     """
     lo, hi = as_datetime(lo), as_datetime(hi)
-    start, end = (F.lit(f"{moment:%Y-%m-%d %H:%M:%S.%f}").cast("timestamp") for moment in (lo, hi))
-    event_time = F.col("event_time")
-    rows = df.filter((event_time >= start) & (event_time <= end if include_hi else event_time < end))
+    event_time, end = F.col("event_time"), _timestamp(hi)
+    rows = df.filter(event_time >= _timestamp(lo))
+    rows = rows.filter(event_time <= end if include_hi else event_time < end)
     if "dt" in df.columns:
         day = timedelta(days=1)
         rows = rows.filter(F.col("dt").between((lo - day).date(), (hi + day).date()))
     return rows
+
+
+def _timestamp(moment: datetime) -> Column:
+    return F.lit(moment.isoformat(" ")).cast("timestamp")

@@ -1,0 +1,222 @@
+import json
+import os
+import shutil
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+
+import clickstream as cs
+from clickstream.streaming import batches
+from tests.conftest import rows
+
+NOW = {"availableNow": True}
+DAYS = ("2024-01-01 10:00:00", "2024-01-02 11:00:00")
+
+
+def entry(i):
+    return json.dumps(
+        {
+            "time": DAYS[i % 2],
+            "openid": f"u{i % 3}",
+            "province": None if i % 5 == 0 else f"P{i % 5}",
+            "cid": str(i % 6),
+            "total_money": i,
+            "event_type": 4 if i % 7 == 0 else 1,
+        }
+    )
+
+
+class Log:
+    """A folder of finished log files and the batch view of it."""
+
+    def __init__(self, spark, folder):
+        self.spark, self.folder, self.files = spark, folder, 0
+        folder.mkdir()
+
+    def add(self, *lines):
+        self.files += 1
+        hidden = self.folder / f"_{self.files}"
+        hidden.write_text("".join(f"{line}\n" for line in lines))
+        hidden.rename(self.folder / f"{self.files}.log")
+
+    def stream(self, max_files=1):
+        return cs.stream_lines(self.spark, str(self.folder), max_files)
+
+    def expected(self, **options):
+        lines = cs.read_lines(self.spark, str(self.folder))
+        return rows(cs.kpi_values(cs.valid(cs.parse_log(lines)), **options), "kpi", "key", "value")
+
+
+@pytest.fixture
+def log(spark, tmp_path):
+    log = Log(spark, tmp_path / "log")
+    log.add(*map(entry, range(40)), "not json", "")
+    log.add(*map(entry, range(40, 60)))
+    log.add(*map(entry, range(60, 100)), '{"openid":"u5"')
+    return log
+
+
+def run(log, where, **options):
+    options.setdefault("state_partitions", 2)
+    query = cs.run_kpis(
+        log.stream(), str(where / "table"), str(where / "checkpoint"), trigger=NOW, **options
+    )
+    query.awaitTermination()
+    return rows(cs.latest_kpis(log.spark, str(where / "table")), "kpi", "key", "value")
+
+
+def test_stream_equals_batch(log, tmp_path):
+    before = log.spark.conf.get("spark.sql.shuffle.partitions")
+    assert run(log, tmp_path) == log.expected()
+    assert sorted(p.name for p in (tmp_path / "table").glob("batch_id=*")) == [
+        "batch_id=0", "batch_id=1", "batch_id=2"
+    ]
+    assert log.spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_kpi_subset_and_event_types(log, tmp_path):
+    got = run(log, tmp_path, kpis=("total", "day"), event_types=[4])
+    assert got == log.expected(kpis=("total", "day"), event_types=[4])
+
+
+def test_own_dim(log, tmp_path):
+    dim = log.spark.createDataFrame([("1", "x"), ("2", "x")], "cid string, category string")
+    assert run(log, tmp_path, dim=dim) == log.expected(dim=dim)
+
+
+def test_restart_changes_nothing_and_goes_on(log, tmp_path):
+    first = run(log, tmp_path)
+    assert run(log, tmp_path) == first
+    log.add(*map(entry, range(100, 130)))
+    assert run(log, tmp_path) == log.expected() != first
+
+
+def test_replayed_batch_changes_nothing(log, tmp_path):
+    first = run(log, tmp_path)
+    for name in ("2", ".2.crc"):
+        os.remove(tmp_path / "checkpoint" / "commits" / name)
+    assert run(log, tmp_path) == first
+    assert log.spark.read.parquet(str(tmp_path / "table")).filter("batch_id > 2").isEmpty()
+
+
+def test_compaction_bounds_the_table(log, tmp_path):
+    for i in range(4, 9):
+        log.add(*map(entry, range(i * 100, i * 100 + 3)))
+    assert run(log, tmp_path, compact_every=3) == log.expected()
+    # Batches 0 to 7; 6 was written whole, so 7 removed what came before it.
+    assert sorted(p.name for p in (tmp_path / "table").glob("batch_id=*")) == [
+        "batch_id=6", "batch_id=7"
+    ]
+
+
+def test_replay_of_a_whole_batch(log, tmp_path):
+    first = run(log, tmp_path, compact_every=2)
+    for name in ("2", ".2.crc"):
+        os.remove(tmp_path / "checkpoint" / "commits" / name)
+    assert run(log, tmp_path, compact_every=2) == first == log.expected()
+
+
+def test_new_checkpoint_with_filled_table_is_refused(log, tmp_path):
+    run(log, tmp_path)
+    shutil.rmtree(tmp_path / "checkpoint")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        run(log, tmp_path)
+
+
+def test_zero_if_empty(spark, log, tmp_path):
+    empty = Log(spark, tmp_path / "empty")
+    empty.add('{"openid":"u"}')
+    assert run(empty, tmp_path, kpis=("total",)) == [("total", "all", None)]
+    shown = cs.latest_kpis(spark, str(tmp_path / "table"), zero_if_empty=True)
+    assert rows(shown, "value") == [(Decimal("0.00"),)]
+
+
+@pytest.mark.parametrize("files_per_day", [None, 2])
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_archive(spark, log, tmp_path, fmt, files_per_day):
+    path = str(tmp_path / "archive")
+    for _ in range(2):  # the second run finds nothing new
+        records = cs.valid(cs.parse_log(log.stream(max_files=3)))
+        cs.archive(
+            records, path, str(tmp_path / "c"), fmt, trigger=NOW, files_per_day=files_per_day
+        ).awaitTermination()
+    back = spark.read.format(fmt).load(path)
+    assert back.count() == 100
+    assert Counter(str(r.dt) for r in back.select("dt").collect()) == {
+        "2024-01-01": 50, "2024-01-02": 50
+    }
+
+
+def kafka_shaped(log):
+    return log.stream().selectExpr(
+        "value", "'access' topic", "cast(length(value) % 2 AS int) partition",
+        "cast(length(value) AS bigint) offset",
+    )
+
+
+def test_batch_steps(spark, log, tmp_path):
+    log.add()  # an empty file: a batch without rows
+    seen = []
+    cs.run_batches(
+        kafka_shaped(log),
+        str(tmp_path / "c"),
+        lambda batch, batch_id: seen.append((batch_id, batch.count(), batch.is_cached)),
+        cs.record_offsets(str(tmp_path / "offsets")),
+        cs.quarantine(str(tmp_path / "bad")),
+        trigger=NOW,
+    ).awaitTermination()
+    assert [n for _, n, _ in seen] == [42, 20, 41]
+    assert all(cached for *_, cached in seen)
+    offsets = spark.read.parquet(str(tmp_path / "offsets"))
+    assert {"batch_id", "topic", "partition", "from_offset", "until_offset"} == set(offsets.columns)
+    assert offsets.select("batch_id").distinct().count() == 3
+    assert rows(spark.read.parquet(str(tmp_path / "bad")), "value", "kind") == [
+        ("", "blank"), ("not json", "corrupt"), ('{"openid":"u5"', "corrupt")
+    ]
+
+
+def test_each_batch_skips_an_empty_batch_and_releases(spark):
+    calls = []
+    step = batches.each_batch(lambda b, i: calls.append(i), lambda b, i: calls.append(i))
+    empty, full = spark.range(0), spark.range(3)
+    step(empty, 0)
+    step(full, 1)
+    assert calls == [1, 1] and not full.is_cached
+
+    def fail(batch, batch_id):
+        raise RuntimeError
+
+    with pytest.raises(RuntimeError):
+        batches.each_batch(fail, fail)(full, 2)
+    assert not full.is_cached
+
+
+def test_default_trigger_runs_until_stopped(log, tmp_path):
+    query = cs.run_kpis(
+        log.stream(3), str(tmp_path / "table"), str(tmp_path / "c"), state_partitions=2
+    )
+    try:
+        query.processAllAvailable()
+        got = rows(cs.latest_kpis(log.spark, str(tmp_path / "table")), "kpi", "key", "value")
+        assert got == log.expected()
+    finally:
+        query.stop()
+
+
+def test_reports(spark, log, tmp_path, capsys):
+    path = str(log.folder)
+    report = cs.line_report(spark, path)
+    assert rows(report["traffic"], "pv_raw", "pv", "uv") == [(103, 100, 3)]
+    assert sum(r.views for r in report["areas"].collect()) == 100
+    assert {r.category for r in report["top_products"].collect()} <= {
+        "books", "clothing", "furniture", "phones", "unknown"
+    }
+    report = cs.sql_report(spark, path, limit=2)
+    assert report["traffic"].first()[1:] == (100, 3)
+    assert report["visitor_provinces"].count() == 2
+
+
+def test_kafka_job_needs_the_connector(spark, tmp_path):
+    with pytest.raises(Exception, match="kafka"):
+        cs.kafka_kpis(spark, "b:1", "t", str(tmp_path / "t"), str(tmp_path / "c"))
