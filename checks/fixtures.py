@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickstream.schema import LOG_FIELDS, TIME_FORMAT
-from clickstream.storage import scratch_dir
+from clickstream.storage import exists, scratch_dir
 
 # Lines of the matrix of malformed lines.
 MALFORMED = [
@@ -37,15 +37,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream of its files; the pattern also admits a single file."""
-    schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
-
-
-def log_from_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
-    """One clean record per event, batch or stream, with `event_id` and `ts`."""
-    events = table(spark, sf_dir, "events") if events is None else events
+def log_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One clean record per event, with `event_id` and `ts`."""
     places = (
         table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
@@ -55,7 +48,7 @@ def log_from_events(spark: SparkSession, sf_dir: str, events: DataFrame | None =
     pid = F.get_json_object("props", "$.k")
     event_type = F.create_map(*[F.lit(x) for pair in EVENT_TYPES.items() for x in pair])
     known = F.expr("event_id % 13 <> 0")
-    return events.join(places, F.col("user_id") == F.col("c_custkey")).select(
+    return table(spark, sf_dir, "events").join(places, F.expr("user_id = c_custkey")).select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         F.date_format("ts", TIME_FORMAT).alias("time"),
@@ -70,9 +63,9 @@ def log_from_events(spark: SparkSession, sf_dir: str, events: DataFrame | None =
     )
 
 
-def kafka_log(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+def kafka_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log as Kafka would deliver it, some lines blank or cut off."""
-    log = log_from_events(spark, sf_dir, events)
+    log = log_from_events(spark, sf_dir)
     text = F.to_json(F.struct(*LOG_FIELDS))
     line = (
         F.when(F.expr("event_id % 101 = 0"), F.lit(""))
@@ -118,7 +111,7 @@ def landed_stream(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFra
 
 def _land(spark, sf_dir, kind, write, source) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _landed:
+    if key not in _landed or not exists(spark, f"{_landed[key]}/_SUCCESS"):
         path = scratch_dir(spark, kind)
         write(source(spark, sf_dir), path)
         _landed[key] = path

@@ -17,16 +17,19 @@ NOW = {"availableNow": True}
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cs.read_lines(spark, fixtures.landed_lines(spark, sf_dir))
+
+
 def _records(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
-    return cs.valid(cs.parse_log(fixtures.raw_lines(spark, sf_dir), fields))
+    return cs.valid(cs.parse_log(_lines(spark, sf_dir), fields))
 
 
 # Batch reports
 
 
 def raw_pv(spark, sf_dir):
-    lines = cs.read_lines(spark, fixtures.landed_lines(spark, sf_dir))
-    return cs.pv_uv_raw(lines)
+    return cs.pv_uv_raw(_lines(spark, sf_dir))
 
 
 def pv_uv(spark, sf_dir):
@@ -40,12 +43,12 @@ def traffic_report(spark, sf_dir):
 
 
 def malformed_lines(spark, sf_dir):
-    bad = cs.malformed(cs.parse_log(fixtures.raw_lines(spark, sf_dir), fields=()))
+    bad = cs.malformed(cs.parse_log(_lines(spark, sf_dir), fields=()))
     return bad.groupBy("kind").agg(F.count(F.lit(1)).alias("lines"))
 
 
 def records(spark, sf_dir):
-    log = cs.valid(cs.parse_log(fixtures.raw_lines(spark, sf_dir)))
+    log = cs.valid(cs.parse_log(_lines(spark, sf_dir)))
     return log.withColumn("event_time", F.col("event_time").cast("string"))
 
 
@@ -145,8 +148,7 @@ def recode_lines(spark, sf_dir):
 
 def _stream_kpi(kpi: str, column: str | None = None, to: str = "string") -> Query:
     def query(spark, sf_dir):
-        events = fixtures.event_stream(spark, sf_dir)
-        stream = cs.envelope(fixtures.kafka_log(spark, sf_dir, events))
+        stream = cs.stream_lines(spark, fixtures.landed_lines(spark, sf_dir))
         values = _kpi_table(spark, stream, kpis=(kpi,))
         key = [F.col("key").cast(to).alias(column)] if column else []
         return values.select(*key, F.col("value").alias("total_money"))

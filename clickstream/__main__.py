@@ -21,20 +21,27 @@ def main(argv=None) -> None:
     kafka.add_argument("--checkpoint", required=True)
     kafka.add_argument("--starting", default="earliest")
     kafka.add_argument("--max-per-trigger", type=int)
+    kafka.add_argument("--min-partitions", type=int)
     kafka.add_argument("--group")
+    kafka.add_argument("--state-partitions", type=int)
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("clickstream").getOrCreate()
     if args.job == "kafka":
+        source = {
+            "starting": args.starting,
+            "max_per_trigger": args.max_per_trigger,
+            "min_partitions": args.min_partitions,
+            "group": args.group,
+        }
         kafka_kpis(
             spark,
             args.brokers,
             args.topics,
             args.table,
             args.checkpoint,
-            args.starting,
-            args.max_per_trigger,
-            args.group,
+            source,
+            state_partitions=args.state_partitions,
         ).awaitTermination()
         return
     report = line_report if args.job == "lines" else sql_report

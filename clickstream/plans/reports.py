@@ -50,11 +50,12 @@ def kafka_kpis(
     topics,
     table: str,
     checkpoint: str,
-    starting: str = "earliest",
-    max_per_trigger: int | None = None,
-    group: str | None = None,
+    source: dict | None = None,
     **options,
 ) -> StreamingQuery:
-    """Start the streaming job: sales indicators of Kafka topics; `options` as in `run_kpis`."""
-    stream = kafka_source(spark, brokers, topics, starting, max_per_trigger, group)
+    """Start the streaming job: sales indicators of Kafka topics.
+
+    `source` holds arguments of `kafka_options`, `options` are those of `run_kpis`.
+    """
+    stream = kafka_source(spark, brokers, topics, **(source or {}))
     return run_kpis(stream, table, checkpoint, **options)

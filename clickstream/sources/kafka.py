@@ -14,36 +14,35 @@ def rate_cap(partitions: int, seconds: float, per_second: int = MAX_RATE_PER_PAR
 
 
 def kafka_options(
-    brokers, topics, starting: str = "earliest", max_per_trigger: int | None = None, group=None
+    brokers,
+    topics,
+    starting: str = "earliest",
+    max_per_trigger: int | None = None,
+    min_partitions: int | None = None,
+    group: str | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source. `topics` is a name or a list of names.
 
     `starting` is "earliest", "latest" or the JSON of `starting_offsets_json`. It serves the
-    first start only; afterwards the checkpoint says where to go on.
+    first start only; afterwards the checkpoint says where to go on. `min_partitions` makes
+    Spark read long partitions in several tasks, so that a topic partition with much of the
+    data does not become one long task.
     """
     options = {
-        "kafka.bootstrap.servers": _joined(brokers),
-        "subscribe": _joined(topics),
+        "kafka.bootstrap.servers": brokers if isinstance(brokers, str) else ",".join(brokers),
+        "subscribe": topics if isinstance(topics, str) else ",".join(topics),
         "startingOffsets": starting,
+        "maxOffsetsPerTrigger": max_per_trigger,
+        "minPartitions": min_partitions,
+        "kafka.group.id": group,
     }
-    if max_per_trigger is not None:
-        options["maxOffsetsPerTrigger"] = str(max_per_trigger)
-    if group is not None:
-        options["kafka.group.id"] = group
-    return options
+    return {name: str(value) for name, value in options.items() if value is not None}
 
 
-def kafka_source(
-    spark: SparkSession,
-    brokers,
-    topics,
-    starting: str = "earliest",
-    max_per_trigger: int | None = None,
-    group=None,
-) -> DataFrame:
-    """Stream of the records of `topics` as `envelope` gives them."""
-    options = kafka_options(brokers, topics, starting, max_per_trigger, group)
-    return envelope(spark.readStream.format("kafka").options(**options).load())
+def kafka_source(spark: SparkSession, brokers, topics, *args, **options) -> DataFrame:
+    """Stream of the records of `topics` as `envelope` gives them; see `kafka_options`."""
+    source = kafka_options(brokers, topics, *args, **options)
+    return envelope(spark.readStream.format("kafka").options(**source).load())
 
 
 def envelope(df: DataFrame) -> DataFrame:
@@ -56,7 +55,3 @@ def envelope(df: DataFrame) -> DataFrame:
         "offset",
         "timestamp",
     )
-
-
-def _joined(names) -> str:
-    return names if isinstance(names, str) else ",".join(names)

@@ -1,4 +1,5 @@
 from clickstream.streaming.batches import (
+    BATCH_INTERVAL,
     archive,
     each_batch,
     quarantine,
@@ -6,7 +7,7 @@ from clickstream.streaming.batches import (
     run_batches,
     write_batch,
 )
-from clickstream.streaming.kpis import BATCH_INTERVAL, run_kpis
+from clickstream.streaming.kpis import run_kpis
 from clickstream.streaming.sinks import KPI_SCHEMA, kpi_sink, latest_kpis
 
 __all__ = [

@@ -9,15 +9,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickstream.functions.parse import malformed, parse_log
 from clickstream.operators.offsets import offset_ranges
-from clickstream.streaming.kpis import BATCH_INTERVAL
 
 Step = Callable[[DataFrame, int], None]
 
+# Fixed value: the interval between batches.
+BATCH_INTERVAL = {"processingTime": "2 seconds"}
 
-def each_batch(*steps: Step) -> Step:
-    """A `foreachBatch` function that runs every step on the batch and skips an empty batch.
 
-    If there are several steps the batch is kept for them, so the source is read once.
+def each_batch(*steps: Step, skip_empty: bool = True) -> Step:
+    """A `foreachBatch` function that runs every step on the batch.
+
+    If there are several steps the batch is kept for them, so the source is read once. An empty
+    batch is skipped; the look whether it is empty reads a little of a batch that is not kept,
+    so it must be turned off after a stateful operator.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -25,7 +29,7 @@ def each_batch(*steps: Step) -> Step:
         if shared:
             batch.persist()
         try:
-            if not batch.isEmpty():
+            if not (skip_empty and batch.isEmpty()):
                 for step in steps:
                     step(batch, batch_id)
         finally:

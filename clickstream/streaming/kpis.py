@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,11 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from clickstream.functions.parse import parse_log, valid
 from clickstream.operators.sales import KPIS, kpi_values
 from clickstream.storage import exists, partition_values
+from clickstream.streaming.batches import BATCH_INTERVAL, Step, each_batch
 from clickstream.streaming.sinks import kpi_sink
 
-# Fixed value: the interval between batches.
-BATCH_INTERVAL = {"processingTime": "2 seconds"}
-
 
 def run_kpis(
     lines: DataFrame,
@@ -27,6 +26,7 @@ def run_kpis(
     compact_every: int = 100,
     state_partitions: int | None = None,
     query_name: str | None = None,
+    also: Sequence[Step] = (),
 ) -> StreamingQuery:
     """Start a query that sums the sales in `lines.value` and keeps the table up to date.
 
@@ -40,6 +40,9 @@ def run_kpis(
     small, so few are enough even where the session has thousands of shuffle partitions. Spark
     fixes the number when a checkpoint is new.
 
+    `also` holds functions of `(changed_rows, batch_id)` that run after the table is written,
+    for instance to push the changed indicators to a key/value store.
+
     A table belongs to one checkpoint. With a new checkpoint the batch numbers start again
     below those in the table, so a new checkpoint with a filled table is refused.
     """
@@ -52,7 +55,7 @@ def run_kpis(
     values = kpi_values(valid(parse_log(lines, fields)), kpis, dim, event_types)
     writer = (
         values.writeStream.outputMode("update")
-        .foreachBatch(kpi_sink(table, compact_every))
+        .foreachBatch(each_batch(kpi_sink(table, compact_every), *also, skip_empty=False))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or BATCH_INTERVAL))
     )

@@ -21,19 +21,20 @@ def kpi_sink(path: str, compact_every: int = 100) -> Callable[[DataFrame, int],
     """A `foreachBatch` function that writes `(kpi, key, value)` rows to the table at `path`.
 
     Every `compact_every` batches the partition holds the latest value of every key instead of
-    the changed ones. The next batch shows that this one is finished and will not run again;
-    it removes the partitions before it. So the table stays at about `compact_every` folders.
+    the changed ones. Once a second whole partition is finished, which the next batch shows,
+    what is older than the first is removed. So the table stays at about twice `compact_every`
+    folders, and a reader has that many batches before folders it has listed go away.
     """
-    finished = []
+    whole_ids = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         changed = batch.select("kpi", "key", "value")
-        while finished and finished[0] < batch_id:
-            whole_id = finished.pop(0)
+        if len(whole_ids) > 1 and whole_ids[-1] < batch_id:
             for old in partition_values(spark, path, "batch_id"):
-                if old < whole_id:
+                if old < whole_ids[0]:
                     delete(spark, f"{path}/batch_id={old}")
+            del whole_ids[:-1]
         whole = batch_id > 0 and batch_id % compact_every == 0
         if whole:
             older = _table(spark, path).filter(F.col("batch_id") < batch_id)
@@ -48,7 +49,7 @@ def kpi_sink(path: str, compact_every: int = 100) -> Callable[[DataFrame, int],
             .parquet(path)
         )
         if whole:
-            finished.append(batch_id)
+            whole_ids.append(batch_id)
 
     return write
 

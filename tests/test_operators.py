@@ -151,13 +151,14 @@ def test_dedup_offsets(spark):
 
 
 def test_kafka_options():
-    assert cs.kafka_options(["a:1", "b:1"], ["t", "s"], max_per_trigger=9, group="g") == {
+    assert cs.kafka_options(["a:1", "b:1"], ["t", "s"], max_per_trigger=9, min_partitions=4) == {
         "kafka.bootstrap.servers": "a:1,b:1",
         "subscribe": "t,s",
         "startingOffsets": "earliest",
         "maxOffsetsPerTrigger": "9",
-        "kafka.group.id": "g",
+        "minPartitions": "4",
     }
+    assert cs.kafka_options("a:1", "t", "latest", group="g")["kafka.group.id"] == "g"
     assert cs.rate_cap(partitions=3, seconds=2) == 6000
 
 

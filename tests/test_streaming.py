@@ -104,9 +104,22 @@ def test_compaction_bounds_the_table(log, tmp_path):
     for i in range(4, 9):
         log.add(*map(entry, range(i * 100, i * 100 + 3)))
     assert run(log, tmp_path, compact_every=3) == log.expected()
-    # Batches 0 to 7; 6 was written whole, so 7 removed what came before it.
+    # Batches 0 to 7; 3 and 6 were written whole, so 7 removed what is older than 3.
     assert sorted(p.name for p in (tmp_path / "table").glob("batch_id=*")) == [
-        "batch_id=6", "batch_id=7"
+        f"batch_id={i}" for i in range(3, 8)
+    ]
+
+
+def test_steps_beside_the_table(log, tmp_path):
+    store = {}
+
+    def push(changed, batch_id):
+        assert changed.is_cached
+        store.update({(r.kpi, r.key): r.value for r in changed.collect()})
+
+    got = run(log, tmp_path, also=[push])
+    assert sorted((*k, v) for k, v in store.items() if None not in k) == [
+        row for row in got if None not in row[:2]
     ]
 
 
@@ -166,7 +179,7 @@ def test_batch_steps(spark, log, tmp_path):
         cs.quarantine(str(tmp_path / "bad")),
         trigger=NOW,
     ).awaitTermination()
-    assert [n for _, n, _ in seen] == [42, 20, 41]
+    assert sorted(n for _, n, _ in seen) == [20, 41, 42]
     assert all(cached for *_, cached in seen)
     offsets = spark.read.parquet(str(tmp_path / "offsets"))
     assert {"batch_id", "topic", "partition", "from_offset", "until_offset"} == set(offsets.columns)
@@ -219,4 +232,6 @@ def test_reports(spark, log, tmp_path, capsys):
 
 def test_kafka_job_needs_the_connector(spark, tmp_path):
     with pytest.raises(Exception, match="kafka"):
-        cs.kafka_kpis(spark, "b:1", "t", str(tmp_path / "t"), str(tmp_path / "c"))
+        cs.kafka_kpis(
+            spark, "b:1", "t", str(tmp_path / "t"), str(tmp_path / "c"), {"min_partitions": 3}
+        )
