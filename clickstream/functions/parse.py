@@ -34,13 +34,12 @@ def parse_log(lines: DataFrame, fields=LOG_FIELDS) -> DataFrame:
     record. Catalyst does not prune a `from_json` that has options, and skipping fields
     halves the parse time; a line is judged malformed or not all the same.
 
-    The struct goes through `inline` instead of a plain projection: a filter on a projected
+    The record goes through `explode` instead of a plain projection: a filter on a projected
     `from_json` is pushed below the projection and parses every line again, once per
     predicate. Nothing is pushed through a generator, so each line is parsed once.
     """
-    schema = log_schema(fields, corrupt=True)
-    record = F.from_json("value", schema, JSON_OPTIONS).alias("_record")
-    parsed = lines.select("*", F.inline(F.array(F.struct(record))))
+    record = F.from_json("value", log_schema(fields, corrupt=True), JSON_OPTIONS)
+    parsed = lines.select("*", F.explode(F.array(record)).alias("_record"))
     ok = F.col("_record").isNotNull() & F.col(f"_record.{CORRUPT}").isNull()
     return typed(parsed.select(*lines.columns, "_record.*", ok.alias("ok")))
 
