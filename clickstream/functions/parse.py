@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from clickstream.schema import CORRUPT, LOG_FIELDS, MONEY, TIME_FORMAT, log_schema
+from clickstream.schema import CORRUPT, LOG_FIELDS, MONEY, TIME_PATTERN, log_schema
 
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
@@ -12,15 +12,18 @@ JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 def typed(df: DataFrame) -> DataFrame:
     """Convert the text fields that carry numbers or times; a bad value becomes null.
 
-    Adds `event_time` (timestamp) and `dt` (date) when `time` is present.
+    Adds `event_time` (timestamp) and `dt` (date) when `time` is present. A cast takes a third
+    of the time of a conversion by format but also accepts times of other forms, hence the
+    pattern before it.
     """
     conversions = {}
     if "event_type" in df.columns:
-        conversions["event_type"] = F.expr("try_cast(event_type AS int)")
+        conversions["event_type"] = F.col("event_type").try_cast("int")
     if "total_money" in df.columns:
-        conversions["total_money"] = F.expr(f"try_cast(total_money AS {MONEY})")
+        conversions["total_money"] = F.col("total_money").try_cast(MONEY)
     if "time" in df.columns:
-        event_time = F.try_to_timestamp("time", F.lit(TIME_FORMAT))
+        time = F.col("time")
+        event_time = F.when(time.rlike(TIME_PATTERN), time.try_cast("timestamp"))
         conversions["event_time"] = event_time
         conversions["dt"] = F.to_date(event_time)
     return df.withColumns(conversions) if conversions else df

@@ -53,13 +53,11 @@ def sales_by_province(df: DataFrame, event_types=None) -> DataFrame:
     return of_types(df, event_types).groupBy("province").agg(_amount())
 
 
-# Indicators that `kpi_values` can compute, with the columns they need of a record.
-KPIS = {
-    "total": (),
-    "day": ("time",),
-    "category": ("cid",),
-    "province": ("province",),
-}
+# Indicators that `kpi_values` can compute, with the field of a record each needs.
+KPIS = {"total": None, "day": "time", "category": "cid", "province": "province"}
+
+# The column of a typed record that an indicator sums by.
+_KEYS = {"day": "dt", "category": "cid", "province": "province"}
 
 
 def kpi_values(
@@ -67,22 +65,25 @@ def kpi_values(
 ) -> DataFrame:
     """All sales indicators in one pass: `(kpi, key, value)`, batch or stream.
 
-    A record becomes one short row per indicator and the rows are summed by (kpi, key). The
-    map-side sums leave a task at most one row per key, so the shuffle and, on a stream, the
-    state are as small as the result, whatever the number of records.
+    The amounts become one short row per indicator, summed by (kpi, key). The map-side sums
+    leave a task at most one row per key, so the shuffle and, on a stream, the state are as
+    small as the result. In batch the amounts are first summed by all keys together, which
+    leaves few rows to multiply and to label; a stream allows only one aggregation.
     """
+    rows = of_types(df, event_types)
+    if not df.isStreaming:
+        rows = rows.groupBy(*[_KEYS[kpi] for kpi in kpis if kpi in _KEYS]).agg(_amount())
+    if "category" in kpis:
+        rows = with_category(rows, dim)
     keys = {
         "total": F.lit(ALL),
         "day": F.col("dt").cast("string"),
         "category": F.col("category"),
         "province": F.col("province"),
     }
-    rows = of_types(df, event_types)
-    if "category" in kpis:
-        rows = with_category(rows, dim)
-    entries = F.array(*[F.struct(F.lit(kpi).alias("kpi"), keys[kpi].alias("key")) for kpi in kpis])
     return (
-        rows.select("total_money", F.inline(entries))
+        rows.select("total_money", *[keys[kpi].alias(kpi) for kpi in kpis])
+        .unpivot("total_money", list(kpis), "kpi", "key")
         .groupBy("kpi", "key")
         .agg(_amount().alias("value"))
     )

@@ -17,9 +17,10 @@ LOG_FIELDS = (
     "total_money",
 )
 
-# Event code of a page view, format of `time`, label of a foreign category code.
+# Event code of a page view, form of `time`, label of a foreign category code.
 VIEW = 1
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TIME_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}\z"
 UNKNOWN_CATEGORY = "unknown"
 
 # Category code, English label, Chinese label.

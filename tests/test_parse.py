@@ -2,10 +2,11 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import clickstream as cs
 from checks.fixtures import MALFORMED
-from clickstream.schema import LOG_FIELDS
+from clickstream.schema import LOG_FIELDS, TIME_FORMAT
 from tests.conftest import rows
 
 # Which lines of the matrix hold a record.
@@ -46,9 +47,21 @@ def test_numbers_as_text_and_text_as_numbers(records):
     ]
 
 
-def test_bad_times_are_null(records):
-    got = records({"time": "2024-02-30 00:00:00"}, {"time": "2024-01-05"}, {"time": None}, {"page": "/"})
-    assert rows(got, "event_time", "dt") == [(None, None)] * 4
+def test_times_of_another_form_are_null(spark, lines):
+    times = [
+        "2024-01-05 10:00:00", "2024-02-29 23:59:59", "0001-01-01 00:00:00", "9999-12-31 00:00:00",
+        "2024-02-30 00:00:00", "2024-01-05 24:00:00", "2024-01-05 10:60:00", "2024-01-05",
+        "2024-1-5 10:00:00", "2024-01-05T10:00:00", "2024-01-05 10:00:00.5", "2024-01-05 10:00",
+        " 2024-01-05 10:00:00", "2024-01-05 10:00:00 ", "2024-01-05 10:00:00\n", "10:00:00",
+        "2024-01-05 10:00:0Z", "-024-01-05 10:00:00", "2024-01-05 10:00:00Z", "bad", "", None,
+    ]
+    log = cs.parse_log(lines(*[{"time": t} for t in times]))
+    strict = F.try_to_timestamp("time", F.lit(TIME_FORMAT))
+    moments = [F.col("event_time").cast("string"), strict.cast("string").alias("strict"), "dt"]
+    got = log.select("time", *moments).collect()
+    assert [r.time for r in got if r.event_time != r.strict] == []
+    assert [r.time for r in got if r.event_time] == times[:4]
+    assert all((r.dt is None) == (r.event_time is None) for r in got)
 
 
 def test_malformed_kinds_and_envelope(spark):

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 
 import clickstream as cs
+from clickstream.__main__ import main
 from clickstream.streaming import batches
 from tests.conftest import rows
 
@@ -230,6 +231,13 @@ def test_reports(spark, log, tmp_path, capsys):
     assert report["visitor_provinces"].count() == 2
 
 
+def test_command_line(log, capsys):
+    main(["lines", str(log.folder)])
+    main(["sql", str(log.folder)])
+    shown = capsys.readouterr().out
+    assert "top_products" in shown and "visitor_provinces" in shown and "103" in shown
+
+
 def test_kafka_job_needs_the_connector(spark, tmp_path):
     with pytest.raises(Exception, match="kafka"):
         cs.kafka_kpis(

@@ -60,6 +60,16 @@ def test_shorter_file_is_read_again(tail):
     assert tail.read() == ["first", "new", "second"]
 
 
+def test_deleted_file(tail):
+    tail.append("a.log", b"one\n")
+    tail.append("b.log", b"two\n")
+    tail.read()
+    os.remove(tail.folder / "a.log")
+    assert tail.read() == ["one", "two"]
+    tail.append("a.log", b"three\n")  # the same name again is a new file
+    assert tail.read() == ["one", "three", "two"]
+
+
 def test_many_small_splits_in_spark(tail):
     lines = [f"line {i} {'x' * (i % 50)}" for i in range(500)]
     tail.append("a.log", "".join(f"{line}\n" for line in lines[:250]).encode())
