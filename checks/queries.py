@@ -159,10 +159,7 @@ def _stream_kpi(kpi: str, column: str | None = None, to: str = "string") -> Quer
 def _kpi_table(spark, stream, **options):
     work = scratch_dir(spark, "kpis")
     table = f"{work}/table"
-    query = cs.run_kpis(
-        stream, table, f"{work}/checkpoint", trigger=NOW, state_partitions=4, **options
-    )
-    query.awaitTermination()
+    cs.run_kpis(stream, table, f"{work}/checkpoint", trigger=NOW, **options).awaitTermination()
     return cs.latest_kpis(spark, table)
 
 

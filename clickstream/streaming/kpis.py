@@ -14,6 +14,8 @@ from clickstream.storage import exists, partition_values
 from clickstream.streaming.batches import BATCH_INTERVAL, Step, each_batch
 from clickstream.streaming.sinks import kpi_sink
 
+STATE_PARTITIONS = 8
+
 
 def run_kpis(
     lines: DataFrame,
@@ -24,7 +26,7 @@ def run_kpis(
     event_types=None,
     trigger: dict | None = None,
     compact_every: int = 100,
-    state_partitions: int | None = None,
+    state_partitions: int | None = STATE_PARTITIONS,
     query_name: str | None = None,
     also: Sequence[Step] = (),
 ) -> StreamingQuery:
@@ -36,9 +38,10 @@ def run_kpis(
     larger than the table. "Today" is the row of the day, so nothing is reset at midnight.
 
     `trigger` is a dict of `trigger()` arguments, every two seconds by default.
-    `state_partitions` sets the number of state partitions for this query alone; the state is
-    small, so few are enough even where the session has thousands of shuffle partitions. Spark
-    fixes the number when a checkpoint is new.
+    `state_partitions` sets the number of state partitions for this query alone; None takes
+    the session's shuffle partitions. The state is small and every partition costs a task and
+    a state file per batch, so few are best even on a large cluster. Spark fixes the number
+    when a checkpoint is new.
 
     `also` holds functions of `(changed_rows, batch_id)` that run after the table is written,
     for instance to push the changed indicators to a key/value store.
