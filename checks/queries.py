@@ -25,6 +25,10 @@ def _records(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
     return cs.valid(cs.parse_log(_lines(spark, sf_dir), fields))
 
 
+def _kafka(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cs.envelope(spark.read.parquet(fixtures.landed_kafka(spark, sf_dir)))
+
+
 # Batch reports
 
 
@@ -118,20 +122,20 @@ def range_filter(spark, sf_dir):
 
 
 def kafka_values(spark, sf_dir):
-    return cs.envelope(fixtures.kafka_log(spark, sf_dir)).select("partition", "offset", "value")
+    return _kafka(spark, sf_dir).select("partition", "offset", "value")
 
 
 def offset_ranges(spark, sf_dir):
-    return cs.offset_ranges(cs.envelope(fixtures.kafka_log(spark, sf_dir)))
+    return cs.offset_ranges(_kafka(spark, sf_dir))
 
 
 def starting_offsets(spark, sf_dir):
-    ranges = cs.offset_ranges(fixtures.kafka_log(spark, sf_dir))
+    ranges = cs.offset_ranges(_kafka(spark, sf_dir))
     return cs.starting_offsets_json(ranges.withColumnRenamed("until_offset", "offset"))
 
 
 def dedup_replay(spark, sf_dir):
-    log = cs.envelope(fixtures.kafka_log(spark, sf_dir))
+    log = _kafka(spark, sf_dir)
     return cs.dedup_offsets(log.union(log)).select("topic", "partition", "offset", "value")
 
 

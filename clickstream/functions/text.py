@@ -5,17 +5,23 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+# Characters Latin-1 does not have.
+FOREIGN = r"[^\x00-\xFF]"
+
 
 def recode(df: DataFrame, charset: str = "UTF-8", column: str = "value") -> DataFrame:
     """Repair text whose bytes were taken for Latin-1 although they are `charset`.
 
     Characters outside Latin-1 count as "?" and undecodable bytes become U+FFFD, so that a
-    dirty line never fails the job. UTF-8, the default, runs on built-in expressions.
+    dirty line never fails the job. UTF-8, the default, runs on built-in expressions and
+    leaves ASCII lines, as many bytes as characters, alone.
     """
-    latin = F.regexp_replace(column, r"[^\x00-\xFF]", "?")
+    text = F.col(column)
+    latin = F.when(text.rlike(FOREIGN), F.regexp_replace(text, FOREIGN, "?")).otherwise(text)
     raw = F.encode(latin, "ISO-8859-1")
     if charset.upper().replace("_", "-") in ("UTF-8", "UTF8"):
-        repaired = F.make_valid_utf8(raw.cast("string"))
+        ascii_only = F.octet_length(text) == F.char_length(text)
+        repaired = F.when(ascii_only, text).otherwise(F.make_valid_utf8(raw.cast("string")))
     else:
         repaired = _decode(raw, charset)
     return df.withColumn(column, repaired)

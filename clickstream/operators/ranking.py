@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 from clickstream.functions.parse import identified
 from clickstream.schema import UNKNOWN_CATEGORY, VIEW, category_dim
 
-# A label table is broadcast only when a count shows that it has at most this many rows.
+# A label table is broadcast only when a look at it shows that it is no larger than this.
 MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 16 << 20
 
 # Above this n Spark no longer limits the groups before the shuffle.
 MAX_GROUP_LIMIT = 1000
@@ -22,8 +23,19 @@ def _lookup(dim: DataFrame | None, spark) -> DataFrame:
     if dim is None:
         return F.broadcast(category_dim(spark))
     unique = dim.groupBy("cid").agg(F.min("category").alias("category"))
-    small = dim.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    return F.broadcast(unique) if small else unique
+    return F.broadcast(unique) if _is_small(dim) else unique
+
+
+def _is_small(dim: DataFrame) -> bool:
+    """Whether the table may be broadcast, reading no more rows than that takes."""
+    size = F.coalesce(F.octet_length("cid"), F.lit(0)) + F.coalesce(
+        F.octet_length("category"), F.lit(0)
+    )
+    look = dim.limit(MAX_BROADCAST_ROWS + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")
+    )
+    found = look.first()
+    return found.rows <= MAX_BROADCAST_ROWS and found.bytes <= MAX_BROADCAST_BYTES
 
 
 def with_category(df: DataFrame, dim: DataFrame | None = None) -> DataFrame:

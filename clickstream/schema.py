@@ -44,7 +44,10 @@ def log_schema(fields=LOG_FIELDS, corrupt: bool = False) -> T.StructType:
     A numeric field declared as a number would turn `{"event_type":"1"}` into a malformed
     line, so numbers are read as text and converted by `typed`.
     """
-    names = [name for name in LOG_FIELDS if name in set(fields)]
+    unknown = set(fields) - set(LOG_FIELDS)
+    if unknown:
+        raise ValueError(f"no fields of a log record: {sorted(unknown)}")
+    names = [name for name in LOG_FIELDS if name in fields]
     if corrupt:
         names.append(CORRUPT)
     return T.StructType([T.StructField(name, T.StringType()) for name in names])

@@ -52,9 +52,9 @@ def run_kpis(
     spark = lines.sparkSession
     if partition_values(spark, table, "batch_id") and not exists(spark, f"{checkpoint}/metadata"):
         raise ValueError(f"{table} has rows of another checkpoint; give a new table")
-    fields = ["total_money", "event_type", *(KPIS[kpi] for kpi in kpis)]
-    if event_types is None:
-        fields.remove("event_type")
+    fields = ["total_money", *(KPIS[kpi] for kpi in kpis if KPIS[kpi])]
+    if event_types is not None:
+        fields.append("event_type")
     values = kpi_values(valid(parse_log(lines, fields)), kpis, dim, event_types)
     writer = (
         values.writeStream.outputMode("update")

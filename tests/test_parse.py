@@ -84,6 +84,18 @@ def test_valid_keeps_the_envelope_and_drops_the_judgement(spark):
     assert record.columns == ["offset", "openid"]
 
 
+def test_single_columns_of_parsed_lines(lines):
+    parsed = cs.parse_log(lines(*MALFORMED))
+    assert rows(parsed.select("openid").dropna()) == [(v,) for v in ("3", "u1", "u2", "u3", "u4")]
+    assert parsed.select("page").count() == 12
+    assert parsed.select("_corrupt").dropna().count() == 4
+
+
+def test_unknown_field_is_refused(lines):
+    with pytest.raises(ValueError, match="opneid"):
+        cs.parse_log(lines("{}"), ["opneid"])
+
+
 def test_null_line_is_malformed(spark):
     lines = spark.createDataFrame([(None,)], "value string")
     assert cs.pv_uv_raw(lines).first().asDict() == {

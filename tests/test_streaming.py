@@ -138,6 +138,23 @@ def test_new_checkpoint_with_filled_table_is_refused(log, tmp_path):
         run(log, tmp_path)
 
 
+def test_failure_between_table_and_commit(log, tmp_path):
+    def fail(changed, batch_id):
+        if batch_id == 1:
+            raise RuntimeError("lost")
+
+    with pytest.raises(Exception, match="lost"):
+        run(log, tmp_path, also=[fail])
+    assert not (tmp_path / "checkpoint" / "commits" / "1").exists()
+    assert (tmp_path / "table" / "batch_id=1").exists()
+    assert run(log, tmp_path) == log.expected()
+
+
+def test_session_state_partitions(log, tmp_path):
+    assert run(log, tmp_path, state_partitions=None) == log.expected()
+    assert len(list((tmp_path / "checkpoint" / "state" / "0").glob("[0-9]*"))) == 8
+
+
 def test_zero_if_empty(spark, log, tmp_path):
     empty = Log(spark, tmp_path / "empty")
     empty.add('{"openid":"u"}')

@@ -1,6 +1,9 @@
 import os
+import re
+from unittest import mock
 
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 
 import clickstream as cs
 from clickstream.sources.tail import Share, TailLogReader
@@ -101,6 +104,28 @@ def test_every_split_size_gives_each_line_once(tmp_path, split):
     assert [v for p in values(source, middle, end) for v in p] == ["ccc", "d", "e", "long long line", "z"]
 
 
+@settings(max_examples=150, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.text("ab \r\n手", max_size=12), min_size=1, max_size=6),
+    st.integers(1, 30),
+    st.integers(1, 9),
+)
+def test_any_growth_any_split(tmp_path_factory, pieces, split, block):
+    """However the file grows and is cut up, each complete line comes once and in order."""
+    path = tmp_path_factory.mktemp("tail") / "a"
+    source = reader(path, splitBytes=str(split))
+    got, start, written = [], {}, ""
+    with mock.patch("clickstream.sources.tail.BLOCK_BYTES", block):
+        for piece in pieces:
+            written += piece
+            path.write_bytes(written.encode())
+            end = source.latestOffset()
+            got += [v for part in values(source, start, end) for v in part]
+            start = end
+    complete = written[: written.rfind("\n") + 1]
+    assert got == [line for line in re.split("\r|\n", complete) if line]
+
+
 def test_blocks_smaller_than_lines(tmp_path, monkeypatch):
     monkeypatch.setattr("clickstream.sources.tail.BLOCK_BYTES", 3)
     (tmp_path / "a").write_bytes(b"abcdefgh\nij\n\nklmnop\ntail")
