@@ -17,8 +17,7 @@ def recode(df: DataFrame, charset: str = "UTF-8", column: str = "value") -> Data
     leaves ASCII lines, as many bytes as characters, alone.
     """
     text = F.col(column)
-    latin = F.when(text.rlike(FOREIGN), F.regexp_replace(text, FOREIGN, "?")).otherwise(text)
-    raw = F.encode(latin, "ISO-8859-1")
+    raw = F.encode(F.regexp_replace(text, FOREIGN, "?"), "ISO-8859-1")
     if charset.upper().replace("_", "-") in ("UTF-8", "UTF8"):
         ascii_only = F.octet_length(text) == F.char_length(text)
         repaired = F.when(ascii_only, text).otherwise(F.make_valid_utf8(raw.cast("string")))
@@ -29,6 +28,7 @@ def recode(df: DataFrame, charset: str = "UTF-8", column: str = "value") -> Data
 
 def _decode(raw: Column, charset: str) -> Column:
     """Decode with replacement; `decode` itself fails on bad bytes and refuses e.g. GBK."""
+
     @F.pandas_udf("string")
     def decode(batch: pd.Series) -> pd.Series:
         return batch.map(lambda b: b.decode(charset, "replace"), na_action="ignore")
