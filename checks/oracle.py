@@ -73,13 +73,26 @@ OFFSETS = """
   FROM lines GROUP BY "partition"
 """
 
-_BODIES = {
-    "raw_pv": """
+RAW_PV = """
         SELECT count(*) AS pv_raw, count(*) FILTER (kind IS NULL) AS parsed,
                count(*) FILTER (kind IS NOT NULL) AS malformed,
                (SELECT count(openid) FROM rec) AS pv,
                (SELECT count(DISTINCT openid) FROM rec) AS uv
-        FROM lines""",
+        FROM lines"""
+
+AREAS = """
+        SELECT openid, province, city, count(*) AS views FROM rec
+        WHERE openid IS NOT NULL GROUP BY openid, province, city"""
+
+_BODIES = {
+    "raw_pv": RAW_PV,
+    "visits": """
+        SELECT true AS ok, openid, province, city, count(*) AS views
+        FROM rec GROUP BY openid, province, city
+        UNION ALL SELECT false, NULL, NULL, NULL, count(*) FROM lines
+        WHERE kind IS NOT NULL HAVING count(*) > 0""",
+    "visits_traffic": RAW_PV,
+    "visits_areas": AREAS,
     "pv_uv": """
         SELECT count(*) AS pv, count(DISTINCT openid) AS uv FROM rec WHERE openid IS NOT NULL""",
     "traffic_report": f"""
@@ -89,9 +102,7 @@ _BODIES = {
         SELECT kind, count(*) AS lines FROM lines WHERE kind IS NOT NULL GROUP BY kind""",
     "records": f"SELECT {RECORD} FROM rec",
     "identified_json": f"SELECT {RECORD} FROM rec WHERE openid IS NOT NULL",
-    "area_distribution": """
-        SELECT openid, province, city, count(*) AS views FROM rec
-        WHERE openid IS NOT NULL GROUP BY openid, province, city""",
+    "area_distribution": AREAS,
     "area_by_place": """
         SELECT province, city, count(*) AS views FROM rec
         WHERE openid IS NOT NULL GROUP BY province, city""",

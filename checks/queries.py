@@ -36,6 +36,18 @@ def raw_pv(spark, sf_dir):
     return cs.pv_uv_raw(_lines(spark, sf_dir))
 
 
+def visits(spark, sf_dir):
+    return cs.visits(_lines(spark, sf_dir))
+
+
+def visits_traffic(spark, sf_dir):
+    return cs.pv_uv_raw_of(cs.visits(_lines(spark, sf_dir)))
+
+
+def visits_areas(spark, sf_dir):
+    return cs.areas_of(cs.visits(_lines(spark, sf_dir)))
+
+
 def pv_uv(spark, sf_dir):
     return cs.pv_uv(_records(spark, sf_dir, "openid"))
 
@@ -226,6 +238,9 @@ def stream_quarantine(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "raw_pv": raw_pv,
+    "visits": visits,
+    "visits_traffic": visits_traffic,
+    "visits_areas": visits_areas,
     "pv_uv": pv_uv,
     "traffic_report": traffic_report,
     "malformed_lines": malformed_lines,

@@ -11,12 +11,14 @@ from clickstream.functions import (
 )
 from clickstream.operators import (
     area_distribution,
+    areas_of,
     category_product_views,
     dedup_offsets,
     kpi_values,
     offset_ranges,
     pv_uv,
     pv_uv_raw,
+    pv_uv_raw_of,
     register_log,
     sales_between,
     sales_by_category,
@@ -28,6 +30,7 @@ from clickstream.operators import (
     total_sales,
     traffic_report,
     visitor_provinces,
+    visits,
     with_category,
 )
 from clickstream.plans import kafka_kpis, line_report, sql_report
@@ -58,6 +61,7 @@ __all__ = [
     "LOG",
     "archive",
     "area_distribution",
+    "areas_of",
     "between_times",
     "category_dim",
     "category_product_views",
@@ -78,6 +82,7 @@ __all__ = [
     "parse_log",
     "pv_uv",
     "pv_uv_raw",
+    "pv_uv_raw_of",
     "quarantine",
     "rate_cap",
     "read_json",
@@ -102,6 +107,7 @@ __all__ = [
     "typed",
     "valid",
     "visitor_provinces",
+    "visits",
     "with_category",
     "write_batch",
 ]

@@ -11,21 +11,26 @@ from clickstream.operators.sales import (
 )
 from clickstream.operators.traffic import (
     area_distribution,
+    areas_of,
     pv_uv,
     pv_uv_raw,
+    pv_uv_raw_of,
     register_log,
     traffic_report,
     visitor_provinces,
+    visits,
 )
 
 __all__ = [
     "area_distribution",
+    "areas_of",
     "category_product_views",
     "dedup_offsets",
     "kpi_values",
     "offset_ranges",
     "pv_uv",
     "pv_uv_raw",
+    "pv_uv_raw_of",
     "register_log",
     "sales_between",
     "sales_by_category",
@@ -37,5 +42,6 @@ __all__ = [
     "total_sales",
     "traffic_report",
     "visitor_provinces",
+    "visits",
     "with_category",
 ]

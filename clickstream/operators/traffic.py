@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickstream.functions.parse import identified, parse_log
 
@@ -27,6 +27,37 @@ def pv_uv_raw(lines: DataFrame) -> DataFrame:
     )
 
 
+def visits(lines: DataFrame) -> DataFrame:
+    """Lines counted as `views` per `ok`, visitor, province and city.
+
+    Several reports come from this one pass over the log: `pv_uv_raw_of` gives the row of
+    `pv_uv_raw`, `areas_of` that of `area_distribution`. Persist it to share the pass.
+    """
+    keys = ["openid", "province", "city"]
+    return parse_log(lines, keys).groupBy("ok", *keys).agg(F.count(F.lit(1)).alias("views"))
+
+
+def pv_uv_raw_of(visits: DataFrame) -> DataFrame:
+    """The row of `pv_uv_raw` from counted lines."""
+    known = F.col("ok") & F.col("openid").isNotNull()
+
+    def views_if(condition) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("views"))), F.lit(0).cast("bigint"))
+
+    return visits.agg(
+        views_if(F.lit(True)).alias("pv_raw"),
+        views_if(F.col("ok")).alias("parsed"),
+        views_if(~F.col("ok")).alias("malformed"),
+        views_if(known).alias("pv"),
+        F.countDistinct(F.when(known, F.col("openid"))).alias("uv"),
+    )
+
+
+def areas_of(visits: DataFrame) -> DataFrame:
+    """The rows of `area_distribution` from counted lines."""
+    return identified(visits.filter("ok")).drop("ok")
+
+
 def pv_uv(df: DataFrame) -> DataFrame:
     """One row: views (`pv`) and distinct visitors (`uv`) of identified records."""
     return identified(df).agg(

@@ -9,28 +9,36 @@ from clickstream.functions.parse import parse_log, valid
 from clickstream.operators.ranking import top_products
 from clickstream.operators.traffic import (
     area_distribution,
+    areas_of,
     pv_uv_raw,
+    pv_uv_raw_of,
     traffic_report,
     visitor_provinces,
+    visits,
 )
 from clickstream.sources.files import read_json, read_lines
 from clickstream.sources.kafka import kafka_source
 from clickstream.streaming.kpis import run_kpis
 
 
-def line_report(spark: SparkSession, path, dim: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Report on raw lines: `traffic`, `areas` and `top_products`.
+def line_report(
+    spark: SparkSession, path, dim: DataFrame | None = None, share: bool = False
+) -> dict[str, DataFrame]:
+    """Report on raw lines: `traffic`, `areas` and `top_products`, all lazy.
 
-    Each is a lazy DataFrame that scans the log once and parses only the fields it needs.
+    Each scans the log once and parses only the fields it needs. With `share` the first two
+    come from `visits`, also in the result and kept on first use, with one scan between them.
+    That pays where a visitor has many lines, `visits` then being small; `unpersist` it after.
     """
     lines = read_lines(spark, path)
-    visits = valid(parse_log(lines, fields=["openid", "province", "city"]))
     views = valid(parse_log(lines, fields=["openid", "event_type", "cid", "pid"]))
-    return {
-        "traffic": pv_uv_raw(lines),
-        "areas": area_distribution(visits),
-        "top_products": top_products(views, dim),
-    }
+    rankings = {"top_products": top_products(views, dim)}
+    if share:
+        counted = visits(lines).persist()
+        traffic = {"traffic": pv_uv_raw_of(counted), "areas": areas_of(counted)}
+        return traffic | rankings | {"visits": counted}
+    records = valid(parse_log(lines, fields=["openid", "province", "city"]))
+    return {"traffic": pv_uv_raw(lines), "areas": area_distribution(records)} | rankings
 
 
 def sql_report(

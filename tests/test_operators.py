@@ -27,6 +27,13 @@ def test_traffic_report(spark, records):
     assert spark.sql("SELECT count(*) FROM tb_pvuv").first()[0] == 4
 
 
+def test_visits_of_no_lines(spark):
+    none = spark.createDataFrame([], "value string")
+    expected = cs.pv_uv_raw(none)
+    assert cs.pv_uv_raw_of(cs.visits(none)).first() == expected.first()
+    assert cs.pv_uv_raw_of(cs.visits(none)).dtypes == expected.dtypes
+
+
 def test_area_distribution(records):
     asia = {"openid": "a", "province": "ASIA", "city": "X"}
     log = records(asia, asia, {**asia, "openid": "b"}, {**asia, "openid": None}, {"openid": "a"})
@@ -196,6 +203,9 @@ def test_sums_and_counts_agree(lines, values):
     assert counts.parsed + counts.malformed == counts.pv_raw
     assert sum(r.views for r in cs.area_distribution(log).collect()) == counts.pv
     assert rows(cs.pv_uv(log)) == [(counts.pv, counts.uv)]
+    counted = cs.visits(raw)
+    assert cs.pv_uv_raw_of(counted).first() == counts
+    assert rows(cs.areas_of(counted)) == rows(cs.area_distribution(log))
 
     def total(df):
         return sum(r[-1] for r in df.collect() if r[-1] is not None)

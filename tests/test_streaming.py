@@ -238,8 +238,15 @@ def test_default_trigger_runs_until_stopped(log, tmp_path):
 def test_reports(spark, log, tmp_path, capsys):
     path = str(log.folder)
     report = cs.line_report(spark, path)
+    assert "visits" not in report
+    shared = cs.line_report(spark, path, share=True)
     assert rows(report["traffic"], "pv_raw", "pv", "uv") == [(103, 100, 3)]
     assert sum(r.views for r in report["areas"].collect()) == 100
+    for name in ("traffic", "areas", "top_products"):
+        assert rows(shared[name]) == rows(report[name])
+    plan = shared["traffic"]._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryTableScan" in plan
+    shared["visits"].unpersist()
     assert {r.category for r in report["top_products"].collect()} <= {
         "books", "clothing", "furniture", "phones", "unknown"
     }
