@@ -39,24 +39,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def log_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One clean record per event, with `event_id` and `ts`."""
-    places = (
-        table(spark, sf_dir, "customer")
+    # One lookup after the other: Spark knows the size of each table and broadcasts the small
+    # ones, which it cannot tell of a join of them.
+    events = (
+        table(spark, sf_dir, "events")
+        .join(table(spark, sf_dir, "customer"), F.expr("user_id = c_custkey"))
         .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
-        .select("c_custkey", F.col("r_name").alias("province"), F.col("n_name").alias("city"))
     )
     pid = F.get_json_object("props", "$.k")
     event_type = F.create_map(*[F.lit(x) for pair in EVENT_TYPES.items() for x in pair])
     known = F.expr("event_id % 13 <> 0")
-    return table(spark, sf_dir, "events").join(places, F.expr("user_id = c_custkey")).select(
+    return events.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
         F.date_format("ts", TIME_FORMAT).alias("time"),
         F.concat(F.lit("/p/"), pid).alias("page"),
         F.when(known, F.concat(F.lit("u"), F.col("user_id").cast("string"))).alias("openid"),
         event_type[F.col("event_type")].alias("event_type"),
-        "province",
-        "city",
+        F.col("r_name").alias("province"),
+        F.col("n_name").alias("city"),
         (pid.cast("int") % 5 + 1).cast("string").alias("cid"),
         pid.alias("pid"),
         F.col("value").cast("decimal(18,2)").alias("total_money"),

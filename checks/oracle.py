@@ -58,6 +58,7 @@ VIEWS = """
   WHERE event_type = 1 AND cid IS NOT NULL AND openid IS NOT NULL GROUP BY category, pid
 """
 TOTAL = f"SELECT {AMOUNT} FROM rec"
+TODAY = f"{TOTAL} WHERE time >= '{AS_OF[:10]} 00:00:00' AND time <= '{AS_OF}'"
 BY_DAY = f"SELECT dt, {AMOUNT} FROM rec GROUP BY dt"
 BY_CATEGORY = f"SELECT category, {AMOUNT} FROM rec GROUP BY category"
 BY_PROVINCE = f"SELECT province, {AMOUNT} FROM rec GROUP BY province"
@@ -117,8 +118,7 @@ _BODIES = {
           SELECT *, row_number() OVER (PARTITION BY category ORDER BY views DESC, pid) AS "rank"
           FROM ({VIEWS})) WHERE "rank" <= 2""",
     "total_sales": TOTAL,
-    "sales_today": f"""
-        {TOTAL} WHERE time >= '{AS_OF[:10]} 00:00:00' AND time <= '{AS_OF}'""",
+    "sales_today": TODAY,
     "sales_by_day": BY_DAY,
     "sales_by_category": BY_CATEGORY,
     "sales_by_province": BY_PROVINCE,
@@ -144,6 +144,7 @@ _BODIES = {
     "stream_sales_by_province": BY_PROVINCE,
     "stream_kpis": KPIS,
     "stream_archive": f"SELECT {RECORD} FROM rec",
+    "archive_sales_today": TODAY,
     "stream_tail": "SELECT value FROM lines WHERE value <> ''",
     "stream_offset_ranges": OFFSETS,
     "stream_quarantine": """

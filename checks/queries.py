@@ -183,15 +183,23 @@ def stream_kpis(spark, sf_dir):
     return _kpi_table(spark, cs.envelope(fixtures.landed_stream(spark, sf_dir)))
 
 
-def stream_archive(spark, sf_dir):
+def _archive(spark, sf_dir):
     work = scratch_dir(spark, "archive")
     stream = fixtures.landed_stream(spark, sf_dir).select(F.col("value").cast("string"))
     log = cs.valid(cs.parse_log(stream))
     cs.archive(log, f"{work}/log", f"{work}/checkpoint", trigger=NOW).awaitTermination()
-    archived = spark.read.parquet(f"{work}/log")
+    return spark.read.parquet(f"{work}/log")
+
+
+def stream_archive(spark, sf_dir):
+    archived = _archive(spark, sf_dir)
     return archived.withColumn("event_time", F.col("event_time").cast("string"))
 
 
+def archive_sales_today(spark, sf_dir):
+    return cs.sales_today(_archive(spark, sf_dir), AS_OF)
+
+
 def stream_tail(spark, sf_dir):
     cs.register_tail(spark)
     work = scratch_dir(spark, "tail")
@@ -270,6 +278,7 @@ QUERIES: dict[str, Query] = {
     "stream_sales_by_province": _stream_kpi("province", "province"),
     "stream_kpis": stream_kpis,
     "stream_archive": stream_archive,
+    "archive_sales_today": archive_sales_today,
     "stream_tail": stream_tail,
     "stream_offset_ranges": stream_offset_ranges,
     "stream_quarantine": stream_quarantine,

@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from clickstream.plans import kafka_kpis, line_report, sql_report
+from clickstream.streaming.kpis import STATE_PARTITIONS
 
 
 def main(argv=None) -> None:
@@ -23,7 +24,7 @@ def main(argv=None) -> None:
     kafka.add_argument("--max-per-trigger", type=int)
     kafka.add_argument("--min-partitions", type=int)
     kafka.add_argument("--group")
-    kafka.add_argument("--state-partitions", type=int)
+    kafka.add_argument("--state-partitions", type=int, default=STATE_PARTITIONS)
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("clickstream").getOrCreate()

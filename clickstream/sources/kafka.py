@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickstream.operators.offsets import starting_offsets_json
+
 # Fixed value: records a second read from each partition.
 MAX_RATE_PER_PARTITION = 1000
 
@@ -16,18 +18,21 @@ def rate_cap(partitions: int, seconds: float, per_second: int = MAX_RATE_PER_PAR
 def kafka_options(
     brokers,
     topics,
-    starting: str = "earliest",
+    starting: str | DataFrame = "earliest",
     max_per_trigger: int | None = None,
     min_partitions: int | None = None,
     group: str | None = None,
 ) -> dict[str, str]:
     """Options of the Kafka source. `topics` is a name or a list of names.
 
-    `starting` is "earliest", "latest" or the JSON of `starting_offsets_json`. It serves the
-    first start only; afterwards the checkpoint says where to go on. `min_partitions` makes
-    Spark read long partitions in several tasks, so that a topic partition with much of the
-    data does not become one long task.
+    `starting` is "earliest", "latest" or saved positions, as a DataFrame for
+    `starting_offsets_json` or as its JSON; Spark wants all partitions of the topics in it. It
+    serves the first start only; afterwards the checkpoint says where to go on.
+    `min_partitions` makes Spark read long partitions in several tasks, so that a topic
+    partition with much of the data does not become one long task.
     """
+    if isinstance(starting, DataFrame):
+        starting = starting_offsets_json(starting).first().starting_offsets
     options = {
         "kafka.bootstrap.servers": brokers if isinstance(brokers, str) else ",".join(brokers),
         "subscribe": topics if isinstance(topics, str) else ",".join(topics),

@@ -15,6 +15,9 @@ covers have gone when a task comes to read them.
 Rows: `value`, one line without its end, and `path`. Empty lines are dropped, lines of spaces
 are not. A line is emitted once it ends in a newline. A file that has become shorter than its
 saved position is read again from its start. The positions are kept in the checkpoint.
+
+With the trigger `availableNow` a run makes one batch; if an earlier run was killed within a batch,
+that one is finished first and the lines after it wait for the next run.
 """
 
 from __future__ import annotations
@@ -109,10 +112,11 @@ class TailLogReader(DataSourceStreamReader):
         for path, lo, hi, first in partition.slices:
             for block in self._blocks(path, lo, hi, first):
                 text = block.replace(b"\r\n", b"\n").replace(b"\r", b"\n")
-                values = [line.decode(self.charset, "replace") for line in text.split(b"\n") if line]
-                if values:
-                    columns = [pa.array(values, pa.string()), pa.array([path] * len(values), pa.string())]
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                lines = [line for line in text.split(b"\n") if line]
+                if lines:
+                    values = pa.array([line.decode(self.charset, "replace") for line in lines])
+                    paths = pa.array([path] * len(lines))
+                    yield pa.RecordBatch.from_arrays([values, paths], names)
 
     def _files(self) -> list[str]:
         if os.path.isdir(self.path):

@@ -18,14 +18,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm_path)
 
 
-def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
-    """The values of an integer partition column, from the names of the directories."""
+def names(spark: SparkSession, path: str) -> list[str]:
+    """What the folder holds; nothing if it does not exist."""
     fs, jvm_path = _path(spark, path)
     if not fs.exists(jvm_path):
         return []
-    names = [status.getPath().getName() for status in fs.listStatus(jvm_path)]
+    return [status.getPath().getName() for status in fs.listStatus(jvm_path)]
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
+    """The values of an integer partition column, from the names of the folders."""
     prefix = f"{column}="
-    return sorted(int(name[len(prefix) :]) for name in names if name.startswith(prefix))
+    found = [name[len(prefix) :] for name in names(spark, path) if name.startswith(prefix)]
+    return sorted(map(int, found))
 
 
 def delete(spark: SparkSession, path: str) -> None:

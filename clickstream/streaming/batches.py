@@ -51,7 +51,9 @@ def run_batches(
     )
 
 
-def write_batch(path: str, transform: Callable[[DataFrame], DataFrame], fmt: str = "parquet") -> Step:
+def write_batch(
+    path: str, transform: Callable[[DataFrame], DataFrame], fmt: str = "parquet"
+) -> Step:
     """A step that writes what `transform` makes of the batch below `path/batch_id=...`.
 
     The batch's own folder is overwritten, so a batch that runs again is not written twice.

@@ -12,7 +12,7 @@ from clickstream.functions.parse import parse_log, valid
 from clickstream.operators.sales import KPIS, kpi_values
 from clickstream.storage import exists, partition_values
 from clickstream.streaming.batches import BATCH_INTERVAL, Step, each_batch
-from clickstream.streaming.sinks import kpi_sink
+from clickstream.streaming.sinks import kpi_sink, remove_remains
 
 STATE_PARTITIONS = 8
 
@@ -46,12 +46,13 @@ def run_kpis(
     `also` holds functions of `(changed_rows, batch_id)` that run after the table is written,
     for instance to push the changed indicators to a key/value store.
 
-    A table belongs to one checkpoint. With a new checkpoint the batch numbers start again
+    A table belongs to one checkpoint and one running query. With a new checkpoint the batch numbers start again
     below those in the table, so a new checkpoint with a filled table is refused.
     """
     spark = lines.sparkSession
     if partition_values(spark, table, "batch_id") and not exists(spark, f"{checkpoint}/metadata"):
         raise ValueError(f"{table} has rows of another checkpoint; give a new table")
+    remove_remains(spark, table)
     fields = ["total_money", *(KPIS[kpi] for kpi in kpis if KPIS[kpi])]
     if event_types is not None:
         fields.append("event_type")

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickstream.schema import MONEY_SUM
-from clickstream.storage import delete, partition_values
+from clickstream.storage import delete, names, partition_values
 
 KPI_SCHEMA = f"kpi string, key string, value {MONEY_SUM}, batch_id bigint"
 
@@ -54,6 +54,13 @@ def kpi_sink(path: str, compact_every: int = 100) -> Callable[[DataFrame, int],
     return write
 
 
+def remove_remains(spark: SparkSession, path: str) -> None:
+    """Remove what a killed writer of the table left. The table must have no writer now."""
+    for name in names(spark, path):
+        if name.startswith(".spark-staging-"):
+            delete(spark, f"{path}/{name}")
+
+
 def latest_kpis(spark: SparkSession, path: str, zero_if_empty: bool = False) -> DataFrame:
     """The current `(kpi, key, value)` rows; `zero_if_empty` shows a null value as 0."""
     latest = _latest(_table(spark, path))

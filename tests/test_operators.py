@@ -65,7 +65,8 @@ def test_with_category(spark, records):
         [("1", "books"), ("4", "phones"), ("9", "unknown"), (None, "unknown")], key=repr
     )
     chinese = cs.with_category(log, cs.category_dim(spark, "zh"))
-    assert Counter(r.category for r in chinese.collect()) == {"图书": 1, "手机": 1, "unknown": 2}
+    labels = Counter(r.category for r in chinese.collect())
+    assert labels == {"图书": 1, "手机": 1, "unknown": 2}
 
 
 def test_ambiguous_dim_does_not_multiply_rows(spark, records):
@@ -150,6 +151,8 @@ def test_offsets(spark):
     text = cs.starting_offsets_json(ranges.withColumnRenamed("until_offset", "offset")).first()[0]
     assert json.loads(text) == {"t": {"0": 8, "2": 4, "10": 2}, "s": {"0": 1}}
     assert text.index('"2"') < text.index('"10"')
+    saved = ranges.withColumnRenamed("until_offset", "offset")
+    assert cs.kafka_options("a:1", "t", saved)["startingOffsets"] == text
 
 
 def test_dedup_offsets(spark):

@@ -150,6 +150,12 @@ def test_failure_between_table_and_commit(log, tmp_path):
     assert run(log, tmp_path) == log.expected()
 
 
+def test_remains_of_a_killed_writer_are_removed(log, tmp_path):
+    (tmp_path / "table" / ".spark-staging-1" / "batch_id=0").mkdir(parents=True)
+    assert run(log, tmp_path) == log.expected()
+    assert not (tmp_path / "table" / ".spark-staging-1").exists()
+
+
 def test_session_state_partitions(log, tmp_path):
     assert run(log, tmp_path, state_partitions=None) == log.expected()
     assert len(list((tmp_path / "checkpoint" / "state" / "0").glob("[0-9]*"))) == 8
