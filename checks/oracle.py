@@ -112,6 +112,7 @@ _BODIES = {
     "first_visitor_provinces": """
         SELECT DISTINCT openid, province FROM rec WHERE openid IS NOT NULL
         ORDER BY openid, province LIMIT 10""",
+    "labelled_records": "SELECT cid, category, pid, total_money FROM rec",
     "category_product_views": VIEWS,
     "top_products": f"""
         SELECT category, pid, views, "rank" FROM (

@@ -91,6 +91,11 @@ def first_visitor_provinces(spark, sf_dir):
     return cs.sql_report(spark, path)["visitor_provinces"]
 
 
+def labelled_records(spark, sf_dir):
+    log = _records(spark, sf_dir, "cid", "pid", "total_money")
+    return cs.with_category(log).select("cid", "category", "pid", "total_money")
+
+
 def category_product_views(spark, sf_dir):
     return cs.category_product_views(
         _records(spark, sf_dir, "openid", "event_type", "cid", "pid")
@@ -258,6 +263,7 @@ QUERIES: dict[str, Query] = {
     "area_by_place": area_by_place,
     "visitor_provinces": visitor_provinces,
     "first_visitor_provinces": first_visitor_provinces,
+    "labelled_records": labelled_records,
     "category_product_views": category_product_views,
     "top_products": top_products,
     "total_sales": total_sales,

@@ -27,6 +27,7 @@ import os
 import sys
 import warnings
 from collections.abc import Iterator
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -62,7 +63,10 @@ class TailLogReader(DataSourceStreamReader):
     def __init__(self, options):
         if not options.get("path"):
             raise ValueError("tail_log needs the option 'path'")
-        self.path = options["path"]
+        url = urlsplit(options["path"])
+        if url.scheme not in ("", "file"):
+            raise ValueError(f"tail_log reads mounted files only, not {options['path']}")
+        self.path = url.path if url.scheme else options["path"]
         self.charset = options.get("charset", "utf-8")
         "".encode(self.charset)
         self.split_bytes = int(options.get("splitBytes", SPLIT_BYTES))

@@ -46,8 +46,9 @@ def run_kpis(
     `also` holds functions of `(changed_rows, batch_id)` that run after the table is written,
     for instance to push the changed indicators to a key/value store.
 
-    A table belongs to one checkpoint and one running query. With a new checkpoint the batch numbers start again
-    below those in the table, so a new checkpoint with a filled table is refused.
+    A table belongs to one checkpoint and one running query. With a new checkpoint the batch
+    numbers start again below those in the table, so a new checkpoint with a filled table is
+    refused.
     """
     spark = lines.sparkSession
     if partition_values(spark, table, "batch_id") and not exists(spark, f"{checkpoint}/metadata"):

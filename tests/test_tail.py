@@ -99,9 +99,10 @@ def test_every_split_size_gives_each_line_once(tmp_path, split):
     source = reader(tmp_path, splitBytes=str(split))
     end = source.latestOffset()
     parts = values(source, {}, end)
-    assert [v for part in parts for v in part] == ["a", "bb", "ccc", "d", "e", "long long line", "z"]
+    lines = ["a", "bb", "ccc", "d", "e", "long long line", "z"]
+    assert [v for part in parts for v in part] == lines
     middle = {str(tmp_path / "a"): 5}
-    assert [v for p in values(source, middle, end) for v in p] == ["ccc", "d", "e", "long long line", "z"]
+    assert [v for part in values(source, middle, end) for v in part] == lines[2:]
 
 
 @settings(max_examples=150, deadline=None, suppress_health_check=list(HealthCheck))
@@ -172,7 +173,15 @@ def test_lost_bytes_fail_unless_allowed(tmp_path):
     assert [v for b in kept for v in b.column(0).to_pylist()] == ["one"]
 
 
+def test_file_url(tmp_path):
+    (tmp_path / "a#1.log").write_bytes(b"x\n")
+    assert reader(tmp_path / "a#1.log").latestOffset() == {str(tmp_path / "a#1.log"): 2}
+    assert reader(f"file://{tmp_path}").latestOffset() == {str(tmp_path / "a#1.log"): 2}
+
+
 def test_bad_options():
+    with pytest.raises(ValueError, match="mounted"):
+        reader("hdfs://host/logs")
     with pytest.raises(ValueError, match="path"):
         TailLogReader({})
     with pytest.raises(LookupError):
