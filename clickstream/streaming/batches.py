@@ -52,15 +52,21 @@ def run_batches(
 
 
 def write_batch(
-    path: str, transform: Callable[[DataFrame], DataFrame], fmt: str = "parquet"
+    path: str,
+    transform: Callable[[DataFrame], DataFrame],
+    fmt: str = "parquet",
+    skip_empty: bool = False,
 ) -> Step:
     """A step that writes what `transform` makes of the batch below `path/batch_id=...`.
 
     The batch's own folder is overwritten, so a batch that runs again is not written twice.
+    With `skip_empty` an empty result leaves no folder, at the price of a look at it first.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        transform(batch).write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        result = transform(batch)
+        if not (skip_empty and result.isEmpty()):
+            result.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
 
     return step
 
@@ -72,7 +78,9 @@ def record_offsets(path: str) -> Step:
 
 def quarantine(path: str) -> Step:
     """A step that keeps the malformed lines of each batch with their coordinates."""
-    return write_batch(path, lambda batch: malformed(parse_log(batch, fields=())))
+    return write_batch(
+        path, lambda batch: malformed(parse_log(batch, fields=())), skip_empty=True
+    )
 
 
 def archive(

@@ -208,6 +208,7 @@ def test_batch_steps(spark, log, tmp_path):
     offsets = spark.read.parquet(str(tmp_path / "offsets"))
     assert {"batch_id", "topic", "partition", "from_offset", "until_offset"} == set(offsets.columns)
     assert offsets.select("batch_id").distinct().count() == 3
+    assert len(list((tmp_path / "bad").glob("batch_id=*"))) == 2  # one batch was clean
     assert rows(spark.read.parquet(str(tmp_path / "bad")), "value", "kind") == [
         ("", "blank"), ("not json", "corrupt"), ('{"openid":"u5"', "corrupt")
     ]
