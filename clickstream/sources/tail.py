@@ -14,7 +14,8 @@ covers have gone when a task comes to read them.
 
 Rows: `value`, one line without its end, and `path`. Empty lines are dropped, lines of spaces
 are not. A line is emitted once it ends in a newline. A file that has become shorter than its
-saved position is read again from its start. The positions are kept in the checkpoint.
+saved position is read again from its start. The positions are kept in the checkpoint, by path: a
+file renamed in rotation is new if the pattern matches its new name, so match only current names.
 
 With the trigger `availableNow` a run makes one batch; if an earlier run was killed within a batch,
 that one is finished first and the lines after it wait for the next run.
