@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickstream.storage import scratch_dir
 
@@ -42,3 +42,27 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def numbered(df: DataFrame, groups: list[str], order: list[str], name: str) -> DataFrame:
+    """Adds a gapless number from 0 within each group, in no task more than a share of a group.
+
+    Rows are numbered within (group, salt) and moved by the number of rows of the group's lower
+    salts. `df` is read twice and must give the same rows: materialise it first. The columns of
+    `groups` hold no nulls.
+    """
+    salts = 2 * partitions(df.sparkSession)
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
+    in_salt = Window.partitionBy(*groups, "_salt").orderBy(*order)
+    below = Window.partitionBy(*groups).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        salted.groupBy(*groups, "_salt")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select(*groups, "_salt", F.coalesce(F.sum("_rows").over(below), F.lit(0)).alias("_below"))
+    )
+    number = (F.col("_below") + F.col("_number") - 1).alias(name)
+    return (
+        salted.withColumn("_number", F.row_number().over(in_salt))
+        .join(offsets, [*groups, "_salt"])
+        .select(*df.columns, number)
+    )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickstream.llm import exact_dedup
+from clickstream.llm import decontamination, exact_dedup, sharding
 from clickstream.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,27 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.equal_contents(docs, content).withColumnRenamed("digest", "text_sha256")
 
 
+def op6_decontamination(spark, sf_dir):
+    found = decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    items = F.encode(F.array_join("items", ","), "UTF-8")
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(items, 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op7_sharding(spark, sf_dir):
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op6_decontamination": op6_decontamination,
+    "op7_sharding": op7_sharding,
 }
