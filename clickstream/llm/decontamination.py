@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clickstream.llm.common import materialise, row_key
 
 WINDOW = 13  # words
+PIECE = 32  # words
 BROADCAST_BYTES = 64 << 20
 # What separates words, once A-Z are lower case, and the same before that.
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -64,34 +65,55 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     return windows.withColumn("hash", hashes)
 
 
-def _hits(docs: DataFrame, windows: DataFrame, seed: int, marked: bool) -> DataFrame:
+def _pieces(docs: DataFrame, window: int) -> DataFrame:
+    """The words of each document in overlapping pieces, in each of which `PIECE` windows start.
+
+    What is exploded to a row per position carries a copy of its words: those of a short piece,
+    not those of the whole document.
+    """
+    pieces = F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(PIECE)),
+        lambda start: F.struct(
+            start.alias("start"),
+            F.slice(F.col("words"), start + 1, F.lit(PIECE + window - 1)).alias("words"),
+        ),
+    )
+    return docs.select(
+        "doc_id", "row", F.size("words").alias("n_words"), F.explode(pieces).alias("piece")
+    ).select("doc_id", "row", "n_words", "piece.start", "piece.words")
+
+
+def _hits(pieces: DataFrame, windows: DataFrame, seed: int, marked: bool) -> DataFrame:
     """A row per verified occurrence, and if `marked` one more per document.
 
     Nothing is shuffled: a position that matches no window is dropped within the scan.
     """
-    last = F.size("words") - seed
-    seeds = F.transform(
-        F.sequence(F.lit(0), last), lambda i: _hash(F.col("words"), i, seed)
-    )
-    seeds = F.when(last >= 0, seeds).otherwise(F.array().cast("array<long>"))
-    mark = [F.array(F.lit(None).cast("long"))] if marked else [F.array().cast("array<long>")]
-    positions = docs.withColumn("seeds", F.concat(*mark, seeds)).select(
-        "doc_id", "row", "words", F.posexplode("seeds").alias("at", "hash")
-    )
-    start = F.col("at") - int(marked)
+    last = F.least(F.size("words") - seed, F.lit(PIECE - 1))
+    seeds = F.transform(F.sequence(F.lit(0), last), lambda i: _hash(F.col("words"), i, seed))
+    nothing = F.array().cast("array<long>")
+    seeds = F.when(last >= 0, seeds).otherwise(nothing)
+    first = (F.col("start") == 0) if marked else F.lit(False)
+    mark = F.when(first, F.array(F.lit(None).cast("long"))).otherwise(nothing)
+    positions = (
+        pieces.withColumn("seeds", F.concat(mark, seeds))
+        .withColumn("marks", first.cast("int"))
+        .select("doc_id", "row", "n_words", "start", "marks", "words",
+                F.posexplode("seeds").alias("at", "hash"))
+    )
+    at = F.col("at") - F.col("marks")
     found = windows.filter(F.col("seed") == seed).select("hash", "window", "length", "items")
-    here = F.slice(F.col("words"), start + 1, F.col("length")) == F.col("window")
+    here = F.slice(F.col("words"), at + 1, F.col("length")) == F.col("window")
     same = (positions["hash"] == found["hash"]) & here
     rows = positions.join(F.broadcast(found), same, "left" if marked else "inner")
-    is_mark = (F.col("at") == 0) if marked else F.lit(False)
-    return rows.filter(is_mark | F.col("length").isNotNull()).select(
+    is_mark, is_hit = at < 0, F.col("length").isNotNull()
+    span = F.struct(
+        (F.col("start") + at).alias("start"), (F.col("start") + at + F.col("length")).alias("end")
+    )
+    return rows.filter(is_mark | is_hit).select(
         "doc_id",
         "row",
-        F.when(is_mark, F.size("words")).alias("n_words"),
-        F.when(
-            F.col("length").isNotNull(),
-            F.struct(start.alias("start"), (start + F.col("length")).alias("end")),
-        ).alias("span"),
+        F.when(is_mark, F.col("n_words")).alias("n_words"),
+        F.when(is_hit, span).alias("span"),
         "items",
     )
 
@@ -113,8 +135,9 @@ def contamination(
     rows = docs.select(
         "doc_id", row_key().alias("row"), words_of(F.col("text")).alias("words")
     )
+    pieces = _pieces(rows, window)
     parts = [
-        _hits(rows, windows.filter(F.pmod("hash", F.lit(blocks)) == block), seed, marked=first)
+        _hits(pieces, windows.filter(F.pmod("hash", F.lit(blocks)) == block), seed, marked=first)
         for block in range(blocks)
         for seed in seeds
         for first in [block == 0 and seed == seeds[0]]
