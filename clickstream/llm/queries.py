@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickstream.llm import decontamination, exact_dedup, sharding
+from clickstream.llm import decontamination, exact_dedup, line_dedup, sharding
 from clickstream.llm.common import table, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,8 +37,19 @@ def op7_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.line_marks(docs).select(
+        "doc_id",
+        F.col("n_lines").cast("long").alias("n_lines"),
+        F.size("removed").cast("long").alias("n_removed"),
+        "removed",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
+    "op9_line_dedup": op9_line_dedup,
 }
