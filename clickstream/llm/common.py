@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from clickstream.storage import scratch_dir
+import clickstream
+from clickstream.storage import create, scratch_dir
 
 # The white space of the contracts, as a character class for Java's patterns.
 BLANK = r"[\x20\x09-\x0D]"
@@ -21,6 +26,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Makes this package known to the Python workers, which need not have it installed."""
+    context, package = spark.sparkContext, Path(clickstream.__file__).parent
+    if getattr(context, "_ships_clickstream", False) or not package.is_dir():
+        return
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, f"clickstream/{file.relative_to(package)}")
+    path = f"{scratch_dir(spark, 'package')}/clickstream.zip"
+    create(spark, path, archive.getvalue())
+    context.addPyFile(path)
+    context._ships_clickstream = True
+
+
 def partitions(spark: SparkSession) -> int:
     """The number of shuffle partitions, which the user sets in proportion to the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

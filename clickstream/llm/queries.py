@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickstream.llm import decontamination, exact_dedup, line_dedup, sharding
+from clickstream.llm import decontamination, exact_dedup, line_dedup, packing, sharding
 from clickstream.llm.common import table, text_of
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -18,6 +21,10 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.equal_contents(docs, content).withColumnRenamed("digest", "text_sha256")
 
 
+def op5_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, ids=False)
+
+
 def op6_decontamination(spark, sf_dir):
     found = decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -49,6 +56,7 @@ def op9_line_dedup(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op9_line_dedup": op9_line_dedup,
