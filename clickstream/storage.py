@@ -38,6 +38,16 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(jvm_path, True)
 
 
+def create(spark: SparkSession, path: str, content: bytes) -> None:
+    """Writes a small file."""
+    fs, jvm_path = _path(spark, path)
+    out = fs.create(jvm_path)
+    try:
+        out.write(bytearray(content))
+    finally:
+        out.close()
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the shared `spark.checkpoint.dir`.
 
