@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickstream.llm import decontamination, exact_dedup, line_dedup, packing, sharding
+from clickstream.llm import (
+    decontamination,
+    exact_dedup,
+    line_dedup,
+    packing,
+    sharding,
+    substring_dedup,
+    suffix_dedup,
+)
 from clickstream.llm.common import table, text_of
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +29,12 @@ def op2_exact_dedup(spark, sf_dir):
     return exact_dedup.equal_contents(docs, content).withColumnRenamed("digest", "text_sha256")
 
 
+def op3_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = substring_dedup.repeated_words(docs, text=False)
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, ids=False)
 
@@ -54,10 +68,19 @@ def op9_line_dedup(spark, sf_dir):
     )
 
 
+def op10_suffix_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = suffix_dedup.repeated_bytes(docs, text=False)
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return found.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
+
+
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
     "op9_line_dedup": op9_line_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
