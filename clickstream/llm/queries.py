@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickstream.llm import (
     decontamination,
     exact_dedup,
+    jaccard_join,
     line_dedup,
     packing,
     sharding,
@@ -23,6 +24,11 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_jaccard_join(spark, sf_dir):
+    found = jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "copy_id", "n_links")
+
+
 def op2_exact_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     content = exact_dedup.without_blanks(text_of())
@@ -76,6 +82,7 @@ def op10_suffix_dedup(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_jaccard_join": op1_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_packing": op5_packing,
