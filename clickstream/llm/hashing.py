@@ -6,7 +6,7 @@ import functools
 
 import numpy as np
 
-BLOCK = 4 << 20  # bytes of text hashed at a time; a longer text is a block of its own
+BLOCK = 1 << 20  # bytes of text hashed at a time; a longer text is a block of its own
 _BASE = 0x9E3779B97F4A7C15  # any odd number
 _INVERSE = pow(_BASE, -1, 1 << 64)
 

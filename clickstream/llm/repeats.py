@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from clickstream.llm.common import materialise, partitions, ship, text_of
 from clickstream.llm.hashing import blocks, byte_sums, run_hashes, run_sums, sliding_minimum, words
 
-GROUP_BYTES = 24 << 20  # of text in which a task looks for repeats of its own
+GROUP_BYTES = 16 << 20  # of text in which a task looks for repeats of its own
 LAST = np.iinfo(np.int64).max  # stands for a null id, which comes after all others
 
 
