@@ -16,6 +16,7 @@ from clickstream.llm import (
     sharding,
     substring_dedup,
     suffix_dedup,
+    toxicity,
 )
 from clickstream.llm.common import table, text_of
 
@@ -64,6 +65,10 @@ def op7_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.line_marks(docs).select(
@@ -88,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,
+    "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
