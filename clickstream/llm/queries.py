@@ -11,6 +11,7 @@ from clickstream.llm import (
     decontamination,
     exact_dedup,
     jaccard_join,
+    language_id,
     line_dedup,
     packing,
     sharding,
@@ -42,6 +43,12 @@ def op3_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.select(F.col("lang").alias("language"), "text"))
+    return language_id.identify(language_id.of_pages(table(spark, sf_dir, "pages")), model)
+
+
 def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, ids=False)
 
@@ -90,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_language_id": op4_language_id,
     "op5_packing": op5_packing,
     "op6_decontamination": op6_decontamination,
     "op7_sharding": op7_sharding,

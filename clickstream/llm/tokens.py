@@ -113,7 +113,8 @@ def _encode_segments(segments: list[bytes], path: str) -> tuple[np.ndarray, np.n
     counts, parts, order = np.zeros(len(segments), np.int64), [], []
     for batch in batches:
         text = b"".join([segments[i] for i in batch]).decode()
-        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        found = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        ids = np.array(found[0].ids, np.uint32)
         if len(batch) == 1:
             counts[batch] = len(ids)
         elif batch:
