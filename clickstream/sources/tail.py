@@ -8,14 +8,20 @@ The files must be visible to the driver and all executors under the same path.
     register_tail(spark)
     spark.readStream.format("tail_log").option("path", "/logs/access*.log").load()
 
-Options: `path`, a file, a directory or a pattern; `charset`, UTF-8 by default; `splitBytes`,
-the size of one task's share; `failOnDataLoss`, true by default: fail if bytes that a batch
-covers have gone when a task comes to read them.
+Options: `path`, a file, a directory or a pattern; `charset`, UTF-8 by default, any in which a
+line feed is one byte of its own; `splitBytes`, the size of one task's share; `failOnDataLoss`, true
+by default: fail if bytes are known to have gone unread.
 
 Rows: `value`, one line without its end, and `path`. Empty lines are dropped, lines of spaces
-are not. A line is emitted once it ends in a newline. A file that has become shorter than its
-saved position is read again from its start. The positions are kept in the checkpoint, by path: a
-file renamed in rotation is new if the pattern matches its new name, so match only current names.
+are not. A line is emitted once it ends in a newline.
+
+Rotation: a position belongs to a file, known by its folder, its inode and a checksum of its first
+bytes, and is kept in the checkpoint. A file renamed within its folder is read on under the new
+name, whether or not the pattern matches that, and the file that takes its old name is read from
+its start. A file that was cut off and written anew is read from its start, even if it has grown
+past the old position since. What is cut off before it is read is lost, as for any reader. A file
+that was renamed before a restart and is still written to after it may be read twice if the job is
+killed within the batch in which that happens.
 
 With the trigger `availableNow` a run makes one batch; if an earlier run was killed within a batch,
 that one is finished first and the lines after it wait for the next run.
@@ -27,6 +33,7 @@ import glob
 import os
 import sys
 import warnings
+import zlib
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -36,6 +43,7 @@ from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPart
 SCHEMA = "value string, path string"
 SPLIT_BYTES = 64 << 20
 BLOCK_BYTES = 4 << 20
+HEAD_BYTES = 1024
 
 
 class TailLogSource(DataSource):
@@ -51,7 +59,7 @@ class TailLogSource(DataSource):
 
 
 class Share(InputPartition):
-    """What one task reads: (path, lo, hi, first) slices, `first` being the batch's start.
+    """What one task reads: (path, inode, lo, hi, first) slices, `first` being the batch's start.
 
     A line belongs to the slice in which it starts.
     """
@@ -61,6 +69,9 @@ class Share(InputPartition):
 
 
 class TailLogReader(DataSourceStreamReader):
+    """An offset has, by file, its path, how far it is read, its size, a checksum, and `follow`:
+    whether it has once matched the pattern and is read on under any name."""
+
     def __init__(self, options):
         if not options.get("path"):
             raise ValueError("tail_log needs the option 'path'")
@@ -69,40 +80,61 @@ class TailLogReader(DataSourceStreamReader):
             raise ValueError(f"tail_log reads mounted files only, not {options['path']}")
         self.path = url.path if url.scheme else options["path"]
         self.charset = options.get("charset", "utf-8")
-        "".encode(self.charset)
+        if "\n".encode(self.charset) != b"\n":
+            raise ValueError(f"lines cannot be told apart by bytes in {self.charset}")
         self.split_bytes = int(options.get("splitBytes", SPLIT_BYTES))
         self.fail_on_data_loss = options.get("failOnDataLoss", "true").lower() != "false"
         self.seen = {}
+        self.followed = set()
+        self.placed = set()
 
     def initialOffset(self) -> dict:
         return {}
 
     def latestOffset(self) -> dict:
         latest = {}
-        for path in self._files():
+        matching = set(self._files())
+        folder = self.path if os.path.isdir(self.path) else os.path.dirname(self.path)
+        folders = {os.path.dirname(path) for path in matching} | {folder}
+        for path in sorted(matching | set(_siblings(folders))):
             try:
-                size = os.stat(path).st_size
-                known_size, known_end = self.seen.get(path, (0, 0))
-                if size < known_size:
+                status = os.stat(path)
+                key, size = _key(path, status), status.st_size
+                if self.placed and path not in matching and key not in self.followed:
+                    continue  # only at the start may it be a file that was followed before
+                known_size, known_end, known_head = self.seen.get(key, (0, 0, [0, 0]))
+                if size < known_size or not _same_head(path, known_head):
                     known_size = known_end = 0
                 end = known_end if size == known_size else _last_line_end(path, known_end, size)
-            except FileNotFoundError:
+                head = _head(path, min(end, HEAD_BYTES))
+            except (FileNotFoundError, PermissionError):
                 continue
-            self.seen[path] = (size, end)
-            latest[path] = end
+            self.seen[key] = (size, end, head)
+            if path in matching:
+                self.followed.add(key)
+            follow = key in self.followed
+            latest[key] = {"path": path, "end": end, "size": size, "head": head, "follow": follow}
         return latest
 
     def partitions(self, start: dict, end: dict) -> list[Share]:
+        self._check_lost(start, end)
         shares, slices, room = [], [], self.split_bytes
-        for path, stop in sorted(end.items()):
-            first = start.get(path, 0)
-            if stop < first:
-                warnings.warn(f"{path} is shorter than its saved position; reading from 0")
+        for key, to in sorted(end.items()):
+            since = start.get(key, {"end": 0, "follow": False})
+            if not (to["follow"] or since["follow"]):
+                continue
+            # What a file held before it first matched the pattern has not been read.
+            first = since["end"] if since["follow"] or key in self.placed else 0
+            stop = to["end"]
+            self.followed.add(key)
+            self.placed.add(key)
+            if stop < first or (first and not _same_start(since["head"], to["head"], to["path"])):
+                warnings.warn(f"{to['path']} was written anew; reading from its start")
                 first = 0
             lo = first
             while lo < stop:
                 hi = min(stop, lo + room)
-                slices.append((path, lo, hi, first))
+                slices.append((to["path"], key, lo, hi, first))
                 room -= hi - lo
                 lo = hi
                 if room == 0:
@@ -112,16 +144,27 @@ class TailLogReader(DataSourceStreamReader):
 
     def read(self, partition: Share) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         names = ["value", "path"]
-        for path, lo, hi, first in partition.slices:
-            for block in self._blocks(path, lo, hi, first):
+        for path, key, lo, hi, first in partition.slices:
+            for block in self._blocks(path, key, lo, hi, first):
                 text = block.replace(b"\r\n", b"\n").replace(b"\r", b"\n")
-                lines = [line for line in text.split(b"\n") if line]
-                if lines:
-                    values = pa.array([line.decode(self.charset, "replace") for line in lines])
-                    paths = pa.array([path] * len(lines))
-                    yield pa.RecordBatch.from_arrays([values, paths], names)
+                text = pa.array([text.decode(self.charset, "replace")])
+                lines = pc.split_pattern(text, "\n").flatten()
+                lines = lines.filter(pc.not_equal(lines, ""))
+                if len(lines):
+                    yield pa.RecordBatch.from_arrays([lines, pa.repeat(path, len(lines))], names)
+
+    def _check_lost(self, start: dict, end: dict) -> None:
+        """A file that is gone must have been read as far as it was seen to reach."""
+        for key in start.keys() - end.keys():
+            gone = start[key]
+            if gone["follow"] and gone["size"] > gone["end"]:
+                told = f"{gone['path']} has gone with unread bytes after {gone['end']}"
+                if self.fail_on_data_loss:
+                    raise OSError(told)
+                warnings.warn(told)
 
     def _files(self) -> list[str]:
         if os.path.isdir(self.path):
@@ -131,9 +174,9 @@ class TailLogReader(DataSourceStreamReader):
             found = glob.glob(self.path)
         return [path for path in found if os.path.isfile(path)]
 
-    def _blocks(self, path: str, lo: int, hi: int, first: int) -> Iterator[bytes]:
+    def _blocks(self, path: str, key: str, lo: int, hi: int, first: int) -> Iterator[bytes]:
         """The lines that start in [lo, hi), some megabytes at a time."""
-        with open(path, "rb") as file:
+        with _open(path, key) as file:
             at = lo
             if lo > first:
                 file.seek(lo - 1)
@@ -152,6 +195,49 @@ class TailLogReader(DataSourceStreamReader):
                 yield block
 
 
+def _key(path: str, status: os.stat_result) -> str:
+    """What stays the same when a file is renamed within its folder."""
+    return f"{os.path.dirname(path)}:{status.st_ino}"
+
+
+def _siblings(folders: set[str]) -> Iterator[str]:
+    """All files of the folders: a followed file may have any name there."""
+    for folder in folders:
+        if os.path.isdir(folder):
+            with os.scandir(folder) as entries:
+                for entry in entries:
+                    if entry.name[0] not in "._" and entry.is_file():
+                        yield entry.path
+
+
+def _head(path: str, size: int) -> list[int]:
+    """Size and checksum of the first bytes."""
+    with open(path, "rb") as file:
+        return [size, zlib.crc32(file.read(size))]
+
+
+def _same_head(path: str, head: list[int]) -> bool:
+    return _head(path, head[0]) == head
+
+
+def _same_start(before: list[int], now: list[int], path: str) -> bool:
+    """Whether the file still begins as it did; it is looked at only if it has grown meanwhile."""
+    return before == now or (before[0] < now[0] and _same_head(path, before))
+
+
+def _open(path: str, key: str):
+    """The file itself, also if it was renamed since the batch was planned."""
+    for name in [path, *_siblings({os.path.dirname(path)})]:
+        try:
+            file = open(name, "rb")
+        except FileNotFoundError:
+            continue
+        if _key(path, os.fstat(file.fileno())) == key:
+            return file
+        file.close()
+    raise OSError(f"{path} is no longer in its folder")
+
+
 def _last_line_end(path: str, start: int, size: int) -> int:
     """Position after the last newline in [start, size), or `start` if there is none."""
     with open(path, "rb") as file:

@@ -1,5 +1,6 @@
 import os
 import re
+import zlib
 from unittest import mock
 
 import pytest
@@ -85,6 +86,15 @@ def reader(path, **options):
     return TailLogReader({"path": str(path), **options})
 
 
+def head(data):
+    return [len(data), zlib.crc32(data)]
+
+
+def ends(offset):
+    """Where the files that are followed are read to, by path."""
+    return {at["path"]: at["end"] for at in offset.values() if at["follow"]}
+
+
 def values(source, start, end):
     """What each task reads, task by task."""
     return [
@@ -101,7 +111,7 @@ def test_every_split_size_gives_each_line_once(tmp_path, split):
     parts = values(source, {}, end)
     lines = ["a", "bb", "ccc", "d", "e", "long long line", "z"]
     assert [v for part in parts for v in part] == lines
-    middle = {str(tmp_path / "a"): 5}
+    middle = {key: at | {"end": 5, "head": head(b"a\nbb\n")} for key, at in end.items()}
     assert [v for part in values(source, middle, end) for v in part] == lines[2:]
 
 
@@ -131,7 +141,7 @@ def test_blocks_smaller_than_lines(tmp_path, monkeypatch):
     monkeypatch.setattr("clickstream.sources.tail.BLOCK_BYTES", 3)
     (tmp_path / "a").write_bytes(b"abcdefgh\nij\n\nklmnop\ntail")
     source = reader(tmp_path)
-    assert source.latestOffset() == {str(tmp_path / "a"): 20}
+    assert ends(source.latestOffset()) == {str(tmp_path / "a"): 20}
     assert values(source, {}, source.latestOffset()) == [["abcdefgh", "ij", "klmnop"]]
 
 
@@ -153,20 +163,90 @@ def test_offsets_follow_growth_and_truncation(tmp_path):
     path = tmp_path / "a"
     path.write_bytes(b"one\ntw")
     source = reader(path)
-    assert source.latestOffset() == {str(path): 4}
+    assert ends(source.latestOffset()) == {str(path): 4}
     path.write_bytes(b"one\ntwo\n")
-    assert source.latestOffset() == {str(path): 8}
+    start = source.latestOffset()
+    assert ends(start) == {str(path): 8}
     path.write_bytes(b"x\n")
     end = source.latestOffset()
-    assert end == {str(path): 2}
-    with pytest.warns(UserWarning, match="shorter"):
-        assert values(source, {str(path): 8}, end) == [["x"]]
+    assert ends(end) == {str(path): 2}
+    with pytest.warns(UserWarning, match="anew"):
+        assert values(source, start, end) == [["x"]]
+
+
+@pytest.mark.parametrize("restarted", [False, True])
+def test_renamed_file_is_finished_and_its_name_is_new(tmp_path, restarted):
+    path = tmp_path / "a.log"
+    path.write_bytes(b"old1\nold2\n")
+    source = reader(tmp_path / "*.log")
+    start = source.latestOffset()
+    assert values(source, {}, start) == [["old1", "old2"]]
+    with path.open("ab") as file:
+        file.write(b"old3\n")
+    path.rename(tmp_path / "a.log.1")  # the pattern does not match this
+    path.write_bytes(b"".join(b"new%d\n" % i for i in range(6)))  # longer than the old position
+    source = reader(tmp_path / "*.log") if restarted else source
+    end = source.latestOffset()
+    got = [v for part in values(source, start, end) for v in part]
+    assert sorted(got) == ["new0", "new1", "new2", "new3", "new4", "new5", "old3"]
+    with (tmp_path / "a.log.1").open("ab") as file:  # its writer had not yet let go of it
+        file.write(b"old4\n")
+    later = source.latestOffset()
+    assert values(source, end, later) == [["old4"]]
+
+
+def test_copied_and_cut_off(tmp_path):
+    path = tmp_path / "a.log"
+    path.write_bytes(b"old1\nold2\n")
+    source = reader(path)
+    start = source.latestOffset()
+    values(source, {}, start)
+    (tmp_path / "a.log.1").write_bytes(path.read_bytes())
+    with path.open("r+b") as file:  # the same file, regrown past the old position
+        file.truncate()
+        file.write(b"new1\nnew2\nnew3\n")
+    with pytest.warns(UserWarning, match="anew"):
+        assert values(source, start, source.latestOffset()) == [["new1", "new2", "new3"]]
+
+
+def test_renamed_between_planning_and_reading(tmp_path):
+    path = tmp_path / "a.log"
+    path.write_bytes(b"old\n")
+    source = reader(path)
+    share, = source.partitions({}, source.latestOffset())
+    path.rename(tmp_path / "a.log.1")
+    path.write_bytes(b"new and longer\n")
+    assert [v for b in source.read(share) for v in b.column(0).to_pylist()] == ["old"]
+
+
+def test_file_that_comes_to_match_is_read_whole(tmp_path):
+    (tmp_path / "a.tmp").write_bytes(b"one\n")
+    (tmp_path / "b.log").write_bytes(b"two\n")
+    source = reader(tmp_path / "*.log")
+    start = source.latestOffset()
+    assert values(source, {}, start) == [["two"]]
+    (tmp_path / "a.tmp").rename(tmp_path / "a.log")
+    assert values(source, start, source.latestOffset()) == [["one"]]
+
+
+def test_unread_file_that_is_gone(tmp_path):
+    path = tmp_path / "a"
+    path.write_bytes(b"one\ntorn")
+    source = reader(path)
+    start = source.latestOffset()
+    path.unlink()
+    with pytest.raises(OSError, match="unread"):
+        source.partitions(start, source.latestOffset())
+    lenient = reader(path, failOnDataLoss="false")
+    with pytest.warns(UserWarning, match="unread"):
+        assert lenient.partitions(start, lenient.latestOffset()) == []
 
 
 def test_lost_bytes_fail_unless_allowed(tmp_path):
     path = str(tmp_path / "a")
     (tmp_path / "a").write_bytes(b"one\n")
-    gone = Share([(path, 0, 100, 0)])
+    key, = reader(path).latestOffset()
+    gone = Share([(path, key, 0, 100, 0)])
     with pytest.raises(OSError, match="no longer"):
         list(reader(path).read(gone))
     kept = list(reader(path, failOnDataLoss="false").read(gone))
@@ -175,8 +255,8 @@ def test_lost_bytes_fail_unless_allowed(tmp_path):
 
 def test_file_url(tmp_path):
     (tmp_path / "a#1.log").write_bytes(b"x\n")
-    assert reader(tmp_path / "a#1.log").latestOffset() == {str(tmp_path / "a#1.log"): 2}
-    assert reader(f"file://{tmp_path}").latestOffset() == {str(tmp_path / "a#1.log"): 2}
+    assert ends(reader(tmp_path / "a#1.log").latestOffset()) == {str(tmp_path / "a#1.log"): 2}
+    assert ends(reader(f"file://{tmp_path}").latestOffset()) == {str(tmp_path / "a#1.log"): 2}
 
 
 def test_bad_options():
@@ -184,5 +264,7 @@ def test_bad_options():
         reader("hdfs://host/logs")
     with pytest.raises(ValueError, match="path"):
         TailLogReader({})
+    with pytest.raises(ValueError, match="utf-16"):
+        TailLogReader({"path": os.sep, "charset": "utf-16-le"})
     with pytest.raises(LookupError):
         TailLogReader({"path": os.sep, "charset": "no-such"})
