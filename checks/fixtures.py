@@ -5,6 +5,10 @@ Spark derives it from whole tables. `FIXTURES.md` lists the columns and the defe
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+from urllib.parse import urlsplit
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickstream.schema import LOG_FIELDS, TIME_FORMAT
@@ -111,6 +115,30 @@ def landed_stream(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFra
     return reader.parquet(path)
 
 
+class GrowingLog:
+    """A log file that takes over the landed lines, some at a time, and is rotated by renaming."""
+
+    def __init__(self, landed: str, folder: str):
+        self.parts = sorted(_local(landed).glob("part-*"))
+        self.folder = _local(folder)
+        self.folder.mkdir(parents=True)
+        self.path = f"{self.folder}/access.log"
+
+    def append(self, begin: float, end: float) -> None:
+        """The lines from this to that share of each part."""
+        with open(self.path, "ab") as log:
+            for part in self.parts:
+                lines = part.read_bytes().splitlines(keepends=True)
+                log.writelines(lines[int(begin * len(lines)) : int(end * len(lines))])
+
+    def rotate(self) -> None:
+        os.rename(self.path, f"{self.path}.1")
+
+
+def _local(path: str) -> Path:
+    return Path(urlsplit(path).path)
+
+
 def _land(spark, sf_dir, kind, write, source) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _landed or not exists(spark, f"{_landed[key]}/_SUCCESS"):

@@ -112,12 +112,23 @@ _BODIES = {
     "first_visitor_provinces": """
         SELECT DISTINCT openid, province FROM rec WHERE openid IS NOT NULL
         ORDER BY openid, province LIMIT 10""",
+    "sql_report_provinces": """
+        SELECT DISTINCT openid, province FROM rec WHERE openid IS NOT NULL""",
+    "line_report_traffic": RAW_PV,
+    "line_report_shared_traffic": RAW_PV,
+    "line_report_shared_areas": AREAS,
+    "line_report_malformed": """
+        SELECT kind, count(*) AS lines FROM lines WHERE kind IS NOT NULL GROUP BY kind""",
     "labelled_records": "SELECT cid, category, pid, total_money FROM rec",
     "category_product_views": VIEWS,
     "top_products": f"""
         SELECT category, pid, views, "rank" FROM (
           SELECT *, row_number() OVER (PARTITION BY category ORDER BY views DESC, pid) AS "rank"
           FROM ({VIEWS})) WHERE "rank" <= 2""",
+    "top_products_many": f"""
+        SELECT category, pid, views, "rank" FROM (
+          SELECT *, row_number() OVER (PARTITION BY category ORDER BY views DESC, pid) AS "rank"
+          FROM ({VIEWS})) WHERE "rank" <= 2000""",
     "total_sales": TOTAL,
     "sales_today": TODAY,
     "sales_by_day": BY_DAY,
@@ -143,13 +154,22 @@ _BODIES = {
     "stream_sales_by_day": BY_DAY,
     "stream_sales_by_category": BY_CATEGORY,
     "stream_sales_by_province": BY_PROVINCE,
+    "stream_sales_by_brand": f"""
+        SELECT coalesce(p_brand, 'unknown') AS brand, {AMOUNT}
+        FROM rec LEFT JOIN part ON CAST(p_partkey AS varchar) = cid GROUP BY 1""",
     "stream_kpis": KPIS,
     "stream_archive": f"SELECT {RECORD} FROM rec",
     "archive_sales_today": TODAY,
     "stream_tail": "SELECT value FROM lines WHERE value <> ''",
+    "stream_tail_rotated": "SELECT value FROM lines WHERE value <> ''",
     "stream_offset_ranges": OFFSETS,
     "stream_quarantine": """
         SELECT "partition", "offset", value, kind FROM lines WHERE kind IS NOT NULL""",
+    "job_kpis": KPIS,
+    "job_offsets": OFFSETS,
+    "job_malformed": """
+        SELECT "partition", "offset", value, kind FROM lines WHERE kind IS NOT NULL""",
+    "job_archive": f"SELECT {RECORD} FROM rec",
 }
 
 ORACLE_SQL = {name: BASE + body for name, body in _BODIES.items()}

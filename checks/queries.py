@@ -88,7 +88,25 @@ def visitor_provinces(spark, sf_dir):
 
 def first_visitor_provinces(spark, sf_dir):
     path = fixtures.landed_lines(spark, sf_dir)
-    return cs.sql_report(spark, path)["visitor_provinces"]
+    return cs.sql_report(spark, path, limit=10)["visitor_provinces"]
+
+
+def sql_report_provinces(spark, sf_dir):
+    return cs.sql_report(spark, fixtures.landed_lines(spark, sf_dir))["visitor_provinces"]
+
+
+def _line_report(part: str, **options) -> Query:
+    def query(spark, sf_dir):
+        return cs.line_report(spark, fixtures.landed_lines(spark, sf_dir), **options)[part]
+
+    return query
+
+
+def _kinds(query: Query) -> Query:
+    def counted(spark, sf_dir):
+        return query(spark, sf_dir).groupBy("kind").agg(F.count(F.lit(1)).alias("lines"))
+
+    return counted
 
 
 def labelled_records(spark, sf_dir):
@@ -106,6 +124,11 @@ def top_products(spark, sf_dir):
     return cs.top_products(_records(spark, sf_dir, "openid", "event_type", "cid", "pid"))
 
 
+def top_products_many(spark, sf_dir):
+    log = _records(spark, sf_dir, "openid", "event_type", "cid", "pid")
+    return cs.top_products(log, n=2000)
+
+
 def total_sales(spark, sf_dir):
     return cs.total_sales(_records(spark, sf_dir, "total_money"))
 
@@ -184,15 +207,30 @@ def _kpi_table(spark, stream, **options):
     return cs.latest_kpis(spark, table)
 
 
+def stream_sales_by_brand(spark, sf_dir):
+    dim = fixtures.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("cid"), F.col("p_brand").alias("category")
+    )
+    work = scratch_dir(spark, "kpis")
+    stream = cs.stream_lines(spark, fixtures.landed_lines(spark, sf_dir))
+    cs.run_kpis(
+        stream, f"{work}/table", f"{work}/checkpoint", kpis=("category",), trigger=NOW
+    ).awaitTermination()
+    values = cs.latest_kpis(spark, f"{work}/table", dim=dim)
+    return values.select(F.col("key").alias("brand"), F.col("value").alias("total_money"))
+
+
 def stream_kpis(spark, sf_dir):
     return _kpi_table(spark, cs.envelope(fixtures.landed_stream(spark, sf_dir)))
 
 
-def _archive(spark, sf_dir):
+def _archive(spark, sf_dir, **options):
     work = scratch_dir(spark, "archive")
     stream = fixtures.landed_stream(spark, sf_dir).select(F.col("value").cast("string"))
     log = cs.valid(cs.parse_log(stream))
-    cs.archive(log, f"{work}/log", f"{work}/checkpoint", trigger=NOW).awaitTermination()
+    cs.archive(
+        log, f"{work}/log", f"{work}/checkpoint", trigger=NOW, **options
+    ).awaitTermination()
     return spark.read.parquet(f"{work}/log")
 
 
@@ -202,18 +240,12 @@ def stream_archive(spark, sf_dir):
 
 
 def archive_sales_today(spark, sf_dir):
-    return cs.sales_today(_archive(spark, sf_dir), AS_OF)
+    return cs.sales_today(_archive(spark, sf_dir, files_per_day=1), AS_OF)
 
 
-def stream_tail(spark, sf_dir):
-    cs.register_tail(spark)
-    work = scratch_dir(spark, "tail")
-    lines = (
-        spark.readStream.format("tail_log")
-        .option("path", fixtures.landed_lines(spark, sf_dir))
-        .load()
-        .select("value")
-    )
+def _tail(spark, path: str, work: str) -> None:
+    """Reads what is new in the files, as a run of its own."""
+    lines = spark.readStream.format("tail_log").option("path", path).load().select("value")
     query = (
         lines.writeStream.format("parquet")
         .option("path", f"{work}/lines")
@@ -222,6 +254,27 @@ def stream_tail(spark, sf_dir):
         .start()
     )
     query.awaitTermination()
+
+
+def stream_tail(spark, sf_dir):
+    cs.register_tail(spark)
+    work = scratch_dir(spark, "tail")
+    _tail(spark, fixtures.landed_lines(spark, sf_dir), work)
+    return spark.read.parquet(f"{work}/lines")
+
+
+def stream_tail_rotated(spark, sf_dir):
+    """A log that is renamed with unread lines, and has grown past the old position when the
+    source is started again."""
+    cs.register_tail(spark)
+    work = scratch_dir(spark, "tail")
+    log = fixtures.GrowingLog(fixtures.landed_lines(spark, sf_dir), f"{work}/logs")
+    log.append(0, 1 / 4)
+    _tail(spark, log.path, work)
+    log.append(1 / 4, 1 / 3)
+    log.rotate()
+    log.append(1 / 3, 1)
+    _tail(spark, log.path, work)
     return spark.read.parquet(f"{work}/lines")
 
 
@@ -238,17 +291,63 @@ def _batch_steps(spark, sf_dir) -> str:
 
 
 def stream_offset_ranges(spark, sf_dir):
-    ledger = spark.read.parquet(f"{_batch_steps(spark, sf_dir)}/offsets")
+    ledger = cs.batch_table(spark, f"{_batch_steps(spark, sf_dir)}/offsets")
     return ledger.groupBy("topic", "partition").agg(
         F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset")
     )
 
 
 def stream_quarantine(spark, sf_dir):
-    kept = spark.read.parquet(f"{_batch_steps(spark, sf_dir)}/malformed")
+    kept = cs.batch_table(spark, f"{_batch_steps(spark, sf_dir)}/malformed")
     return kept.select("partition", "offset", "value", "kind")
 
 
+# The streaming job as a whole
+
+_jobs: dict[tuple[str, str], str] = {}
+
+
+def _job(spark, sf_dir) -> str:
+    """Folder with all that the job leaves, run once per session and folder of tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _jobs:
+        work = scratch_dir(spark, "job")
+        cs.run_job(
+            cs.envelope(fixtures.landed_stream(spark, sf_dir)),
+            f"{work}/kpis",
+            f"{work}/checkpoint",
+            offsets_path=f"{work}/offsets",
+            malformed_path=f"{work}/malformed",
+            raw_path=f"{work}/raw",
+            compact_every=2,
+            trigger=NOW,
+        ).awaitTermination()
+        _jobs[key] = work
+    return _jobs[key]
+
+
+def job_kpis(spark, sf_dir):
+    return cs.latest_kpis(spark, f"{_job(spark, sf_dir)}/kpis")
+
+
+def job_offsets(spark, sf_dir):
+    ledger = cs.batch_table(spark, f"{_job(spark, sf_dir)}/offsets")
+    return ledger.groupBy("topic", "partition").agg(
+        F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset")
+    )
+
+
+def job_malformed(spark, sf_dir):
+    kept = cs.batch_table(spark, f"{_job(spark, sf_dir)}/malformed")
+    return kept.select("partition", "offset", "value", "kind")
+
+
+def job_archive(spark, sf_dir):
+    archived = cs.batch_table(spark, f"{_job(spark, sf_dir)}/raw")
+    archived = archived.drop("batch_id", "topic", "partition", "offset")
+    return archived.withColumn("event_time", F.col("event_time").cast("string"))
+
+
 QUERIES: dict[str, Query] = {
     "raw_pv": raw_pv,
     "visits": visits,
@@ -263,9 +362,15 @@ QUERIES: dict[str, Query] = {
     "area_by_place": area_by_place,
     "visitor_provinces": visitor_provinces,
     "first_visitor_provinces": first_visitor_provinces,
+    "sql_report_provinces": sql_report_provinces,
+    "line_report_traffic": _line_report("traffic"),
+    "line_report_shared_traffic": _line_report("traffic", share=True),
+    "line_report_shared_areas": _line_report("areas", share=True),
+    "line_report_malformed": _kinds(_line_report("malformed")),
     "labelled_records": labelled_records,
     "category_product_views": category_product_views,
     "top_products": top_products,
+    "top_products_many": top_products_many,
     "total_sales": total_sales,
     "sales_today": sales_today,
     "sales_by_day": sales_by_day,
@@ -282,10 +387,16 @@ QUERIES: dict[str, Query] = {
     "stream_sales_by_day": _stream_kpi("day", "dt", "date"),
     "stream_sales_by_category": _stream_kpi("category", "category"),
     "stream_sales_by_province": _stream_kpi("province", "province"),
+    "stream_sales_by_brand": stream_sales_by_brand,
     "stream_kpis": stream_kpis,
     "stream_archive": stream_archive,
     "archive_sales_today": archive_sales_today,
     "stream_tail": stream_tail,
+    "stream_tail_rotated": stream_tail_rotated,
     "stream_offset_ranges": stream_offset_ranges,
     "stream_quarantine": stream_quarantine,
+    "job_kpis": job_kpis,
+    "job_offsets": job_offsets,
+    "job_malformed": job_malformed,
+    "job_archive": job_archive,
 }

@@ -47,12 +47,14 @@ from clickstream.sources import (
 )
 from clickstream.streaming import (
     archive,
+    batch_table,
     each_batch,
     kpi_sink,
     latest_kpis,
     quarantine,
     record_offsets,
     run_batches,
+    run_job,
     run_kpis,
     write_batch,
 )
@@ -62,6 +64,7 @@ __all__ = [
     "archive",
     "area_distribution",
     "areas_of",
+    "batch_table",
     "between_times",
     "category_dim",
     "category_product_views",
@@ -92,6 +95,7 @@ __all__ = [
     "register_log",
     "register_tail",
     "run_batches",
+    "run_job",
     "run_kpis",
     "sales_between",
     "sales_by_category",

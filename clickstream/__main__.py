@@ -7,7 +7,6 @@ import argparse
 from pyspark.sql import SparkSession
 
 from clickstream.plans import kafka_kpis, line_report, sql_report
-from clickstream.streaming.kpis import STATE_PARTITIONS
 
 
 def main(argv=None) -> None:
@@ -24,7 +23,9 @@ def main(argv=None) -> None:
     kafka.add_argument("--max-per-trigger", type=int)
     kafka.add_argument("--min-partitions", type=int)
     kafka.add_argument("--group")
-    kafka.add_argument("--state-partitions", type=int, default=STATE_PARTITIONS)
+    kafka.add_argument("--offsets", help="table of the offset ranges of each batch")
+    kafka.add_argument("--malformed", help="table of the lines that hold no record")
+    kafka.add_argument("--raw", help="archive of the records, by day")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("clickstream").getOrCreate()
@@ -42,13 +43,15 @@ def main(argv=None) -> None:
             args.table,
             args.checkpoint,
             source,
-            state_partitions=args.state_partitions,
+            offsets_path=args.offsets,
+            malformed_path=args.malformed,
+            raw_path=args.raw,
         ).awaitTermination()
         return
     report = line_report if args.job == "lines" else sql_report
     for name, result in report(spark, args.path).items():
         print(name)
-        result.show(truncate=False)
+        result.show(10, truncate=False)
 
 
 if __name__ == "__main__":

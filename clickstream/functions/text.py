@@ -27,10 +27,23 @@ def recode(df: DataFrame, charset: str = "UTF-8", column: str = "value") -> Data
 
 
 def _decode(raw: Column, charset: str) -> Column:
-    """Decode with replacement; `decode` itself fails on bad bytes and refuses e.g. GBK."""
+    """Decode with replacement; `decode` itself fails on bad bytes and refuses e.g. GBK.
+
+    A whole batch is decoded at once: its values are joined by a zero byte, which ends any broken
+    character and is no part of another in the charsets that contain ASCII.
+    """
 
     @F.pandas_udf("string")
     def decode(batch: pd.Series) -> pd.Series:
-        return batch.map(lambda b: b.decode(charset, "replace"), na_action="ignore")
+        known = batch.notna()
+        values = batch[known].map(bytes)
+        joined = b"\0".join(values)
+        texts = joined.decode(charset, "replace").split("\0")
+        if len(texts) != max(1, len(values)):  # a value has a zero byte itself
+            texts = [value.decode(charset, "replace") for value in values]
+        out = pd.Series([None] * len(batch), index=batch.index, dtype=object)
+        if len(values):
+            out[known] = texts
+        return out
 
     return decode(raw)

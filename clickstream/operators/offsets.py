@@ -12,9 +12,19 @@ def offset_ranges(batch: DataFrame) -> DataFrame:
     )
 
 
-def dedup_offsets(df: DataFrame) -> DataFrame:
-    """One row per topic, partition and offset, for records that were delivered again."""
-    return df.dropDuplicates(["topic", "partition", "offset"])
+def dedup_offsets(df: DataFrame, within: str | None = None) -> DataFrame:
+    """One row per topic, partition and offset, for records that were delivered again.
+
+    A stream needs `within`, an interval such as "1 hour", or its state would never end: records
+    that come again within it after the first, by their `timestamp`, are dropped, and the
+    state of a record goes once the stream is past it.
+    """
+    keys = ["topic", "partition", "offset"]
+    if not df.isStreaming:
+        return df.dropDuplicates(keys)
+    if within is None:
+        raise ValueError("on a stream, say within which interval records come again")
+    return df.withWatermark("timestamp", within).dropDuplicatesWithinWatermark(keys)
 
 
 def starting_offsets_json(offsets: DataFrame) -> DataFrame:

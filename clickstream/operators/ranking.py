@@ -7,35 +7,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 from clickstream.functions.parse import identified
 from clickstream.schema import UNKNOWN_CATEGORY, VIEW, category_dim
 
-# A label table is broadcast only when a look at it shows that it is no larger than this.
-MAX_BROADCAST_ROWS = 100_000
-MAX_BROADCAST_BYTES = 16 << 20
-
-# Above this n Spark no longer limits the groups before the shuffle.
-MAX_GROUP_LIMIT = 1000
+# Tasks among which the products of one category are ranked first.
+SHARES = 64
 
 
 def _lookup(dim: DataFrame | None, spark) -> DataFrame:
-    """One label per code, marked for broadcast if it is known to be small.
-
-    A larger table is left unmarked: Spark then joins by shuffle and splits hot codes.
-    """
+    """One label per code. The fixed table is broadcast; of a caller's Spark knows the size."""
     if dim is None:
         return F.broadcast(category_dim(spark))
-    unique = dim.groupBy("cid").agg(F.min("category").alias("category"))
-    return F.broadcast(unique) if _is_small(dim) else unique
-
-
-def _is_small(dim: DataFrame) -> bool:
-    """Whether the table may be broadcast, reading no more rows than that takes."""
-    size = F.coalesce(F.octet_length("cid"), F.lit(0)) + F.coalesce(
-        F.octet_length("category"), F.lit(0)
-    )
-    look = dim.limit(MAX_BROADCAST_ROWS + 1).agg(
-        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")
-    )
-    found = look.first()
-    return found.rows <= MAX_BROADCAST_ROWS and found.bytes <= MAX_BROADCAST_BYTES
+    return dim.groupBy("cid").agg(F.min("category").alias("category"))
 
 
 def with_category(df: DataFrame, dim: DataFrame | None = None) -> DataFrame:
@@ -67,16 +47,28 @@ def category_product_views(df: DataFrame, dim: DataFrame | None = None) -> DataF
 def top_products(df: DataFrame, dim: DataFrame | None = None, n: int = 2) -> DataFrame:
     """The `n` most viewed products of each category, `rank` 1 first; `pid` breaks ties.
 
-    Every task keeps its own first `n` per category before the shuffle, so the task that
-    ranks a category receives at most `n` rows from each.
+    How many products of a category have how many views tells the least number of views that can
+    be among the first `n`. Only products that reach it are ranked, for any `n`: those above it
+    are fewer than `n`, and of those that just reach it each share of the category's products
+    passes on its own first `n`.
     """
     views = category_product_views(df, dim)
+    more = Window.partitionBy("category").orderBy(F.col("views").desc())
+    # One row per category and number of views: few, as there are few different numbers.
+    cutoff = (
+        views.groupBy("category", "views")
+        .agg(F.count(F.lit(1)).alias("products"))
+        .withColumn("above", F.sum("products").over(more) - F.col("products"))
+        .filter(F.col("above") < n)
+        .groupBy("category")
+        .agg(F.min("views").alias("least"))
+    )
+    reached = views.join(cutoff, "category").filter(F.col("views") >= F.col("least"))
     order = [F.col("views").desc(), F.col("pid").asc_nulls_last()]
-    if n > MAX_GROUP_LIMIT:
-        part = F.pmod(F.xxhash64("pid"), F.lit(1024))
-        views = _first(views.withColumn("part", part), ["category", "part"], order, n).drop("part")
-    ranked = _first(views, ["category"], order, n)
-    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
+    share = F.pmod(F.xxhash64("pid"), F.lit(SHARES))
+    first = _first(reached.withColumn("share", share), ["category", "share"], order, n)
+    ranked = _first(first.drop("share", "rank"), ["category"], order, n)
+    return ranked.select("category", "pid", "views", F.col("rank").cast("bigint").alias("rank"))
 
 
 def _first(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickstream.functions.timerange import as_datetime, between_times, midnight
+from clickstream.functions.timerange import between_times, on_day_until
 from clickstream.operators.ranking import with_category
 from clickstream.schema import MONEY_SUM
 
@@ -35,8 +35,8 @@ def sales_between(df: DataFrame, lo, hi, event_types=None, include_hi: bool = Tr
 
 
 def sales_today(df: DataFrame, as_of, event_types=None) -> DataFrame:
-    """Sales from the midnight before `as_of` until `as_of`."""
-    return sales_between(df, midnight(as_of), as_datetime(as_of), event_types)
+    """Sales from the midnight before `as_of`, in the session's time zone, until `as_of`."""
+    return total_sales(on_day_until(df, as_of), event_types)
 
 
 def sales_by_day(df: DataFrame, event_types=None) -> DataFrame:
@@ -65,20 +65,26 @@ def kpi_values(
 ) -> DataFrame:
     """All sales indicators in one pass: `(kpi, key, value)`, batch or stream.
 
+    Sums are made by code and labelled at last, so that the labels are joined to few rows.
+    """
+    return labelled_kpis(code_kpis(df, kpis, event_types), dim)
+
+
+def code_kpis(df: DataFrame, kpis=tuple(KPIS), event_types=None) -> DataFrame:
+    """The indicators as `kpi_values`, but "category" with the codes as keys.
+
     The amounts become one short row per indicator, summed by (kpi, key). The map-side sums
     leave a task at most one row per key, so the shuffle and, on a stream, the state are as
     small as the result. In batch the amounts are first summed by all keys together, which
-    leaves few rows to multiply and to label; a stream allows only one aggregation.
+    leaves few rows to multiply; a stream allows only one aggregation.
     """
     rows = of_types(df, event_types)
     if not df.isStreaming:
         rows = rows.groupBy(*[_KEYS[kpi] for kpi in kpis if kpi in _KEYS]).agg(_amount())
-    if "category" in kpis:
-        rows = with_category(rows, dim)
     keys = {
         "total": F.lit(ALL),
         "day": F.col("dt").cast("string"),
-        "category": F.col("category"),
+        "category": F.col("cid"),
         "province": F.col("province"),
     }
     return (
@@ -87,3 +93,14 @@ def kpi_values(
         .groupBy("kpi", "key")
         .agg(_amount().alias("value"))
     )
+
+
+def labelled_kpis(values: DataFrame, dim: DataFrame | None = None) -> DataFrame:
+    """Indicators by code with the labels of the codes: what shares a label is added up."""
+    is_code = F.col("kpi") == "category"
+    by_label = (
+        with_category(values.filter(is_code).withColumnRenamed("key", "cid"), dim)
+        .groupBy("kpi", F.col("category").alias("key"))
+        .agg(F.sum("value").cast(MONEY_SUM).alias("value"))
+    )
+    return values.filter(~is_code).unionByName(by_label)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickstream.functions.parse import identified, parse_log
 
-VIEW_NAME = "tb_pvuv"
+VIEW_NAME = "access_log"
 
 
 def pv_uv_raw(lines: DataFrame) -> DataFrame:

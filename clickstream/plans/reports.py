@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from clickstream.functions.parse import parse_log, valid
+from clickstream.functions.parse import malformed, parse_log, valid
 from clickstream.operators.ranking import top_products
 from clickstream.operators.traffic import (
     area_distribution,
@@ -18,13 +18,13 @@ from clickstream.operators.traffic import (
 )
 from clickstream.sources.files import read_json, read_lines
 from clickstream.sources.kafka import kafka_source
-from clickstream.streaming.kpis import run_kpis
+from clickstream.streaming.kpis import run_job
 
 
 def line_report(
     spark: SparkSession, path, dim: DataFrame | None = None, share: bool = False
 ) -> dict[str, DataFrame]:
-    """Report on raw lines: `traffic`, `areas` and `top_products`, all lazy.
+    """Report on raw lines: `traffic`, `areas`, `top_products` and `malformed`, all lazy.
 
     Each scans the log once and parses only the fields it needs. With `share` the first two
     come from `visits`, also in the result and kept on first use, with one scan between them.
@@ -32,7 +32,10 @@ def line_report(
     """
     lines = read_lines(spark, path)
     views = valid(parse_log(lines, fields=["openid", "event_type", "cid", "pid"]))
-    rankings = {"top_products": top_products(views, dim)}
+    rankings = {
+        "top_products": top_products(views, dim),
+        "malformed": malformed(parse_log(lines, fields=())),
+    }
     if share:
         counted = visits(lines).persist()
         traffic = {"traffic": pv_uv_raw_of(counted), "areas": areas_of(counted)}
@@ -42,9 +45,9 @@ def line_report(
 
 
 def sql_report(
-    spark: SparkSession, path, report_time=None, limit: int | None = 10
+    spark: SparkSession, path, report_time=None, limit: int | None = None
 ) -> dict[str, DataFrame]:
-    """Report on JSON records, in SQL: `traffic` and the first `visitor_provinces`."""
+    """Report on JSON records, in SQL: `traffic` and `visitor_provinces`, the first `limit` if given."""
     log = read_json(spark, path)
     return {
         "traffic": traffic_report(log, report_time),
@@ -61,9 +64,10 @@ def kafka_kpis(
     source: dict | None = None,
     **options,
 ) -> StreamingQuery:
-    """Start the streaming job: sales indicators of Kafka topics.
+    """Start the streaming job on Kafka topics: see `run_job`.
 
-    `source` holds arguments of `kafka_options`, `options` are those of `run_kpis`.
+    `source` holds arguments of `kafka_options`, `options` are those of `run_job`: the indicators,
+    the offset ranges, the malformed lines and the archive come from one read of each batch.
     """
     stream = kafka_source(spark, brokers, topics, **(source or {}))
-    return run_kpis(stream, table, checkpoint, **options)
+    return run_job(stream, table, checkpoint, **options)

@@ -1,25 +1,28 @@
 from clickstream.streaming.batches import (
     BATCH_INTERVAL,
     archive,
+    batch_table,
     each_batch,
     quarantine,
     record_offsets,
     run_batches,
     write_batch,
 )
-from clickstream.streaming.kpis import run_kpis
+from clickstream.streaming.kpis import run_job, run_kpis
 from clickstream.streaming.sinks import KPI_SCHEMA, kpi_sink, latest_kpis
 
 __all__ = [
     "BATCH_INTERVAL",
     "KPI_SCHEMA",
     "archive",
+    "batch_table",
     "each_batch",
     "kpi_sink",
     "latest_kpis",
     "quarantine",
     "record_offsets",
     "run_batches",
+    "run_job",
     "run_kpis",
     "write_batch",
 ]

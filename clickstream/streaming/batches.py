@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickstream.functions.parse import malformed, parse_log
 from clickstream.operators.offsets import offset_ranges
+from clickstream.storage import create, delete, names, partition_values
 
 Step = Callable[[DataFrame, int], None]
 
@@ -54,33 +55,95 @@ def run_batches(
 def write_batch(
     path: str,
     transform: Callable[[DataFrame], DataFrame],
-    fmt: str = "parquet",
-    skip_empty: bool = False,
+    by: Sequence[str] = (),
+    compact_every: int = 100,
 ) -> Step:
-    """A step that writes what `transform` makes of the batch below `path/batch_id=...`.
+    """A step that adds what `transform` makes of the batch to the table at `path`.
 
-    The batch's own folder is overwritten, so a batch that runs again is not written twice.
-    With `skip_empty` an empty result leaves no folder, at the price of a look at it first.
+    Read the table with `batch_table`. A batch has a folder of its own and overwrites it, so one
+    that runs again is not written twice; an empty result leaves none. `by` names partition
+    columns below it. Every `compact_every` batches the folders since the last time are merged to
+    one, every `compact_every` times that the merged ones, and so on: the number of folders grows
+    with the logarithm of that of batches. Merged folders are removed by a later batch.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        result = transform(batch)
-        if not (skip_empty and result.isEmpty()):
-            result.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        for until in _folders(spark, path) - _current(spark, path, batch_id):
+            delete(spark, f"{path}/until={until}")
+        rows = transform(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        span = _span(batch_id, compact_every)
+        merged = {u for u in _current(spark, path, batch_id) if batch_id - span < u < batch_id}
+        if span and merged:
+            rows = _read(spark, path, merged).unionByName(rows)
+        (
+            rows.withColumn("until", F.lit(batch_id).cast("bigint"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("until", *by)
+            .parquet(path)
+        )
+        if span and merged:
+            create(spark, f"{path}/{MERGED}/{batch_id}-{span}", b"")
 
     return step
 
 
-def record_offsets(path: str) -> Step:
+def batch_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows that `write_batch` steps wrote, with their `batch_id`; None before the first."""
+    current = _current(spark, path)
+    return _read(spark, path, current) if current else None
+
+
+# Below it an empty file `batch-span` for each finished merged folder.
+MERGED = "_merged"
+
+
+def _span(batch_id: int, compact_every: int) -> int:
+    """How many batches are merged at this one; 0 for none."""
+    if batch_id == 0 or batch_id % compact_every:
+        return 0
+    span = compact_every
+    while batch_id % (span * compact_every) == 0:
+        span *= compact_every
+    return span
+
+
+def _folders(spark: SparkSession, path: str) -> set[int]:
+    return set(partition_values(spark, path, "until"))
+
+
+def _current(spark: SparkSession, path: str, before: int | None = None) -> set[int]:
+    """The folders that are not part of a merged one, of batches before the given one."""
+    spans = [tuple(map(int, name.split("-"))) for name in names(spark, f"{path}/{MERGED}")]
+    spans = [(until, span) for until, span in spans if before is None or until < before]
+    return {
+        until
+        for until in _folders(spark, path)
+        if not any(end - span < until < end for end, span in spans)
+    }
+
+
+def _read(spark: SparkSession, path: str, folders: set[int]) -> DataFrame:
+    paths = [f"{path}/until={until}" for until in sorted(folders)]
+    return spark.read.option("basePath", path).parquet(*paths).drop("until")
+
+
+def record_offsets(path: str, compact_every: int = 100) -> Step:
     """A step that records the offset ranges of each batch of Kafka records."""
-    return write_batch(path, offset_ranges)
+    return write_batch(path, offset_ranges, compact_every=compact_every)
 
 
-def quarantine(path: str) -> Step:
-    """A step that keeps the malformed lines of each batch with their coordinates."""
-    return write_batch(
-        path, lambda batch: malformed(parse_log(batch, fields=())), skip_empty=True
-    )
+def quarantine(path: str, compact_every: int = 100) -> Step:
+    """A step that keeps the malformed lines of each batch with their coordinates.
+
+    The batch may be parsed already; if not, each line is parsed once here.
+    """
+
+    def bad(batch: DataFrame) -> DataFrame:
+        return malformed(batch if "ok" in batch.columns else parse_log(batch, fields=()))
+
+    return write_batch(path, bad, compact_every=compact_every)
 
 
 def archive(

@@ -5,14 +5,22 @@ from __future__ import annotations
 from collections.abc import Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickstream.functions.parse import parse_log, valid
-from clickstream.operators.sales import KPIS, kpi_values
+from clickstream.operators.sales import KPIS, code_kpis, labelled_kpis
+from clickstream.schema import LOG_FIELDS
 from clickstream.storage import exists, partition_values
-from clickstream.streaming.batches import BATCH_INTERVAL, Step, each_batch
-from clickstream.streaming.sinks import kpi_sink, remove_remains
+from clickstream.streaming.batches import (
+    BATCH_INTERVAL,
+    Step,
+    each_batch,
+    quarantine,
+    record_offsets,
+    write_batch,
+)
+from clickstream.streaming.sinks import kpi_increments, kpi_sink, latest_kpis, remove_remains
 
 STATE_PARTITIONS = 8
 
@@ -43,7 +51,8 @@ def run_kpis(
     a state file per batch, so few are best even on a large cluster. Spark fixes the number
     when a checkpoint is new.
 
-    `also` holds functions of `(changed_rows, batch_id)` that run after the table is written,
+    The state has sales by category code, and only the codes that a batch changed are labelled,
+    for `also`: functions of `(changed_rows, batch_id)` that run after the table is written,
     for instance to push the changed indicators to a key/value store.
 
     A table belongs to one checkpoint and one running query. With a new checkpoint the batch
@@ -57,10 +66,11 @@ def run_kpis(
     fields = ["total_money", *(KPIS[kpi] for kpi in kpis if KPIS[kpi])]
     if event_types is not None:
         fields.append("event_type")
-    values = kpi_values(valid(parse_log(lines, fields)), kpis, dim, event_types)
+    values = code_kpis(valid(parse_log(lines, fields)), kpis, event_types)
+    steps = [kpi_sink(table, compact_every), *(_with_labels(step, table, dim) for step in also)]
     writer = (
         values.writeStream.outputMode("update")
-        .foreachBatch(each_batch(kpi_sink(table, compact_every), *also, skip_empty=False))
+        .foreachBatch(each_batch(*steps, skip_empty=False))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or BATCH_INTERVAL))
     )
@@ -70,6 +80,78 @@ def run_kpis(
         return writer.start()
 
 
+def _with_labels(step: Step, table: str, dim: DataFrame | None) -> Step:
+    """The step on the current values of the labels that the batch changed."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        changed = labelled_kpis(batch.select("kpi", "key", "value"), dim)
+        changed = changed.select(F.col("kpi").alias("_kpi"), F.col("key").alias("_key"))
+        same = F.expr("kpi = _kpi AND key <=> _key")
+        step(latest_kpis(batch.sparkSession, table, dim=dim).join(changed, same, "left_semi"), batch_id)
+
+    return run
+
+
+def run_job(
+    stream: DataFrame,
+    table: str,
+    checkpoint: str,
+    offsets_path: str | None = None,
+    malformed_path: str | None = None,
+    raw_path: str | None = None,
+    kpis=tuple(KPIS),
+    event_types=None,
+    trigger: dict | None = None,
+    compact_every: int = 100,
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Start one query that does all of the streaming job on each batch of Kafka records.
+
+    The batch is read and parsed once and kept for its steps: the sales indicators (`table`, read
+    it with `latest_kpis`), and as far as paths are given the offset ranges, the malformed lines
+    and the archive of the records by day (read them with `batch_table`). All have one checkpoint
+    and so the same batches. Sums of the batch are added to the table's values: the table is
+    the state, and nothing is kept per key elsewhere.
+    """
+    spark = stream.sparkSession
+    if partition_values(spark, table, "batch_id") and not exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{table} has rows of another checkpoint; give a new table")
+    remove_remains(spark, table)
+    add = kpi_increments(table, compact_every)
+    steps: list[Step] = [
+        lambda batch, batch_id: add(code_kpis(valid(batch), kpis, event_types), batch_id)
+    ]
+    if offsets_path:
+        steps.append(record_offsets(offsets_path, compact_every))
+    if malformed_path:
+        steps.append(quarantine(malformed_path, compact_every))
+    if raw_path:
+        steps.append(write_batch(raw_path, valid, by=["dt"], compact_every=compact_every))
+    # Only what the steps need is kept; the archive needs all fields.
+    fields = LOG_FIELDS if raw_path else ["time", "cid", "province", "total_money", "event_type"]
+    names = ["topic", "partition", "offset", "value"]
+    parsed = parse_log(stream.select(*[n for n in names if n in stream.columns]), fields)
+    writer = (
+        parsed.writeStream.foreachBatch(_kept(each_batch(*steps)))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or BATCH_INTERVAL))
+    )
+    return (writer.queryName(query_name) if query_name else writer).start()
+
+
+def _kept(step: Step) -> Step:
+    """The step on a batch that is parsed once, whatever is asked of it."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            step(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    return run
+
+
 @contextmanager
 def _shuffle_partitions(spark: SparkSession, number: int | None):
     """The setting for a query that starts meanwhile; a query keeps the settings of its start."""

@@ -11,8 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickstream.operators.sales import labelled_kpis
 from clickstream.schema import MONEY_SUM
-from clickstream.storage import delete, names, partition_values
+from clickstream.storage import create, delete, names, partition_values
 
 KPI_SCHEMA = f"kpi string, key string, value {MONEY_SUM}, batch_id bigint"
 
@@ -21,25 +22,21 @@ def kpi_sink(path: str, compact_every: int = 100) -> Callable[[DataFrame, int],
     """A `foreachBatch` function that writes `(kpi, key, value)` rows to the table at `path`.
 
     Every `compact_every` batches the partition holds the latest value of every key instead of
-    the changed ones. Once a second whole partition is finished, which the next batch shows,
-    what is older than the first is removed. So the table stays at about twice `compact_every`
-    folders, and a reader has that many batches before folders it has listed go away.
+    the changed ones. Once a second such whole partition is finished, a later batch, of this run or
+    another, removes what is older than the first. So the table stays at about twice
+    `compact_every` folders, and a reader has that many batches before folders it has listed go.
     """
-    whole_ids = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        _remove_old(spark, path, batch_id)
         changed = batch.select("kpi", "key", "value")
-        if len(whole_ids) > 1 and whole_ids[-1] < batch_id:
-            for old in partition_values(spark, path, "batch_id"):
-                if old < whole_ids[0]:
-                    delete(spark, f"{path}/batch_id={old}")
-            del whole_ids[:-1]
         whole = batch_id > 0 and batch_id % compact_every == 0
         if whole:
-            older = _table(spark, path).filter(F.col("batch_id") < batch_id)
             changed = _latest(
-                older.unionByName(changed.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
+                _table(spark, path)
+                .filter(F.col("batch_id") < batch_id)
+                .unionByName(changed.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
             )
         (
             changed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -49,11 +46,50 @@ def kpi_sink(path: str, compact_every: int = 100) -> Callable[[DataFrame, int],
             .parquet(path)
         )
         if whole:
-            whole_ids.append(batch_id)
+            create(spark, f"{path}/{WHOLE}/{batch_id}", b"")
 
     return write
 
 
+def kpi_increments(path: str, compact_every: int = 100) -> Callable[[DataFrame, int], None]:
+    """As `kpi_sink`, for the sums of the batch alone: they are added to the table's values.
+
+    What earlier batches left is the state, so a batch that runs again finds the same as before.
+    """
+    write = kpi_sink(path, compact_every)
+
+    def add(sums: DataFrame, batch_id: int) -> None:
+        spark = sums.sparkSession
+        before = _table(spark, path) if partition_values(spark, path, "batch_id") else None
+        if before is not None:
+            before = _latest(before.filter(F.col("batch_id") < batch_id))
+            before = before.withColumnRenamed("value", "before")
+            same = sums["kpi"].eqNullSafe(before["kpi"]) & sums["key"].eqNullSafe(before["key"])
+            value = F.coalesce(F.col("value") + F.col("before"), "value", "before")
+            sums = sums.join(before, same, "left").select(
+                sums["kpi"], sums["key"], value.cast(MONEY_SUM).alias("value")
+            )
+        write(sums, batch_id)
+
+    return add
+
+
+# Below it an empty file for each whole partition that is finished.
+WHOLE = "_whole"
+
+
+def _remove_old(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Removes what is older than the last but one whole partition before this batch."""
+    finished = sorted(int(name) for name in names(spark, f"{path}/{WHOLE}") if int(name) < batch_id)
+    if len(finished) < 2:
+        return
+    for old in partition_values(spark, path, "batch_id"):
+        if old < finished[-2]:
+            delete(spark, f"{path}/batch_id={old}")
+    for old in finished[:-2]:
+        delete(spark, f"{path}/{WHOLE}/{old}")
+
+
 def remove_remains(spark: SparkSession, path: str) -> None:
     """Remove what a killed writer of the table left. The table must have no writer now."""
     for name in names(spark, path):
@@ -61,9 +97,15 @@ def remove_remains(spark: SparkSession, path: str) -> None:
             delete(spark, f"{path}/{name}")
 
 
-def latest_kpis(spark: SparkSession, path: str, zero_if_empty: bool = False) -> DataFrame:
-    """The current `(kpi, key, value)` rows; `zero_if_empty` shows a null value as 0."""
-    latest = _latest(_table(spark, path))
+def latest_kpis(
+    spark: SparkSession, path: str, zero_if_empty: bool = False, dim: DataFrame | None = None
+) -> DataFrame:
+    """The current `(kpi, key, value)` rows; `zero_if_empty` shows a null value as 0.
+
+    The table has sales by category code; they get their labels here, from `dim` or the fixed
+    table, and what shares a label is added up.
+    """
+    latest = labelled_kpis(_latest(_table(spark, path)), dim)
     if zero_if_empty:
         latest = latest.withColumn("value", F.coalesce("value", F.lit(0).cast(MONEY_SUM)))
     return latest

@@ -7,7 +7,6 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 import clickstream as cs
-from clickstream.operators import ranking
 from tests.conftest import rows
 
 D = Decimal
@@ -24,7 +23,7 @@ def test_traffic_report(spark, records):
     assert rows(cs.traffic_report(log, fixed)) == [(fixed, 3, 2)]
     assert cs.traffic_report(log).first().report_time.year >= 2024
     # The view is there for the user's own SQL, and a second report replaces it.
-    assert spark.sql("SELECT count(*) FROM tb_pvuv").first()[0] == 4
+    assert spark.sql("SELECT count(*) FROM access_log").first()[0] == 4
 
 
 def test_visits_of_no_lines(spark):
@@ -74,9 +73,7 @@ def test_ambiguous_dim_does_not_multiply_rows(spark, records):
     assert rows(cs.with_category(records({"cid": "1"}), dim), "category") == [("a",)]
 
 
-@pytest.mark.parametrize("limit", ["MAX_BROADCAST_ROWS", "MAX_BROADCAST_BYTES"])
-def test_large_dim_is_not_broadcast_by_force(spark, records, monkeypatch, limit):
-    monkeypatch.setattr(ranking, limit, 2)
+def test_dim_of_a_caller_is_not_broadcast_by_force(spark, records):
     dim = spark.range(10).selectExpr("cast(id AS string) cid", "concat('c', id) category")
     joined = cs.with_category(records({"cid": "1"}, {"cid": "77"}), dim)
     assert "strategy=broadcast" not in joined._jdf.queryExecution().analyzed().toString()
@@ -99,17 +96,20 @@ def test_category_product_views(records):
     assert rows(cs.category_product_views(log)) == [("books", "x", 3), ("unknown", "y", 3)]
 
 
-def test_top_products_ties(records, monkeypatch):
+def test_top_products_ties(records):
     log = records(*view("1", "b", 2), *view("1", "c", 2), *view("1", "a", 2), *view("2", "z"))
     best = [("books", "a", 2, 1), ("books", "b", 2, 2), ("clothing", "z", 1, 1)]
     assert rows(cs.top_products(log)) == best
-    monkeypatch.setattr(ranking, "MAX_GROUP_LIMIT", 1)  # the way of a large n
-    assert rows(cs.top_products(log)) == best
+    assert len(rows(cs.top_products(log, n=5000))) == 4
 
 
-def test_top_products_limits_before_the_shuffle(records):
-    plan = cs.top_products(records(*view("1", "a")))._jdf.queryExecution().executedPlan()
-    assert "row_number(), 2, Partial" in plan.toString()
+@pytest.mark.parametrize("n", [1, 3, 4, 5, 100])
+def test_top_products_of_many(records, n):
+    products = [(f"p{i:02}", 1 + i % 4) for i in range(20)]
+    log = records(*[v for pid, count in products for v in view("1", pid, count)])
+    best = sorted(products, key=lambda p: (-p[1], p[0]))[:n]
+    expected = [("books", pid, count, rank) for rank, (pid, count) in enumerate(best, 1)]
+    assert rows(cs.top_products(log, n=n), "category", "pid", "views", "rank") == sorted(expected)
 
 
 SALES = [
@@ -221,3 +221,20 @@ def test_sums_and_counts_agree(lines, values):
     assert total(values_of.filter("kpi = 'province'")) == expected
     assert total(values_of) == 4 * expected
     log.unpersist()
+
+
+def test_sales_today_of_a_moment_with_a_zone(spark, records):
+    sales = [
+        {"time": "2024-01-01 12:00:00", "total_money": 1},
+        {"time": "2024-01-02 01:00:00", "total_money": 2},
+    ]
+    log = records(*sales)
+    # The same moment, said in three ways; its day is that of the session, UTC.
+    for as_of in ("2024-01-02 06:00:00+08:00", "2024-01-01 22:00:00", "2024-01-01 22:00:00+00:00"):
+        assert rows(cs.sales_today(log, as_of)) == [(D("1.00"),)]
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+    try:
+        today = cs.sales_today(records(*sales), "2024-01-01 22:00:00+00:00")
+        assert rows(today) == [(D("2.00"),)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -16,12 +17,12 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 @pytest.fixture(scope="module")
 def tables():
     connection = duckdb.connect()
-    for name in ("region", "nation", "customer", "events"):
+    for name in ("region", "nation", "customer", "events", "part"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
     return connection
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, tables, name):
     got = entry.queries()[name](spark, SF_DIR)
     expected = tables.execute(entry.oracle_sql()[name])

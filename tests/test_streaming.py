@@ -83,7 +83,29 @@ def test_kpi_subset_and_event_types(log, tmp_path):
 
 def test_own_dim(log, tmp_path):
     dim = log.spark.createDataFrame([("1", "x"), ("2", "x")], "cid string, category string")
-    assert run(log, tmp_path, dim=dim) == log.expected(dim=dim)
+    pushed = {}
+
+    def push(changed, batch_id):
+        pushed.update({(r.kpi, r.key): r.value for r in changed.collect()})
+
+    run(log, tmp_path, dim=dim, also=[push])
+    got = cs.latest_kpis(log.spark, str(tmp_path / "table"), dim=dim)
+    assert rows(got, "kpi", "key", "value") == log.expected(dim=dim)
+    # The last push of a label has all of its codes.
+    expected = {row[1]: row[2] for row in log.expected(dim=dim) if row[0] == "category"}
+    assert {key: v for (kpi, key), v in pushed.items() if kpi == "category"} == expected
+
+
+def test_labels_are_joined_to_sums(spark, log):
+    """No record is shuffled by its code, however large the table of labels."""
+    dim = spark.range(200_000).selectExpr("cast(id AS string) cid", "concat('c', id) category")
+    values = cs.kpi_values(cs.valid(cs.parse_log(cs.read_lines(spark, str(log.folder)))), dim=dim)
+    plan = values._jdf.queryExecution().executedPlan().toString()
+    below = [line for line in plan.splitlines() if "hashpartitioning(cid" in line]
+    lines = plan.splitlines()
+    for line in below:
+        after = lines[lines.index(line) + 1 :]
+        assert any("HashAggregate" in later or "Range" in later for later in after[:4])
 
 
 def test_restart_changes_nothing_and_goes_on(log, tmp_path):
@@ -115,7 +137,6 @@ def test_steps_beside_the_table(log, tmp_path):
     store = {}
 
     def push(changed, batch_id):
-        assert changed.is_cached
         store.update({(r.kpi, r.key): r.value for r in changed.collect()})
 
     got = run(log, tmp_path, also=[push])
@@ -124,6 +145,80 @@ def test_steps_beside_the_table(log, tmp_path):
     ]
 
 
+def test_compaction_survives_restarts(log, tmp_path):
+    for i in range(4, 13):
+        log.add(*map(entry, range(i * 100, i * 100 + 3)))
+        assert run(log, tmp_path, compact_every=2) == log.expected()
+        assert len(list((tmp_path / "table").glob("batch_id=*"))) <= 5
+
+
+def test_batch_tables_stay_small(spark, log, tmp_path):
+    """Merged tables have each batch once, whatever is merged, restarted or run again."""
+    for i in range(4, 14):
+        log.add(*map(entry, range(i * 100, i * 100 + 3)), f"bad {i}")
+        cs.run_batches(
+            kafka_shaped(log), str(tmp_path / "c"),
+            cs.quarantine(str(tmp_path / "bad"), compact_every=2),
+            cs.record_offsets(str(tmp_path / "offsets"), compact_every=2),
+            trigger=NOW,
+        ).awaitTermination()
+        bad = cs.batch_table(spark, str(tmp_path / "bad"))
+        assert len(rows(bad, "value")) == 3 + i - 3
+        assert bad.select("batch_id").distinct().count() == bad.select("batch_id", "value").distinct().count() - 1
+        assert len(list((tmp_path / "offsets").glob("until=*"))) <= 7
+    assert cs.batch_table(spark, str(tmp_path / "offsets")).select("batch_id").distinct().count() == 13
+
+
+def test_job(spark, log, tmp_path):
+    log.add()
+    paths = {name: str(tmp_path / name) for name in ("offsets_path", "malformed_path", "raw_path")}
+
+    def job():
+        cs.run_job(
+            kafka_shaped(log), str(tmp_path / "kpis"), str(tmp_path / "c"), trigger=NOW,
+            compact_every=2, **paths,
+        ).awaitTermination()
+        return rows(cs.latest_kpis(spark, str(tmp_path / "kpis")), "kpi", "key", "value")
+
+    first = job()
+    assert first == log.expected()
+    for name in ("2", ".2.crc"):  # the last batch runs again
+        os.remove(tmp_path / "c" / "commits" / name)
+    assert job() == first
+    log.add(*map(entry, range(100, 130)), "worse")
+    assert job() == log.expected()
+    lines = cs.read_lines(spark, str(log.folder))
+    archived = cs.batch_table(spark, paths["raw_path"])
+    records = cs.valid(cs.parse_log(lines))
+    assert rows(archived, "openid", "cid", "total_money", "dt") == rows(
+        records, "openid", "cid", "total_money", "dt"
+    )
+    bad = cs.batch_table(spark, paths["malformed_path"])
+    assert rows(bad, "value", "kind") == rows(
+        cs.malformed(cs.parse_log(lines)), "value", "kind"
+    )
+    offsets = cs.batch_table(spark, paths["offsets_path"])
+    assert offsets.select("batch_id").distinct().count() == 4
+    shutil.rmtree(tmp_path / "c")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        job()
+
+
+def test_dedup_on_a_stream_has_an_end(spark, log, tmp_path):
+    stream = kafka_shaped(log).selectExpr("*", "timestamp '2024-01-01 00:00:00' AS timestamp")
+    with pytest.raises(ValueError, match="interval"):
+        cs.dedup_offsets(stream)
+    hours = "coalesce(try_cast(get_json_object(value, '$.total_money') AS int), 0)"
+    stream = kafka_shaped(log).selectExpr("*", f"timestamp_seconds(3600 * {hours}) AS timestamp")
+    query = (
+        cs.dedup_offsets(stream, within="1 hour").writeStream.format("noop")
+        .option("checkpointLocation", str(tmp_path / "c")).trigger(**NOW).start()
+    )
+    query.awaitTermination()
+    state = query.lastProgress["stateOperators"][0]
+    assert state["numRowsTotal"] <= 10  # of 100 records
+
+
 def test_replay_of_a_whole_batch(log, tmp_path):
     first = run(log, tmp_path, compact_every=2)
     for name in ("2", ".2.crc"):
@@ -205,11 +300,11 @@ def test_batch_steps(spark, log, tmp_path):
     ).awaitTermination()
     assert sorted(n for _, n, _ in seen) == [20, 41, 42]
     assert all(cached for *_, cached in seen)
-    offsets = spark.read.parquet(str(tmp_path / "offsets"))
+    offsets = cs.batch_table(spark, str(tmp_path / "offsets"))
     assert {"batch_id", "topic", "partition", "from_offset", "until_offset"} == set(offsets.columns)
     assert offsets.select("batch_id").distinct().count() == 3
-    assert len(list((tmp_path / "bad").glob("batch_id=*"))) == 2  # one batch was clean
-    assert rows(spark.read.parquet(str(tmp_path / "bad")), "value", "kind") == [
+    assert len(list((tmp_path / "bad").glob("until=*"))) == 2  # one batch was clean
+    assert rows(cs.batch_table(spark, str(tmp_path / "bad")), "value", "kind") == [
         ("", "blank"), ("not json", "corrupt"), ('{"openid":"u5"', "corrupt")
     ]
 
