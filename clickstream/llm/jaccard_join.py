@@ -5,8 +5,8 @@
 2. The forest: each tree orders the signatures by a label of some MinHashes; documents that share a
    prefix of their labels are a branch of that trie. Prefixes are shortened, one tree at a time,
    until a pair at the threshold is found with the target recall.
-3. In each branch the members are linked to the first one if their whole signatures agree well
-   enough; those that do not form a branch of their own in the next round, until none is left.
+3. Branches of the same members count once. The members of a branch are linked if their whole
+   signatures agree well enough; a large branch is compared in blocks.
 4. Linked documents form candidate groups. Their shingle sets are shipped once, and all pairs of a
    group are verified in blocks, so that a group of any size is spread over many tasks. What
    leaves a block are counts and a spanning forest, never all pairs.
@@ -138,53 +138,103 @@ def _documents(docs: DataFrame) -> DataFrame:
     )
 
 
+def _sides(rows: DataFrame, size: str) -> DataFrame:
+    """Deals the members of each group (`group`, `rep`) to blocks of pairs: `side` and `cell`.
+
+    A group has as many sides as it needs, and a block has the members of one or two of them.
+    """
+    sides = F.ceil(F.col(size) / F.lit(CELL)).cast("int")
+    dealt = rows.withColumn("sides", sides).withColumn(
+        "side", F.pmod(F.xxhash64("rep"), F.col("sides")).cast("int")
+    )
+    other = F.explode(F.sequence(F.lit(0), F.col("sides") - 1)).alias("other")
+    return dealt.select("*", other).withColumn(
+        "cell",
+        F.xxhash64("group", F.least("side", "other"), F.greatest("side", "other")),
+    ).drop("sides", "other")
+
+
+def _in_buckets(cells: DataFrame) -> DataFrame:
+    """Blocks by bucket, so that a task gets many small ones at once."""
+    buckets = F.lit(8 * partitions(cells.sparkSession))
+    return cells.withColumn("bucket", F.pmod("cell", buckets).cast("int"))
+
+
 def _candidates(sets: DataFrame, least: float) -> DataFrame:
     """Links `a`, `b` between representatives that share a branch and have like signatures."""
-    signatures = sets.select("rep", "signature")
     members = sets.select("rep", F.explode("prefixes").alias("branch"))
-    rounds = []
-    while True:
-        firsts = members.groupBy("branch").agg(
-            F.min("rep").alias("first"), F.count(F.lit(1)).alias("size")
-        )
-        firsts = materialise(firsts.filter("size > 1").drop("size"), "branches")
-        told = materialise(members.join(firsts, "branch").filter("rep <> first"), "members")
-        if told.isEmpty():
-            break
-        pairs = told.select("rep", "first").distinct()
-        both = pairs.join(signatures, "rep").join(
-            signatures.toDF("first", "first_signature"), "first"
-        )
-        agree = both.mapInArrow(_agreement, _agreement_schema(both)).filter(F.col("share") >= least)
-        links = materialise(agree.select("rep", "first"), "links")
-        rounds.append(links)
-        members = told.join(links, ["rep", "first"], "left_anti").select("rep", "branch")
-    empty = signatures.select(F.col("rep").alias("rep"), F.col("rep").alias("first")).limit(0)
-    for links in rounds:
-        empty = empty.unionByName(links)
-    return empty.toDF("a", "b").distinct()
-
-
-def _agreement_schema(both: DataFrame) -> str:
-    kind = both.schema["rep"].dataType.simpleString()
-    return f"rep {kind}, first {kind}, share double"
-
-
-def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The share of equal MinHashes, of which 8 bits each are compared."""
-    for batch in batches:
-        a, b = (
-            np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8)
-            for name in ("signature", "first_signature")
-        )
-        share = (a == b).reshape(batch.num_rows, -1).mean(axis=1) if batch.num_rows else []
-        yield pa.RecordBatch.from_pydict(
-            {
-                "rep": batch.column("rep"),
-                "first": batch.column("first"),
-                "share": pa.array(share, pa.float64()),
-            }
-        )
+    branches = members.groupBy("branch").agg(
+        F.count(F.lit(1)).alias("size"),
+        F.bit_xor(F.xxhash64("rep")).alias("members"),
+        F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("again"),
+    )
+    distinct = (
+        branches.filter("size > 1")
+        .groupBy("size", "members", "again")
+        .agg(F.min("branch").alias("branch"))
+        .select("branch", "size")
+    )
+    shared = members.join(materialise(distinct, "branches"), "branch")
+    rows = shared.withColumnRenamed("branch", "group").join(sets.select("rep", "signature"), "rep")
+    rep = sets.schema["rep"].dataType.simpleString()
+    links = (
+        _in_buckets(_sides(rows, "size"))
+        .select("bucket", "cell", "side", "rep", "signature")
+        .groupBy("bucket")
+        .applyInArrow(_alike(least), f"a {rep}, b {rep}")
+    )
+    return materialise(links.distinct(), "candidates")
+
+
+def _blocks_of(cell: np.ndarray) -> list[np.ndarray]:
+    order = np.argsort(cell, kind="stable")
+    cuts = np.flatnonzero(cell[order][1:] != cell[order][:-1]) + 1
+    return np.split(order, cuts)
+
+
+def _whole(near: np.ndarray, a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+    """The relation of two sides as one between all members; none is related to itself."""
+    whole = np.zeros((size, size), bool)
+    whole[np.ix_(a, b)] = near
+    whole |= whole.T
+    np.fill_diagonal(whole, False)
+    return whole
+
+
+def _two_sides(side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    a = np.flatnonzero(side == side.min())
+    return a, np.flatnonzero(side == side.max())
+
+
+def _alike(least: float):
+    """Links each member of a block to the first that it is connected to by like signatures.
+
+    Of each MinHash 8 bits are compared.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        side, cell = (table.column(name).to_numpy() for name in ("side", "cell"))
+        signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8)
+        signatures = signatures.reshape(len(cell), -1)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        here = _blocks_of(cell) if len(cell) else []
+        pairs = np.array([block for block in here if len(block) == 2], np.int64).reshape(-1, 2)
+        like = (signatures[pairs[:, 0]] == signatures[pairs[:, 1]]).mean(axis=1) >= least
+        found.append((pairs[like, 0], pairs[like, 1]))
+        for block in here:
+            if len(block) == 2:
+                continue
+            a, b = _two_sides(side[block])
+            own, others = signatures[block[a]], signatures[block[b]]
+            near = np.array([(others == one).mean(axis=1) >= least for one in own])
+            root = _roots(_whole(near, a, b, len(block)))
+            linked = np.flatnonzero(root != np.arange(len(block)))
+            found.append((block[linked], block[root[linked]]))
+        a, b = (np.concatenate(x) for x in zip(*found))
+        reps = table.column("rep")
+        return pa.table({"a": reps.take(pa.array(a)), "b": reps.take(pa.array(b))})
+
+    return run
 
 
 def _with_shingles(shingle: int):
@@ -195,7 +245,7 @@ def _with_shingles(shingle: int):
                 texts = [t.encode() for t in part.column("text").to_pylist()]
                 hashes, at = _shingles(texts, shingle)
                 sets = [hashes[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-                columns = {name: part.column(name) for name in ("rep", "root", "copies", "sides")}
+                columns = {name: part.column(name) for name in ("rep", "group", "copies", "members")}
                 yield pa.RecordBatch.from_pydict(columns | {"set": pa.array(sets, pa.binary())})
 
     return run
@@ -248,36 +298,20 @@ def _roots(near: np.ndarray) -> np.ndarray:
 def _verified(threshold: float):
     """Blocks of pairs: the links of each document there, and one link to its group's first."""
 
-    def block(reps, copies, sides, sets):
-        cross = sides.min() != sides.max()
-        a = np.flatnonzero(sides == sides.min())
-        b = np.flatnonzero(sides == sides.max()) if cross else a
-        near = _near([sets[i] for i in a], [sets[i] for i in b], threshold)
-        if cross:
-            whole = np.zeros((len(reps), len(reps)), bool)
-            whole[np.ix_(a, b)] = near
-            whole |= whole.T
-        else:
-            whole = near
-            np.fill_diagonal(whole, False)
-        links = whole @ copies
-        return links, _roots(whole)
-
     def run(table: pa.Table) -> pa.Table:
-        # Blocks are told apart by their group and pair of sides; a repeated row counts once.
-        names = (table.column(name).to_pylist() for name in ("root", "cell", "rep"))
-        cell, rep = np.array([(f"{r}/{c}", str(m)) for r, c, m in zip(*names)]).reshape(-1, 2).T
-        _, kept = np.unique(np.char.add(cell, rep), return_index=True)
-        table, cell = table.take(pa.array(kept)), cell[kept]
-        order = np.argsort(cell, kind="stable")
-        cuts = np.flatnonzero(np.append(True, cell[order][1:] != cell[order][:-1]))
-        copies = table.column("copies").to_numpy()
-        side = table.column("side").to_numpy()
+        # A repeated row counts once.
+        names = (table.column(name).to_pylist() for name in ("cell", "rep"))
+        _, kept = np.unique([f"{c}/{m}" for c, m in zip(*names)], return_index=True)
+        table = table.take(pa.array(kept))
+        cell, copies, side = (table.column(n).to_numpy() for n in ("cell", "copies", "side"))
         sets = [np.frombuffer(s, np.uint64) for s in table.column("set").to_pylist()]
-        links, first = np.zeros(len(order), np.int64), np.arange(len(order))
-        for here in np.split(order, cuts[1:]):
-            found, root = block(here, copies[here], side[here], [sets[i] for i in here])
-            links[here], first[here] = found, here[root]
+        links, first = np.zeros(len(cell), np.int64), np.arange(len(cell))
+        for block in _blocks_of(cell) if len(cell) else []:
+            a, b = _two_sides(side[block])
+            near = _near([sets[i] for i in block[a]], [sets[i] for i in block[b]], threshold)
+            whole = _whole(near, a, b, len(block))
+            links[block] = whole @ copies[block]
+            first[block] = block[_roots(whole)]
         return pa.table(
             {
                 "a": table.column("rep"),
@@ -291,35 +325,24 @@ def _verified(threshold: float):
 
 def _verify(docs: DataFrame, sets: DataFrame, groups: DataFrame, shingle: int, threshold: float):
     """Per block and representative: a link `a`, `b` within its group, and its number of links."""
-    spark = docs.sparkSession
-    sizes = materialise(groups.groupBy("root").agg(F.count(F.lit(1)).alias("size")), "sizes")
-    # A group is dealt to as many sides as it needs, and a block has one or two of them.
-    number = F.ceil(F.col("size") / F.lit(CELL)).cast("int")
+    sizes = groups.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
     dealt = (
-        groups.join(sizes, "root")
-        .withColumn("sides", number)
+        groups.join(materialise(sizes, "sizes"), "root")
         .join(sets.select(F.col("rep").alias("node"), "copies"), "node")
-        .select(F.col("node").alias("rep"), "root", "copies", "sides",
+        .select(F.col("node").alias("rep"), F.col("root").alias("group"), "copies", "members",
                 F.col("node.doc").alias("doc"), F.col("node.row").alias("row"))
     )
     # Rows that repeat id and text are one document here.
     texts = _documents(docs)
     same = texts["doc"].eqNullSafe(dealt["doc"]) & (texts["row"] == dealt["row"])
     rep = groups.schema["node"].dataType.simpleString()
-    shipped = texts.join(dealt, same).select("rep", "root", "copies", "sides", "text", "size")
+    shipped = texts.join(dealt, same).select("rep", "group", "copies", "members", "text", "size")
     shipped = shipped.mapInArrow(
-        _with_shingles(shingle), f"rep {rep}, root {rep}, copies long, sides int, set binary"
-    )
-    other = F.explode(F.sequence(F.lit(0), F.col("sides") - 1)).alias("other")
-    cells = (
-        shipped.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("sides")).cast("int"))
-        .select("*", other)
-        .withColumn("cell", F.concat_ws("-", F.least("side", "other"), F.greatest("side", "other")))
+        _with_shingles(shingle), f"rep {rep}, group {rep}, copies long, members long, set binary"
     )
-    bucket = F.pmod(F.xxhash64("root", "cell"), F.lit(8 * partitions(spark))).cast("int")
     return (
-        cells.withColumn("bucket", bucket)
-        .select("bucket", "rep", "root", "copies", "side", "cell", "set")
+        _in_buckets(_sides(shipped, "members"))
+        .select("bucket", "cell", "side", "rep", "copies", "set")
         .groupBy("bucket")
         .applyInArrow(_verified(threshold), f"a {rep}, b {rep}, links long")
     )
@@ -342,8 +365,7 @@ def jaccard_join(
     text are copies like any other. The forest may miss a pair, with a probability of 1 - `recall`
     for pairs at the threshold and less for nearer ones; no pair is linked that is not near.
     """
-    spark = docs.sparkSession
-    ship(spark)
+    ship(docs.sparkSession)
     lengths = prefix_lengths(threshold, trees, LONGEST, recall)
     signed = _documents(docs).mapInArrow(
         _signed(lengths, shingle),
