@@ -60,6 +60,28 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(doc_id), F.col(text))
 
 
+def own_columns(docs: DataFrame) -> list[Column]:
+    """All columns of `docs`, told apart from those of what it is joined with."""
+    return [docs[f"`{name}`"] for name in docs.columns]
+
+
+def same_row(docs: DataFrame, found: DataFrame) -> Column:
+    """Whether a row of `docs` is the one that `doc_id` and `row` of `found` stand for."""
+    key = F.xxhash64(docs["doc_id"], docs["text"])
+    return docs["doc_id"].eqNullSafe(found["doc_id"]) & (key == found["row"])
+
+
+def found_rows(found: DataFrame, *more: str) -> DataFrame:
+    """`doc_id`, `row` and `more`, renamed to themselves: a join with their source is no riddle."""
+    return found.select(*[F.col(name).alias(name) for name in ("doc_id", "row", *more)])
+
+
+def rows_without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of `docs` that `gone`, with `doc_id` and `row`, does not list."""
+    gone = found_rows(gone)
+    return docs.join(gone, same_row(docs, gone), "left_anti")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -12,7 +12,14 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickstream.llm.common import materialise, row_key
+from clickstream.llm.common import (
+    found_rows,
+    materialise,
+    own_columns,
+    row_key,
+    rows_without,
+    same_row,
+)
 
 WINDOW = 13  # words
 PIECE = 32  # words
@@ -174,10 +181,7 @@ def contamination(
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    found = contamination(docs, benchmark, **options).filter("contaminated")
-    found = found.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"))
-    same = (row_key() == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-    return docs.join(found, same, "left_anti")
+    return rows_without(docs, contamination(docs, benchmark, **options).filter("contaminated"))
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -185,16 +189,21 @@ def without_spans(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
 
     What separates words stays, once for each kept word; documents without a hit are unchanged.
     """
-    found = contamination(docs, benchmark, **options).filter("n_hit > 0").distinct()
-    found = found.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), "spans")
-    same = (row_key() == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-    words = F.array_remove(F.split("text", RAW_SEPARATOR), "")
-    gaps = F.split("text", RAW_WORD)
-    hit = lambda i: F.exists("spans", lambda s: (s["start"] <= i) & (i < s["end"]))
+    hit = contamination(docs, benchmark, **options).filter("n_hit > 0")
+    hit = found_rows(hit, "spans").distinct()
+    text, spans = docs["text"], hit["spans"]
+    words = F.array_remove(F.split(text, RAW_SEPARATOR), "")
+    gaps = F.split(text, RAW_WORD)
+    inside = lambda i: F.exists(spans, lambda s: (s["start"] <= i) & (i < s["end"]))
     kept = F.transform(
         words,
-        lambda word, i: F.when(hit(i), F.lit("")).otherwise(F.concat(F.get(gaps, i), word)),
+        lambda word, i: F.when(inside(i), F.lit("")).otherwise(F.concat(F.get(gaps, i), word)),
     )
     cut = F.concat(F.array_join(kept, ""), F.get(gaps, F.size(words)))
-    text = F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut)
-    return docs.join(found, same, "left").withColumn("text", text).select(*docs.columns)
+    joined = docs.join(hit, same_row(docs, hit), "left")
+    return joined.select(
+        *[
+            F.when(spans.isNull(), text).otherwise(cut).alias("text") if name == "text" else column
+            for name, column in zip(docs.columns, own_columns(docs))
+        ]
+    )

@@ -99,8 +99,8 @@ def exact_dedup(docs: DataFrame, content: Column | None = None, **options) -> Da
     doc_id = options.get("doc_id", "doc_id")
     text = options.get("text", "text")
     content = without_blanks(text_of(text)) if content is None else content
-    marks = equal_contents(docs, content, **options).filter("kept")
-    kept = marks.select(F.col("doc_id").alias("_kept_id"), F.col("digest").alias("_digest"))
+    kept = equal_contents(docs, content, **options).filter("kept").select("doc_id", "digest")
+    kept = kept.distinct()
     digest = options.get("digest", sha256)(content)
-    same = F.col(doc_id).eqNullSafe(F.col("_kept_id")) & (digest == F.col("_digest"))
-    return docs.join(kept.distinct(), same, "left_semi")
+    same = docs[doc_id].eqNullSafe(kept["doc_id"]) & (digest == kept["digest"])
+    return docs.join(kept, same, "left_semi")

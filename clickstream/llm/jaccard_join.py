@@ -20,7 +20,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clickstream.llm.common import materialise, partitions, row_key, ship, text_of
+from clickstream.llm.common import (
+    materialise,
+    partitions,
+    row_key,
+    rows_without,
+    ship,
+    text_of,
+)
 from clickstream.llm.components import components
 from clickstream.llm.hashing import blocks, byte_sums, mix, run_hashes, run_sums, words
 
@@ -408,7 +415,4 @@ def jaccard_join(
 
 def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
     """The first document of every group of linked documents, with all its columns."""
-    gone = jaccard_join(docs, **options).filter("NOT stays")
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"))
-    same = (row_key() == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-    return docs.join(gone, same, "left_anti")
+    return rows_without(docs, jaccard_join(docs, **options).filter("NOT stays"))

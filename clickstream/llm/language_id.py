@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from clickstream.llm.common import materialise, row_key, ship, text_of
+from clickstream.llm.common import materialise, row_key, rows_without, ship, text_of
 from clickstream.llm.hashing import blocks
 
 BITS = 14  # of a trigram's bucket
@@ -291,7 +291,4 @@ def identified_documents(docs: DataFrame, **options) -> DataFrame:
     The text model is trained on the declared languages of all documents.
     """
     model = train(docs.select(F.col("lang").alias("language"), "text"))
-    found = identify(of_documents(docs), model, **options).filter("NOT accepted")
-    gone = found.select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
-    same = (row_key() == F.col("_row")) & F.col("doc_id").eqNullSafe(F.col("_doc"))
-    return docs.join(gone, same, "left_anti")
+    return rows_without(docs, identify(of_documents(docs), model, **options).filter("NOT accepted"))

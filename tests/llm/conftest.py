@@ -1,0 +1,71 @@
+import random
+
+import pytest
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def corpus():
+    """Texts with copies, near copies, shared passages, repeated lines, odd characters."""
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnoprstuvwé", k=rng.randint(1, 9))) for _ in range(400)]
+    common = ["the", "of", "and", "to"]
+
+    def words(n):
+        return [rng.choice(common) if rng.random() < 0.3 else rng.choice(vocabulary) for _ in range(n)]
+
+    def lines(found):
+        out = []
+        while found:
+            n = rng.randint(4, 25)
+            out.append(" ".join(found[:n]))
+            found = found[n:]
+        return "\n".join(out)
+
+    passage = words(40)
+    texts = [lines(words(rng.randint(1, 160))) for _ in range(60)]
+    for i in range(12):  # near copies: a word or two is another one
+        copy = texts[i].split(" ")
+        for _ in range(rng.randint(1, 2)):
+            copy[rng.randrange(len(copy))] = "other"
+        texts.append(" ".join(copy))
+    texts += texts[20:26]  # exact copies
+    texts += [t.replace(" ", "  ") for t in texts[26:30]]  # but for blanks
+    for i in range(30, 44):  # a passage that many share, in other surroundings
+        texts.append(" ".join(words(20) + passage[: 13 + i] + words(15)))
+    texts += [" ".join(words(9000)), "", " \n\t ", "x", "ÉCOLE. Zwölf!\r\nÄpfel 12 12", "a " * 300]
+    rng.shuffle(texts)
+    return texts
+
+
+@pytest.fixture
+def docs(spark):
+    """A table of documents; ids count up from 0 unless pairs are given."""
+
+    def make(texts, schema=DOCS):
+        rows = [t if isinstance(t, tuple) else (i, t) for i, t in enumerate(texts)]
+        rows = [(i, t, "en" if n % 2 else "de", f"s{n % 3}", len(t or "")) for n, (i, t) in enumerate(rows)]
+        return spark.createDataFrame(rows, schema)
+
+    return make
+
+
+ODD = [
+    (0, None), (1, ""), (1, ""), (None, "some words of a text without an id"), (None, None),
+    (2, "the same row twice, which is not the same as two rows"),
+    (2, "the same row twice, which is not the same as two rows"),
+    (2, "another text of the same id, which has as many words as the other"),
+    (3, "word " * 5000), (4, "word " * 5000), (5, "\x00  \U0001f600"),
+]
+
+
+@pytest.fixture
+def odd(docs):
+    """Nulls, empty and long texts, repeated rows, and columns whose names may clash."""
+    clash = ["row", "size", "kept", "spans", "rows", "marks", "host", "digest", "a", "b", "node",
+             "root", "rep", "_row", "_doc", "text_sha256", "removed", "items", "n", "salt"]
+    df = docs(ODD)
+    for name in clash:
+        df = df.selectExpr("*", f"CAST(NULL AS string) AS {name}")
+    return df
