@@ -46,6 +46,11 @@ class Unit:
         """How many windows can share an anchor."""
         return self.window - self.seed + 1
 
+    @property
+    def left_half(self) -> int:
+        """A window that reaches so far to the left of its anchor belongs to the left side."""
+        return (self.window - self.seed + 1) // 2
+
 
 def _encoded(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of the texts, and where each text begins and the last one ends."""
@@ -65,7 +70,8 @@ def symbol_sums(unit: Unit, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndar
 
 def winnow(unit: Unit, sums: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarray]:
     """The contexts of all texts: `text`, `lo` (first symbol within the text), `count` (windows
-    from there on), and the hashes `anchor` and `context`, and `left` and `right`.
+    from there on), `at` (the anchor's place within the context), and the hashes `anchor` and
+    `context`, and `left` and `right`.
 
     Every window of a context reaches at least half of what a window has besides its anchor to
     one side. `left` and `right` are the hashes of the anchor with that half, or of the context
@@ -73,8 +79,8 @@ def winnow(unit: Unit, sums: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarr
     """
     total, window = len(sums) - 1, unit.window
     if total < window:
-        names = ("text", "lo", "count", "anchor", "context", "left", "right")
-        return {name: np.zeros(0, np.int64) for name in names}
+        none = {name: np.zeros(0, np.int64) for name in ("text", "lo", "count", "at")}
+        return none | {k: np.zeros(0, np.uint64) for k in ("anchor", "context", "left", "right")}
     places = np.arange(total - unit.seed + 1)
     grams = run_hashes(sums, places, places + unit.seed)
     bits = np.uint64(max(24, int(total).bit_length()))
@@ -95,15 +101,15 @@ def winnow(unit: Unit, sums: np.ndarray, ends: np.ndarray) -> dict[str, np.ndarr
     text = np.searchsorted(ends, lo, side="right") - 1
     stop = lo + count + window - 1
     context = run_hashes(sums, lo, stop)
-    left_half = (window - unit.seed + 1) // 2
-    right_half = window - unit.seed - left_half + 1
-    far_left, far_right = anchor_at - left_half, anchor_at + unit.seed + right_half
+    far_left = anchor_at - unit.left_half
+    far_right = far_left + 1 + window
     left = run_hashes(sums, np.maximum(far_left, 0), anchor_at + unit.seed)
     right = run_hashes(sums, anchor_at, np.minimum(far_right, total))
     return {
         "text": text,
         "lo": lo - ends[text],
         "count": count,
+        "at": anchor_at - lo,
         "anchor": grams[anchor_at],
         "context": context,
         "left": np.where(far_left >= lo, left, context),
@@ -133,7 +139,7 @@ _RECORD = {
 _RECORD_SCHEMA = "bucket int, " + ", ".join(
     f"{name} binary" for name in (*_RECORD, "done_doc", "done_row", "done_mark")
 )
-_MARKS = "doc long, row short, mark long, wanted boolean"
+_MARKS = "doc long, row short, mark long, wanted byte"
 
 
 def _mark(lo: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -225,15 +231,16 @@ def _several(group: np.ndarray, anchor: np.ndarray, side: np.ndarray) -> np.ndar
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """The repeats of a bucket, and the contexts that have to be compared (`wanted`)."""
+    """The repeats of a bucket, and the contexts that have to be compared, on which sides
+    (`wanted`: 1 for the left, 2 for the right, 3 for both)."""
     record = {name: _joined(table, name, dtype) for name, dtype in _RECORD.items()}
     docs = [np.cumsum(np.frombuffer(part, np.int64)) for part in table.column("doc").to_pylist()]
     record["doc"] = np.concatenate(docs)
     smallest, group = _smallest_of_equal(record["doc"], record["context"], record["anchor"])
     repeat = record["doc"] > smallest
-    mixed = _several(group, record["anchor"], record["left"])
-    mixed |= _several(group, record["anchor"], record["right"])
-    told = repeat | mixed
+    mixed = _several(group, record["anchor"], record["left"]).astype(np.int8)
+    mixed += 2 * _several(group, record["anchor"], record["right"]).astype(np.int8)
+    told = repeat | (mixed > 0)
     return pa.table(
         {
             "doc": np.concatenate([record["doc"][told], _joined(table, "done_doc", np.int64)]),
@@ -242,39 +249,52 @@ def _meet(table: pa.Table) -> pa.Table:
                 [_mark(record["lo"], record["count"])[told], _joined(table, "done_mark", np.int64)]
             ),
             "wanted": np.concatenate(
-                [~repeat[told], np.zeros(len(_joined(table, "done_doc", np.int64)), bool)]
+                [
+                    np.where(repeat, 0, mixed)[told].astype(np.int8),
+                    np.zeros(len(_joined(table, "done_doc", np.int64)), np.int8),
+                ]
             ),
         }
     )
 
 
 def _cut_contexts(unit: Unit, buckets: int) -> Callable:
-    """The symbols of the wanted contexts, by the bucket of their anchor."""
+    """The symbols of the wanted contexts, by the bucket of their anchor and one side of it.
+
+    With the side, even a very common anchor is spread over many buckets.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*[batch.column(name).to_pylist() for name in ("doc", "row", "text", "marks")])
-            out = []
-            for doc, row, text, marks in rows:
-                symbols = _symbols(unit, text)
-                size = unit_bytes(unit)
-                for mark in marks:
-                    lo, count = mark >> 8, mark & 255
-                    context = symbols[lo * size : (lo + count + unit.window - 1) * size]
-                    out.append((doc, row, mark, context))
-            if out:
-                doc, row, mark, context = zip(*out)
-                anchor = _anchors(unit, context)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "bucket": pa.array((anchor % buckets).astype(np.int32)),
-                        "anchor": pa.array(anchor),
-                        "doc": pa.array(doc, pa.int64()),
-                        "row": pa.array(row, pa.int16()),
-                        "mark": pa.array(mark, pa.int64()),
-                        "context": pa.array(context, pa.binary()),
-                    }
-                )
+            names = ("doc", "row", "text", "marks")
+            docs, rows, marks, wanted, contexts = [], [], [], [], []
+            for doc, row, text, told in zip(*[batch.column(name).to_pylist() for name in names]):
+                symbols, size = _symbols(unit, text), unit_bytes(unit)
+                for mark in told:
+                    lo, count, sides = mark >> 10, mark >> 2 & 255, mark & 3
+                    docs.append(doc)
+                    rows.append(row)
+                    marks.append(mark >> 2)
+                    wanted.append(sides)
+                    contexts.append(symbols[lo * size : (lo + count + unit.window - 1) * size])
+            if not contexts:
+                continue
+            found = _anchored(unit, contexts)
+            for side, name in ((1, "left"), (2, "right")):
+                here = np.flatnonzero(np.array(wanted) & side)
+                key = found[name][here]
+                columns = {
+                    "bucket": ((key >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32),
+                    "key": key.view(np.int64),
+                    "side": np.full(len(here), side, np.int8),
+                    "at": found["at"][here].astype(np.int16),
+                    "doc": np.array(docs, np.int64)[here],
+                    "row": np.array(rows, np.int16)[here],
+                    "mark": np.array(marks, np.int64)[here],
+                }
+                columns = {name: pa.array(values) for name, values in columns.items()}
+                columns["context"] = pa.array([contexts[i] for i in here], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
@@ -292,8 +312,8 @@ def _symbols(unit: Unit, text: str) -> bytes:
     return run_hashes(byte_sums(data), starts, stops).tobytes()
 
 
-def _anchors(unit: Unit, contexts: tuple[bytes, ...]) -> np.ndarray:
-    """The anchor that the windows of a context share."""
+def _anchored(unit: Unit, contexts: list[bytes]) -> dict[str, np.ndarray]:
+    """Each context anew as the only one of a text."""
     size = unit_bytes(unit)
     ends = np.cumsum([0] + [len(context) // size for context in contexts])
     joined = b"".join(contexts)
@@ -301,14 +321,16 @@ def _anchors(unit: Unit, contexts: tuple[bytes, ...]) -> np.ndarray:
         sums = byte_sums(np.frombuffer(joined, np.uint8))
     else:
         sums = run_sums(np.frombuffer(joined, np.uint64))
-    found = winnow(unit, sums, ends)
-    return (found["anchor"] >> np.uint64(1)).astype(np.int64)
+    return winnow(unit, sums, ends)
 
 
 def _resolved(unit: Unit, resolve: Callable) -> Callable:
+    """The repeated windows of the contexts of a bucket, of the side that each is there for."""
+
     def run(table: pa.Table) -> pa.Table:
-        doc, row = (table.column(name).to_numpy() for name in ("doc", "row"))
-        mark, anchor = (table.column(name).to_numpy() for name in ("mark", "anchor"))
+        doc, row, mark, key, side, at = (
+            table.column(name).to_numpy() for name in ("doc", "row", "mark", "key", "side", "at")
+        )
         contexts = table.column("context").to_pylist()
         count = mark & 255
         # One entry per window: its context and the place of its first symbol in all contexts.
@@ -316,19 +338,21 @@ def _resolved(unit: Unit, resolve: Callable) -> Callable:
         begins = np.cumsum(sizes) - sizes
         which = np.repeat(np.arange(len(contexts)), count)
         nth = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
-        hit = resolve(unit, b"".join(contexts), begins[which] + nth, anchor[which], doc[which])
+        own = (at[which] - nth >= unit.left_half) == (side[which] == 1)
+        which, nth = which[own], nth[own]
+        hit = resolve(unit, b"".join(contexts), begins[which] + nth, key[which], doc[which])
         # Consecutive repeated windows of a context are one mark.
         new = hit.copy()
         new[1:] &= ~hit[:-1] | (which[1:] != which[:-1])
         first = np.flatnonzero(new)
         run_of = np.cumsum(new)[hit] - 1
         length = np.bincount(run_of, minlength=len(first))
-        at = which[first]
+        of = which[first]
         return pa.table(
             {
-                "doc": doc[at],
-                "row": row[at],
-                "mark": _mark((mark[at] >> 8) + nth[first], length),
+                "doc": doc[of],
+                "row": row[of],
+                "mark": _mark((mark[of] >> 8) + nth[first], length),
             }
         )
 
@@ -350,15 +374,16 @@ def repeated_windows(docs: DataFrame, unit: Unit, resolve: Callable) -> DataFram
     found = documents.mapInArrow(_contexts(unit, buckets), _RECORD_SCHEMA)
     marks = materialise(found.groupBy("bucket").applyInArrow(_meet, _MARKS), "repeat-marks")
     texts = documents.select("doc", "row", "text")
-    wanted = marks.filter("wanted").groupBy("doc", "row").agg(F.collect_set("mark").alias("marks"))
+    sides = F.shiftleft("mark", 2).bitwiseOR(F.col("wanted").cast("long"))
+    wanted = marks.filter("wanted > 0").groupBy("doc", "row").agg(F.collect_set(sides).alias("marks"))
     contexts = texts.join(wanted, ["doc", "row"]).mapInArrow(
         _cut_contexts(unit, buckets),
-        "bucket int, anchor long, doc long, row short, mark long, context binary",
+        "bucket int, key long, side byte, at short, doc long, row short, mark long, context binary",
     )
     resolved = contexts.groupBy("bucket").applyInArrow(
         _resolved(unit, resolve), "doc long, row short, mark long"
     )
-    known = marks.filter("NOT wanted").select("doc", "row", "mark").unionByName(resolved)
+    known = marks.filter("wanted = 0").select("doc", "row", "mark").unionByName(resolved)
     known = known.groupBy("doc", "row").agg(F.collect_list("mark").alias("marks"))
     return texts.join(known, ["doc", "row"], "left")
 
