@@ -36,20 +36,20 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
-def _smallest(neighbours: DataFrame) -> DataFrame:
-    """The smallest of each node's neighbours, written so that Spark may split a hot node."""
-    smallest = neighbours.groupBy("a").agg(F.min("b").alias("to"))
-    return materialise(smallest, "smallest")
-
-
 def _handed_over(both: DataFrame) -> DataFrame:
     """Each node's larger neighbours, linked to the smallest of the node and its neighbours."""
-    linked = both.filter("b > a").join(_smallest(both), "a")
+    smallest = both.groupBy("a").agg(F.min("b").alias("to"))
+    # Written so that Spark may split a hot node in the join.
+    linked = both.filter("b > a").join(materialise(smallest, "smallest"), "a")
     return linked.select(F.col("b").alias("a"), F.least("a", "to").alias("b"))
 
 
 def _small_star(down: DataFrame) -> DataFrame:
-    """Each node and its smaller neighbours, linked to the smallest of these."""
-    linked = down.join(_smallest(down), "a")
-    moved = linked.select(F.col("b").alias("a"), F.col("to").alias("b"))
-    return moved.union(linked.select("a", F.col("to").alias("b"))).filter("b < a").distinct()
+    """Each node and its smaller neighbours, linked to the smallest of these.
+
+    A node has few smaller neighbours once they are handed over, so none is hot here.
+    """
+    smaller = F.sort_array(F.collect_set("b"))
+    stars = down.groupBy("a").agg(smaller.alias("smaller"))
+    nodes = F.explode(F.concat(F.array("a"), F.slice("smaller", 2, F.size("smaller"))))
+    return stars.select(nodes.alias("a"), F.get("smaller", F.lit(0)).alias("b")).distinct()
