@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 BLOCK = 1 << 20  # bytes of text hashed at a time; a longer text is a block of its own
 _BASE = 0x9E3779B97F4A7C15  # any odd number
@@ -69,6 +71,23 @@ def blocks(sizes: np.ndarray, limit: int = BLOCK):
         yield begin, len(sizes)
 
 
+def regrouped(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about `limit` bytes of text, told by the column `size`."""
+    pending: list[pa.RecordBatch] = []
+    filled = 0
+    for batch in batches:
+        sizes = batch.column("size").to_numpy()
+        for first, last in blocks(sizes, limit):
+            size = int(sizes[first:last].sum())
+            if pending and filled + size > limit:
+                yield from pa.Table.from_batches(pending).combine_chunks().to_batches()
+                pending, filled = [], 0
+            pending.append(batch.slice(first, last - first))
+            filled += size
+    if pending:
+        yield from pa.Table.from_batches(pending).combine_chunks().to_batches()
+
+
 def words(data: np.ndarray, text_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and stops of the runs without white space; a run never reaches into another text."""
     black = np.zeros(len(data) + 2, bool)

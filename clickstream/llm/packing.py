@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from clickstream.llm.common import materialise, numbered, ship, text_of
-from clickstream.llm.hashing import blocks
+from clickstream.llm.hashing import regrouped
 from clickstream.llm.tokens import encode
 
 CAPACITY = 2048
@@ -46,10 +46,8 @@ def token_pieces(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes = batch.column("size").to_numpy()
-            for first, last in blocks(sizes, GROUP_BYTES):
-                yield _pieces(batch.slice(first, last - first), tokenizer, capacity, ids)
+        for batch in regrouped(batches, GROUP_BYTES):
+            yield _pieces(batch, tokenizer, capacity, ids)
 
     ship(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text"))

@@ -27,7 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from clickstream.llm.common import materialise, partitions, ship, text_of
-from clickstream.llm.hashing import blocks, byte_sums, run_hashes, run_sums, sliding_minimum, words
+from clickstream.llm.hashing import (
+    blocks,
+    byte_sums,
+    regrouped,
+    run_hashes,
+    run_sums,
+    sliding_minimum,
+    words,
+)
 
 GROUP_BYTES = 16 << 20  # of text in which a task looks for repeats of its own
 LAST = np.iinfo(np.int64).max  # stands for a null id, which comes after all others
@@ -170,19 +178,15 @@ def _contexts(unit: Unit, buckets: int) -> Callable:
         return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for first, last in blocks(whole.column("size").to_numpy(), GROUP_BYTES):
-                batch = whole.slice(first, last - first)
-                record = found(batch)
-                text = record.pop("text")
-                record["doc"] = batch.column("doc").to_numpy()[text]
-                record["row"] = batch.column("row").to_numpy()[text]
-                bucket = (record["anchor"] >> np.uint64(32)) % np.uint64(buckets)
-                smallest, _ = _smallest_of_equal(
-                    record["doc"], record["context"], record["anchor"]
-                )
-                done = record["doc"] > smallest
-                yield _by_bucket(record, bucket.astype(np.int64), done, buckets)
+        for batch in regrouped(batches, GROUP_BYTES):
+            record = found(batch)
+            text = record.pop("text")
+            record["doc"] = batch.column("doc").to_numpy()[text]
+            record["row"] = batch.column("row").to_numpy()[text]
+            bucket = (record["anchor"] >> np.uint64(32)) % np.uint64(buckets)
+            smallest, _ = _smallest_of_equal(record["doc"], record["context"], record["anchor"])
+            done = record["doc"] > smallest
+            yield _by_bucket(record, bucket.astype(np.int64), done, buckets)
 
     return run
 
