@@ -55,7 +55,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="clickstream-")
     return f"{base.rstrip('/')}/clickstream/{name}-{uuid.uuid4().hex}"
