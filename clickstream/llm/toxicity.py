@@ -26,7 +26,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from clickstream.llm.common import ship, text_of
 from clickstream.llm.hashing import blocks
 
-SAMPLE = 4000  # labelled documents of each class that the model is fitted on, at most
+SAMPLE = 2000  # labelled documents of each class that the model is fitted on, at most
+LONGEST = 1 << 16  # bytes of such a document
 HELD_OUT = 2  # remainder of crc32(doc_id) by 4 whose labels are never read
 PREDICTED = 0.3
 DICTIONARY = 1024  # bytes
@@ -150,14 +151,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> l
     """At most `sample` labelled texts of each class, none of them held out.
 
     They are those of the smallest hash of their id, so the choice does not depend on the order
-    of the tables. Only the chosen ids are sent to the documents.
+    of the tables; texts above `LONGEST` bytes are left out. Only the chosen ids are sent to the
+    documents.
     """
     open_ = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != HELD_OUT
     usable = labels.filter(open_ & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = usable.filter("toxic = 1").orderBy(*order).limit(sample)
     chosen = chosen.union(usable.filter("toxic = 0").orderBy(*order).limit(sample))
-    rows = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", text_of().alias("text")).filter(F.octet_length("text") <= LONGEST)
+    rows = rows.join(F.broadcast(chosen), "doc_id")
     found = rows.select("doc_id", "text", "toxic").collect()  # at most 2 * sample documents
     found.sort(key=lambda row: (zlib.crc32(f"half {row['doc_id']}".encode()), row["text"]))
     return [(row["text"], row["toxic"]) for row in found]
