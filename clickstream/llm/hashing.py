@@ -52,7 +52,8 @@ def run_sums(values: np.ndarray) -> np.ndarray:
 def run_hashes(sums: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each run, which depends on its values and their number alone."""
     inverse = powers(_INVERSE, len(sums))
-    return mix((sums[stops] - sums[starts]) * inverse[starts] ^ mix(np.uint64(1) + (stops - starts).astype(np.uint64)))
+    number = mix((stops - starts).astype(np.uint64) + np.uint64(1))
+    return mix((sums[stops] - sums[starts]) * inverse[starts] ^ number)
 
 
 def byte_sums(data: np.ndarray) -> np.ndarray:

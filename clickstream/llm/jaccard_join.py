@@ -252,7 +252,8 @@ def _with_shingles(shingle: int):
                 texts = [t.encode() for t in part.column("text").to_pylist()]
                 hashes, at = _shingles(texts, shingle)
                 sets = [hashes[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-                columns = {name: part.column(name) for name in ("rep", "group", "copies", "members")}
+                names = ("rep", "group", "copies", "members")
+                columns = {name: part.column(name) for name in names}
                 yield pa.RecordBatch.from_pydict(columns | {"set": pa.array(sets, pa.binary())})
 
     return run

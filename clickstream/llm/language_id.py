@@ -33,10 +33,11 @@ class Model:
 
 
 def _letters() -> np.ndarray:
-    """Each byte's place in the text model: letters in lower case, anything else in ASCII a space."""
+    """What each byte counts as: letters in lower case, anything else in ASCII a space."""
     table = np.arange(256, dtype=np.uint8)
     table[:128] = 0x20
-    table[ord("a") : ord("z") + 1] = table[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
+    letters = np.arange(ord("a"), ord("z") + 1)
+    table[letters] = table[letters - 32] = letters
     return table
 
 
@@ -103,8 +104,10 @@ def train(rows: DataFrame) -> Model:
     usable = rows.filter("language IS NOT NULL").select("language", text_of().alias("text"))
     usable = usable.withColumn("size", F.octet_length("text"))
     counts = usable.mapInArrow(_counted, "language string, bucket int, count long")
-    counts = materialise(counts.groupBy("language", "bucket").agg(F.sum("count").alias("count")), "trigrams")
-    names = [row["language"] for row in counts.select("language").distinct().orderBy("language").limit(LANGUAGES + 1).collect()]
+    counts = counts.groupBy("language", "bucket").agg(F.sum("count").alias("count"))
+    counts = materialise(counts, "trigrams")
+    languages = counts.select("language").distinct().orderBy("language").limit(LANGUAGES + 1)
+    names = [row["language"] for row in languages.collect()]
     if len(names) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     table = np.zeros((1 << BITS, len(names)))
@@ -128,12 +131,15 @@ def _scored(model: Model):
                 has = np.flatnonzero(number)
                 sums = np.zeros((len(number), width))
                 if len(has) and width:
-                    sums[has] = np.add.reduceat(table[buckets], at[:-1][has], axis=0, dtype=np.float64)
+                    sums[has] = np.add.reduceat(
+                        table[buckets], at[:-1][has], axis=0, dtype=np.float64
+                    )
                 weight = np.minimum(number, EVIDENCE) / np.maximum(number, 1)
                 sums *= weight[:, None]
                 share = np.exp(sums - sums.max(axis=1, keepdims=True, initial=-np.inf))
                 share /= share.sum(axis=1, keepdims=True)
-                columns = {n: part.column(n) for n in part.schema.names if n not in ("text", "size")}
+                names = [name for name in part.schema.names if name not in ("text", "size")]
+                columns = {name: part.column(name) for name in names}
                 columns["trigrams"] = pa.array(number, pa.int64())
                 for name, values in (("evidence", sums), ("share", share)):
                     columns[name] = pa.array(list(values), pa.list_(pa.float64()))
@@ -245,7 +251,10 @@ def identify(rows: DataFrame, model: Model, strength: float = STRENGTH) -> DataF
     logs = joined.withColumn("logs", _array([log_posterior(i) for i in range(width)]))
     best = F.array_max("logs")
     mass = F.aggregate("logs", F.lit(0.0), lambda sum_, x: sum_ + F.exp(x - best))
-    first = lambda of: F.get(names, (F.array_position(of, F.array_max(of)) - 1).cast("int"))
+
+    def first(of: Column) -> Column:
+        return F.get(names, (F.array_position(of, F.array_max(of)) - 1).cast("int"))
+
     return logs.select(
         *rows.drop("text").columns,
         first(F.col("logs")).alias("language"),
@@ -263,7 +272,8 @@ def of_pages(pages: DataFrame) -> DataFrame:
     subtag counts. The text is what is left without scripts, styles, comments and tags.
     """
     html = F.coalesce("html", F.lit(""))
-    host = F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
+    address = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
+    host = F.lower(F.regexp_extract("url", address, 1))
     code = F.lower(F.regexp_extract(html, r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
     markup = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>"
     empty_is_null = lambda c: F.when(c != "", c)

@@ -191,6 +191,10 @@ def _contexts(unit: Unit, buckets: int) -> Callable:
     return run
 
 
+def _parts(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    return pa.array([values[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())
+
+
 def _by_bucket(record, bucket, done, buckets) -> pa.RecordBatch:
     """A row per bucket: the contexts that go there, and a share of the repeats already known."""
     order = np.argsort(np.where(done, buckets, bucket), kind="stable")
@@ -204,7 +208,7 @@ def _by_bucket(record, bucket, done, buckets) -> pa.RecordBatch:
             first[cuts[:-1][cuts[:-1] < cuts[1:]]] = True
             before = np.concatenate([values[:1], values[:-1]])
             values = np.where(first, values, values - before)
-        columns[name] = pa.array([values[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())
+        columns[name] = _parts(values, cuts)
     shares = np.linspace(0, int(done.sum()), buckets + 1).astype(np.int64)
     known = {
         "done_doc": record["doc"][done],
@@ -212,7 +216,7 @@ def _by_bucket(record, bucket, done, buckets) -> pa.RecordBatch:
         "done_mark": _mark(record["lo"][done], record["count"][done]),
     }
     for name, values in known.items():
-        columns[name] = pa.array([values[a:b].tobytes() for a, b in zip(shares[:-1], shares[1:])], pa.binary())
+        columns[name] = _parts(values, shares)
     return pa.RecordBatch.from_pydict(columns)
 
 
@@ -379,7 +383,8 @@ def repeated_windows(docs: DataFrame, unit: Unit, resolve: Callable) -> DataFram
     marks = materialise(found.groupBy("bucket").applyInArrow(_meet, _MARKS), "repeat-marks")
     texts = documents.select("doc", "row", "text")
     sides = F.shiftleft("mark", 2).bitwiseOR(F.col("wanted").cast("long"))
-    wanted = marks.filter("wanted > 0").groupBy("doc", "row").agg(F.collect_set(sides).alias("marks"))
+    wanted = marks.filter("wanted > 0").groupBy("doc", "row")
+    wanted = wanted.agg(F.collect_set(sides).alias("marks"))
     contexts = texts.join(wanted, ["doc", "row"]).mapInArrow(
         _cut_contexts(unit, buckets),
         "bucket int, key long, side byte, at short, doc long, row short, mark long, context binary",

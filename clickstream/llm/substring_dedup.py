@@ -34,7 +34,9 @@ def extend(unit: Unit, symbols: bytes, starts, anchors, docs) -> np.ndarray:
     return docs > smallest
 
 
-def repeated_words(docs: DataFrame, window: int = WORDS, seed: int = SEED, text: bool = True) -> DataFrame:
+def repeated_words(
+    docs: DataFrame, window: int = WORDS, seed: int = SEED, text: bool = True
+) -> DataFrame:
     """What each document repeats of documents with smaller ids, in maximal runs of words.
 
     Returns per row `doc_id`, `n_words`, `spans` (word ranges, `start` to before `end`),
@@ -78,8 +80,9 @@ def repeated_words(docs: DataFrame, window: int = WORDS, seed: int = SEED, text:
 
     def _batch(out: dict) -> pa.RecordBatch:
         spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        types = {"doc_id": pa.int64(), "n_words": pa.int64(), "spans": spans,
-                 "n_removed": pa.int64(), "kept_sha256": pa.string(), "kept": pa.string()}
+        number, string = pa.int64(), pa.string()
+        types = {"doc_id": number, "n_words": number, "spans": spans, "n_removed": number,
+                 "kept_sha256": string, "kept": string}
         return pa.RecordBatch.from_pydict({k: pa.array(v, types[k]) for k, v in out.items()})
 
     return repeated_windows(docs, unit, extend).mapInArrow(cut, schema)

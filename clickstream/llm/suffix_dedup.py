@@ -72,7 +72,9 @@ def earlier_matches(unit: Unit, symbols: bytes, starts, anchors, docs) -> np.nda
     return copies
 
 
-def repeated_bytes(docs: DataFrame, window: int = BYTES, seed: int = SEED, text: bool = True) -> DataFrame:
+def repeated_bytes(
+    docs: DataFrame, window: int = BYTES, seed: int = SEED, text: bool = True
+) -> DataFrame:
     """What each document repeats of documents with smaller ids, in maximal runs of bytes.
 
     Returns per row `doc_id`, `n_bytes`, `spans` (byte ranges, `start` to before `end`),
@@ -94,8 +96,9 @@ def repeated_bytes(docs: DataFrame, window: int = BYTES, seed: int = SEED, text:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        types = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "spans": spans,
-                 "n_removed": pa.int64(), "kept_sha256": pa.string(), "kept": pa.binary()}
+        number = pa.int64()
+        types = {"doc_id": number, "n_bytes": number, "spans": spans, "n_removed": number,
+                 "kept_sha256": pa.string(), "kept": pa.binary()}
         for batch in batches:
             out = {field.name: [] for field in fields}
             columns = [batch.column(name).to_pylist() for name in ("doc", "text", "marks")]

@@ -147,7 +147,9 @@ def fit(rows: list[tuple[str, int]]) -> Model:
     return Model(*dictionaries, least, tuple(np.maximum.accumulate(scores).tolist()))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[tuple[str, int]]:
+def training_rows(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE
+) -> list[tuple[str, int]]:
     """At most `sample` labelled texts of each class, none of them held out.
 
     They are those of the smallest hash of their id, so the choice does not depend on the order
@@ -167,7 +169,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> l
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """`doc_id`, `windows`, `toxic_windows` and `score` (0 to 1) of every row; the whole text counts.
+    """`doc_id`, `windows`, `toxic_windows` and `score` (0 to 1) of every row, by its whole text.
 
     A null or empty text has no windows, and the score of documents without a toxic one.
     """
