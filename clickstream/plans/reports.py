@@ -47,7 +47,8 @@ def line_report(
 def sql_report(
     spark: SparkSession, path, report_time=None, limit: int | None = None
 ) -> dict[str, DataFrame]:
-    """Report on JSON records, in SQL: `traffic` and `visitor_provinces`, the first `limit` if given."""
+    """Report on JSON records, in SQL: `traffic` and `visitor_provinces`, the first `limit` of them
+    if given."""
     log = read_json(spark, path)
     return {
         "traffic": traffic_report(log, report_time),

@@ -87,7 +87,8 @@ def _with_labels(step: Step, table: str, dim: DataFrame | None) -> Step:
         changed = labelled_kpis(batch.select("kpi", "key", "value"), dim)
         changed = changed.select(F.col("kpi").alias("_kpi"), F.col("key").alias("_key"))
         same = F.expr("kpi = _kpi AND key <=> _key")
-        step(latest_kpis(batch.sparkSession, table, dim=dim).join(changed, same, "left_semi"), batch_id)
+        latest = latest_kpis(batch.sparkSession, table, dim=dim)
+        step(latest.join(changed, same, "left_semi"), batch_id)
 
     return run
 
