@@ -116,8 +116,12 @@ def _toxic_words(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> set[b
     return {word for word, value in contrast.items() if value >= least}
 
 
-def fit(rows: list[tuple[str, int]]) -> Model:
-    """A model of labelled texts: the dictionaries from one half, the calibration from the other."""
+def fit(rows: list[tuple[str, int]], sizes: tuple[int, int] | None = None) -> Model:
+    """A model of labelled texts: the dictionaries from one half, the calibration from the other.
+
+    `sizes` are the numbers of ordinary and toxic documents that the texts stand for: a sample
+    with its own share of toxic ones is weighted accordingly.
+    """
     texts = [(words_of(text), label) for text, label in rows]
     halves = texts[::2], texts[1::2] or texts[::2]
     toxic, ordinary = ([w for w, label in halves[0] if label == k] for k in (1, 0))
@@ -140,17 +144,22 @@ def fit(rows: list[tuple[str, int]]) -> Model:
 
     least = max(range(1, 1 + max(1, int(most.max()))), key=gain)
     hits = np.minimum([int((s >= least).sum()) for s in saved], 3)
-    prior = labels.mean()
+    here = [max(1, int((labels == k).sum())) for k in (0, 1)]
+    weights = np.array([size / n for size, n in zip(sizes or here, here)])[labels]
+    weights *= len(labels) / max(weights.sum(), 1e-9)
+    prior = (weights * labels).mean()
     scores = [
-        (labels[hits == k].sum() + 2 * prior) / ((hits == k).sum() + 2) for k in range(4)
+        ((weights * labels)[hits == k].sum() + 2 * prior) / (weights[hits == k].sum() + 2)
+        for k in range(4)
     ]
     return Model(*dictionaries, least, tuple(np.maximum.accumulate(scores).tolist()))
 
 
 def training_rows(
     docs: DataFrame, labels: DataFrame, sample: int = SAMPLE
-) -> list[tuple[str, int]]:
-    """At most `sample` labelled texts of each class, none of them held out.
+) -> tuple[list[tuple[str, int]], tuple[int, int]]:
+    """At most `sample` labelled texts of each class, none of them held out, and the numbers of
+    ordinary and toxic labels that they are taken from.
 
     They are those of the smallest hash of their id, so the choice does not depend on the order
     of the tables; texts above `LONGEST` bytes are left out. Only the chosen ids are sent to the
@@ -165,7 +174,9 @@ def training_rows(
     rows = rows.join(F.broadcast(chosen), "doc_id")
     found = rows.select("doc_id", "text", "toxic").collect()  # at most 2 * sample documents
     found.sort(key=lambda row: (zlib.crc32(f"half {row['doc_id']}".encode()), row["text"]))
-    return [(row["text"], row["toxic"]) for row in found]
+    counts = {row["toxic"]: row["count"] for row in usable.groupBy("toxic").count().collect()}
+    rows = [(row["text"], int(row["toxic"])) for row in found]
+    return rows, (counts.get(0, 0), counts.get(1, 0))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -213,7 +224,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     `held_out` says whether the label, if any, was kept from the model; false for a null id.
     Without labels every score is 0.
     """
-    model = fit(training_rows(docs, labels, sample))
+    model = fit(*training_rows(docs, labels, sample))
     rest = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4))
     return score(docs, model).select(
         "doc_id",

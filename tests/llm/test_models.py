@@ -248,6 +248,16 @@ def test_held_out_accuracy(spark, docs, corpus):
     assert {r.doc_id: r.score for r in other.collect()} == {i: r.score for i, r in got.items()}
 
 
+def test_scores_are_of_the_whole_not_of_the_sample(corpus):
+    """A sample with half toxic documents must not make all others half toxic."""
+    rows = labelled(corpus)
+    rows = [(text, int(y or i % 20 == 1)) for i, text, y in rows]  # some have nothing toxic
+    toxic, ordinary = [r for r in rows if r[1]], [r for r in rows if not r[1]]
+    sample = sorted((r for pair in zip(toxic, ordinary) for r in pair), key=lambda r: r[0])
+    model = toxicity.fit(sample, (9000, 1000))
+    assert model.scores[0] < 0.1 and model.scores[2] > 0.3
+
+
 def test_the_whole_text_counts(corpus):
     model = toxicity.fit([(text, y) for _, text, y in labelled(corpus)])
     savings = toxicity.Savings(model.toxic, model.ordinary)
