@@ -21,7 +21,7 @@ from clickstream.llm.tokens import encode
 
 CAPACITY = 2048
 END = 0  # the id after each document
-GROUP_BYTES = 12 << 20  # of text that a task encodes at a time
+GROUP_BYTES = 8 << 20  # of text that a task encodes at a time
 
 
 def token_pieces(
@@ -48,6 +48,7 @@ def token_pieces(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regrouped(batches, GROUP_BYTES):
             yield _pieces(batch, tokenizer, capacity, ids)
+            pa.default_memory_pool().release_unused()
 
     ship(docs.sparkSession)
     rows = docs.select("doc_id", text_of().alias("text"))

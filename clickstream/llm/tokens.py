@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -61,7 +62,7 @@ def _segments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, run_hashes(byte_sums(data), starts, stops)
 
 
-def encode(texts: list[str], path: str) -> list[np.ndarray]:
+def encode(texts: list[str], path: str) -> Iterator[np.ndarray]:
     """The ids of each text, as `tokenizers` gives them without special tokens added.
 
     The texts are cut where that leaves the ids unchanged; each different segment is encoded once,
@@ -70,8 +71,10 @@ def encode(texts: list[str], path: str) -> list[np.ndarray]:
     encoded = [text.encode() for text in texts]
     sizes = np.array([len(e) for e in encoded], np.int64)
     whole = b"".join(encoded)
+    del encoded
     if not whole:
-        return [np.zeros(0, np.uint32) for _ in texts]
+        yield from (np.zeros(0, np.uint32) for _ in texts)
+        return
     data, ends = np.frombuffer(whole, np.uint8), np.concatenate([[0], np.cumsum(sizes)])
     found = []
     for first, last in blocks(sizes):
@@ -84,15 +87,18 @@ def encode(texts: list[str], path: str) -> list[np.ndarray]:
     _, firsts, which = np.unique(
         np.concatenate([f[1] for f in found]), return_index=True, return_inverse=True
     )
+    del found
     segments = [whole[a:b] for a, b in zip(starts[firsts].tolist(), stops[firsts].tolist())]
     ids, counts = _encode_segments(segments, path)
+    del segments, stops, firsts
     offsets = np.cumsum(counts) - counts
-    upto = np.cumsum(counts[which])
-    at = np.repeat(offsets[which] - (upto - counts[which]), counts[which]) + np.arange(upto[-1])
-    flat = ids[at]
-    # The number of ids up to the end of each text.
-    upto = np.concatenate([[0], upto])[np.searchsorted(starts, ends)]
-    return [flat[a:b] for a, b in zip(upto[:-1], upto[1:])]
+    cuts = np.searchsorted(starts, ends)
+    for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        own = which[first:last]
+        number = counts[own]
+        upto = np.cumsum(number)
+        at = np.repeat(offsets[own] - (upto - number), number)
+        yield ids[at + np.arange(len(at))]
 
 
 def _encode_segments(segments: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
