@@ -107,7 +107,7 @@ def test_line_dedup(spark, docs):
     for a in places:
         for b in places:
             bits = (sims[a] ^ sims[b]).bit_count()
-            if a < b and bits <= 3 and brute.edit_distance(a, b) <= 0.1 * max(len(a), len(b)):
+            if a < b and bits <= line_dedup.DISTANCE and brute.edit_distance(a, b) <= 0.1 * max(len(a), len(b)):
                 links.append((places[a][0], places[b][0]))
     assert links
     root = brute.groups(links)
@@ -142,7 +142,7 @@ def test_near_variants_are_one_group(docs):
         copy[i] = "x"
         texts.append(" ".join(copy))
     removed = {r.doc_id: len(r.removed) for r in line_dedup.line_marks(docs(texts)).collect()}
-    assert removed[0] == 0 and sum(removed.values()) >= 25
+    assert removed[0] == 0 and sum(removed.values()) >= 20
 
 
 def test_lines_of_odd_rows(odd, docs):
