@@ -89,6 +89,14 @@ def regrouped(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Reco
         yield from pa.Table.from_batches(pending).combine_chunks().to_batches()
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in small slices, what was used for one being given back before the next."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+            pa.default_memory_pool().release_unused()
+
+
 def words(data: np.ndarray, text_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and stops of the runs without white space; a run never reaches into another text."""
     black = np.zeros(len(data) + 2, bool)

@@ -30,6 +30,7 @@ from clickstream.llm.common import materialise, partitions, ship, text_of
 from clickstream.llm.hashing import (
     blocks,
     byte_sums,
+    few_rows,
     regrouped,
     run_hashes,
     run_sums,
@@ -37,7 +38,7 @@ from clickstream.llm.hashing import (
     words,
 )
 
-GROUP_BYTES = 16 << 20  # of text in which a task looks for repeats of its own
+GROUP_BYTES = 8 << 20  # of text in which a task looks for repeats of its own
 LAST = np.iinfo(np.int64).max  # stands for a null id, which comes after all others
 
 
@@ -187,6 +188,7 @@ def _contexts(unit: Unit, buckets: int) -> Callable:
             smallest, _ = _smallest_of_equal(record["doc"], record["context"], record["anchor"])
             done = record["doc"] > smallest
             yield _by_bucket(record, bucket.astype(np.int64), done, buckets)
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -273,7 +275,7 @@ def _cut_contexts(unit: Unit, buckets: int) -> Callable:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             names = ("doc", "row", "text", "marks")
             docs, rows, marks, wanted, contexts = [], [], [], [], []
             for doc, row, text, told in zip(*[batch.column(name).to_pylist() for name in names]):

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from clickstream.llm.hashing import run_hashes, run_sums
+from clickstream.llm.hashing import few_rows, run_hashes, run_sums
 from clickstream.llm.repeats import LAST, Unit, _smallest_of_equal, covered, repeated_windows
 
 WORDS = 13
@@ -58,7 +58,7 @@ def repeated_words(
     schema = T.StructType(fields)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             out = {field.name: [] for field in fields}
             columns = [batch.column(name).to_pylist() for name in ("doc", "text", "marks")]
             for doc, whole, marks in zip(*columns):

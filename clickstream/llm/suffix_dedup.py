@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
+from clickstream.llm.hashing import few_rows
 from clickstream.llm.repeats import LAST, Unit, covered, repeated_windows
 
 BYTES = 50
@@ -99,7 +100,7 @@ def repeated_bytes(
         number = pa.int64()
         types = {"doc_id": number, "n_bytes": number, "spans": spans, "n_removed": number,
                  "kept_sha256": pa.string(), "kept": pa.binary()}
-        for batch in batches:
+        for batch in few_rows(batches):
             out = {field.name: [] for field in fields}
             columns = [batch.column(name).to_pylist() for name in ("doc", "text", "marks")]
             for doc, whole, marks in zip(*columns):
