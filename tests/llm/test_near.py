@@ -145,6 +145,33 @@ def test_near_variants_are_one_group(docs):
     assert removed[0] == 0 and sum(removed.values()) >= 20
 
 
+def test_lines_of_high_edit_similarity_are_found(docs):
+    """By edit distance alone: a word of a line is another one, in lines of ordinary length."""
+    rng = random.Random(4)
+    vocabulary = [f"word{i}" for i in range(300)]
+    texts = []
+    for n in (12, 20, 28, 40) * 10:
+        line = rng.choices(vocabulary, k=n)
+        copy = list(line)
+        copy[rng.randrange(n)] = f"word{rng.randrange(300)}"
+        texts += [" ".join(line), " ".join(copy)]
+    near = [
+        brute.edit_distance(a, b) <= 0.1 * max(len(a), len(b)) and a != b
+        for a, b in zip(texts[::2], texts[1::2])
+    ]
+    removed = {r.doc_id: len(r.removed) for r in line_dedup.line_marks(docs(texts)).collect()}
+    found = [removed[2 * i + 1] == 1 for i in range(len(near)) if near[i]]
+    assert len(found) >= 35 and sum(found) >= 0.95 * len(found)
+    assert not any(removed[2 * i] for i in range(len(near)))
+
+
+def test_nearly_all_variants_go(docs):
+    base = [f"word{i}" for i in range(400)]
+    texts = [" ".join([*base[:i], "x", *base[i + 1 :]]) for i in range(30)]
+    removed = [len(r.removed) for r in line_dedup.line_marks(docs(texts)).collect()]
+    assert sum(removed) >= 25
+
+
 def test_lines_of_odd_rows(odd, docs):
     marks = line_dedup.line_marks(odd)
     assert marks.count() == odd.count()
