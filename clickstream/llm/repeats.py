@@ -14,7 +14,7 @@ it. Equal windows have equal anchors, and the windows that share an anchor's pla
 3. The first documents of an anchor's different contexts are compared window by window, with the
    contexts' symbols (`resolve`). Few contexts get here: the ends of repeated passages.
 
-Hashes of contexts have 64 bits together with the anchor's, besides the bits that chose the bucket.
+Contexts are equal if all 64 bits of their hashes are, besides 32 of the anchor's and the bucket's.
 """
 
 from __future__ import annotations
@@ -142,7 +142,7 @@ def _smallest_of_equal(doc: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray,
 
 
 _RECORD = {
-    "anchor": np.int32, "context": np.int32, "doc": np.int64, "row": np.int16, "lo": np.int32,
+    "anchor": np.int32, "context": np.int64, "doc": np.int64, "row": np.int16, "lo": np.int32,
     "count": np.int8, "left": np.int8, "right": np.int8,
 }
 _RECORD_SCHEMA = "bucket int, " + ", ".join(

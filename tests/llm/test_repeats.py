@@ -54,6 +54,26 @@ def test_few_symbols_and_short_windows(docs):
     )
 
 
+def test_contexts_meet_by_all_bits_of_their_hash():
+    """Contexts of one anchor whose hashes agree in 32 bits only are no repeats."""
+    import numpy as np
+    import pyarrow as pa
+
+    from clickstream.llm.repeats import _by_bucket, _meet
+
+    low = {name: np.zeros(2, np.int64) for name in ("row", "lo", "left", "right")}
+    for other, repeats in ((5 | 1 << 40, 0), (5, 1)):
+        record = low | {
+            "anchor": np.array([7, 7], np.uint64),
+            "context": np.array([5, other], np.uint64),
+            "doc": np.array([1, 2]),
+            "count": np.array([3, 3]),
+        }
+        batch = _by_bucket(record, np.zeros(2, np.int64), np.zeros(2, bool), 1)
+        found = _meet(pa.Table.from_batches([batch]))
+        assert sum(w == 0 for w in found.column("wanted").to_pylist()) == repeats
+
+
 def test_spans_and_text(docs):
     passage = " ".join(f"w{i}" for i in range(15))
     df = docs(["a b " + passage, "c " + passage + "  d\te", passage])
