@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clickstream.llm.common import materialise, partitions, ship, text_of
+from clickstream.llm.common import materialise, partitions, row_key, ship, text_of
 from clickstream.llm.hashing import (
     blocks,
     byte_sums,
@@ -142,13 +142,13 @@ def _smallest_of_equal(doc: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray,
 
 
 _RECORD = {
-    "anchor": np.int32, "context": np.int64, "doc": np.int64, "row": np.int16, "lo": np.int32,
+    "anchor": np.int32, "context": np.int64, "doc": np.int64, "row": np.int64, "lo": np.int32,
     "count": np.int8, "left": np.int8, "right": np.int8,
 }
 _RECORD_SCHEMA = "bucket int, " + ", ".join(
     f"{name} binary" for name in (*_RECORD, "done_doc", "done_row", "done_mark")
 )
-_MARKS = "doc long, row short, mark long, wanted byte"
+_MARKS = "doc long, row long, mark long, wanted byte"
 
 
 def _mark(lo: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -160,7 +160,7 @@ def _documents(docs: DataFrame) -> DataFrame:
     """What is read of a document; rows that repeat id and text are the same to all steps."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(int(LAST))).alias("doc"),
-        F.pmod(F.hash("doc_id", "text"), F.lit(1 << 15)).cast("short").alias("row"),
+        row_key().alias("row"),
         text_of().alias("text"),
         F.octet_length(text_of()).alias("size"),
     )
@@ -214,7 +214,7 @@ def _by_bucket(record, bucket, done, buckets) -> pa.RecordBatch:
     shares = np.linspace(0, int(done.sum()), buckets + 1).astype(np.int64)
     known = {
         "done_doc": record["doc"][done],
-        "done_row": record["row"][done].astype(np.int16),
+        "done_row": record["row"][done],
         "done_mark": _mark(record["lo"][done], record["count"][done]),
     }
     for name, values in known.items():
@@ -254,7 +254,7 @@ def _meet(table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "doc": np.concatenate([record["doc"][told], _joined(table, "done_doc", np.int64)]),
-            "row": np.concatenate([record["row"][told], _joined(table, "done_row", np.int16)]),
+            "row": np.concatenate([record["row"][told], _joined(table, "done_row", np.int64)]),
             "mark": np.concatenate(
                 [_mark(record["lo"], record["count"])[told], _joined(table, "done_mark", np.int64)]
             ),
@@ -299,7 +299,7 @@ def _cut_contexts(unit: Unit, buckets: int) -> Callable:
                     "side": np.full(len(here), side, np.int8),
                     "at": found["at"][here].astype(np.int16),
                     "doc": np.array(docs, np.int64)[here],
-                    "row": np.array(rows, np.int16)[here],
+                    "row": np.array(rows, np.int64)[here],
                     "mark": np.array(marks, np.int64)[here],
                 }
                 columns = {name: pa.array(values) for name, values in columns.items()}
@@ -389,10 +389,10 @@ def repeated_windows(docs: DataFrame, unit: Unit, resolve: Callable) -> DataFram
     wanted = wanted.agg(F.collect_set(sides).alias("marks"))
     contexts = texts.join(wanted, ["doc", "row"]).mapInArrow(
         _cut_contexts(unit, buckets),
-        "bucket int, key long, side byte, at short, doc long, row short, mark long, context binary",
+        "bucket int, key long, side byte, at short, doc long, row long, mark long, context binary",
     )
     resolved = contexts.groupBy("bucket").applyInArrow(
-        _resolved(unit, resolve), "doc long, row short, mark long"
+        _resolved(unit, resolve), "doc long, row long, mark long"
     )
     known = marks.filter("wanted = 0").select("doc", "row", "mark").unionByName(resolved)
     known = known.groupBy("doc", "row").agg(F.collect_list("mark").alias("marks"))

@@ -165,6 +165,22 @@ def test_lines_of_high_edit_similarity_are_found(docs):
     assert not any(removed[2 * i] for i in range(len(near)))
 
 
+def test_lines_of_many_rows_of_one_id(docs):
+    """Each of 2,000 rows without an id loses the line it shares, and no other one."""
+    rng = random.Random(6)
+    own = [" ".join(f"{rng.getrandbits(60):x}" for _ in range(8)) for _ in range(2000)]
+    shared = "a line that all of these rows have in common"
+    rows = [(0, shared)]
+    rows += [(None, "\n".join([text] * (i % 2) + [shared, text])) for i, text in enumerate(own)]
+    marks = line_dedup.line_marks(docs(rows)).collect()
+    got = sorted((r.n_lines, tuple(r.removed)) for r in marks)
+    # Nulls come first, so the shared line stays in one of these rows.
+    assert sum(n for n, _ in got) == 1 + 2 * 1000 + 3 * 1000
+    assert sum(len(r) for _, r in got) == 2000 + 1000
+    left = line_dedup.line_dedup(docs(rows)).filter("doc_id IS NULL").collect()
+    assert sorted(line for r in left for line in r.text.split("\n")) == sorted([*own, shared])
+
+
 def test_nearly_all_variants_go(docs):
     base = [f"word{i}" for i in range(400)]
     texts = [" ".join([*base[:i], "x", *base[i + 1 :]]) for i in range(30)]

@@ -74,6 +74,15 @@ def test_contexts_meet_by_all_bits_of_their_hash():
         assert sum(w == 0 for w in found.column("wanted").to_pylist()) == repeats
 
 
+@pytest.mark.parametrize("run, find", [(words, brute.repeated_words), (bytes_, brute.repeated_bytes)])
+def test_many_rows_of_one_id(docs, run, find):
+    """2,000 rows without an id, of different texts and lengths, some with an earlier passage."""
+    passage = " ".join(f"w{i}" for i in range(15))
+    rows = [(0, passage)]
+    rows += [(None, f"a{i} b{i} " * (i % 9) + (passage if i % 2 else f"c{i}")) for i in range(2000)]
+    assert run(docs(rows)) == Counter(find(rows))
+
+
 def test_spans_and_text(docs):
     passage = " ".join(f"w{i}" for i in range(15))
     df = docs(["a b " + passage, "c " + passage + "  d\te", passage])
