@@ -1,10 +1,10 @@
-"""N-gram Jaccard join by a MinHash LSH forest, with exact verification.
+"""N-gram Jaccard join by MinHash LSH in fixed bands, with exact verification.
 
 1. Every document has a set of word shingles and a MinHash signature. Documents of equal sets are
    folded to one representative.
-2. The forest: each tree orders the signatures by a label of some MinHashes; documents that share a
-   prefix of their labels are a branch of that trie. Prefixes are shortened, one tree at a time,
-   until a pair at the threshold is found with the target recall.
+2. Fixed bands replace an LSH forest. Each tree has one band, a prefix of some MinHashes, and the
+   documents that share it are a branch. The lengths are computed beforehand, so that a pair at the
+   threshold is found with the target recall; no trie is sorted and no prefix shortened by the data.
 3. Branches of the same members count once. The members of a branch are linked if their whole
    signatures agree well enough; a large branch is compared in blocks.
 4. Linked documents form candidate groups. Their shingle sets are shipped once, and all pairs of a
