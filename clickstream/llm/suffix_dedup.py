@@ -1,10 +1,9 @@
-"""Deduplication of byte substrings by longest-previous-factor arrays.
+"""Deduplication of byte substrings by context hashes and suffix order.
 
 Suffixes are sorted where they can matter. Documents are joined on the anchors of their byte
 windows (`repeats`); equal surroundings are folded, and the suffixes of what is left around an
-anchor are put in suffix order. There the nearest entries of smaller position before and after a
-suffix give its longest earlier match; a window whose match is full-length is a copy. The first
-occurrence stays.
+anchor are put in suffix order. Longest previous factors are not computed: of each unbroken
+stretch of full-length common prefixes the smallest document stays, the others are copies.
 """
 
 from __future__ import annotations
