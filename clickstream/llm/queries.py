@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickstream.llm import (
     decontamination,
     exact_dedup,
+    fingerprints,
     jaccard_join,
     language_id,
     line_dedup,
@@ -93,6 +94,10 @@ def op10_suffix_dedup(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
 
 
+def op13_fingerprints(spark, sf_dir):
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_jaccard_join": op1_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
@@ -104,4 +109,5 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op13_fingerprints": op13_fingerprints,
 }
