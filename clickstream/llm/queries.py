@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickstream.llm import (
+    alignment,
     decontamination,
     exact_dedup,
     fingerprints,
@@ -23,6 +24,7 @@ from clickstream.llm import (
 from clickstream.llm.common import table, text_of
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +96,10 @@ def op10_suffix_dedup(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
 
 
+def op12_alignment(spark, sf_dir):
+    return alignment.link_strengths(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
+
+
 def op13_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
@@ -109,5 +115,6 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op12_alignment": op12_alignment,
     "op13_fingerprints": op13_fingerprints,
 }

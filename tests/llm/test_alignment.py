@@ -1,0 +1,142 @@
+"""Alignment of whole texts by the tokenizers themselves, token by token."""
+
+import hashlib
+import os
+from collections import Counter
+
+import duckdb
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from clickstream.llm import alignment
+from clickstream.llm.queries import PIECES, QUERIES, TOKENIZER
+
+SF_DIR = "/root/testdata/sf0.001"
+
+A = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+A.encode_special_tokens = True
+B = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def a_tokens(text):
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    other = [b for b in range(256) if b not in shown]
+    byte = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(other)}
+    found = A.encode(" " + text, add_special_tokens=False)
+    return [(i, bytes(byte[c] for c in t)) for i, t in zip(found.ids, found.tokens)]
+
+
+def b_tokens(text):
+    pieces = [(i, B.id_to_piece(i)) for i in B.encode(text)]
+    return [
+        (i, bytes([int(p[3:5], 16)]) if B.is_byte(i) else p.replace("▁", " ").encode())
+        for i, p in pieces
+    ]
+
+
+def spans(tokens):
+    at, out = 0, []
+    for i, data in tokens:
+        out.append((i, at, at + len(data)))
+        at += len(data)
+    return out
+
+
+def one(text):
+    """n_a, n_b, groups, links of a text."""
+    if not text:
+        return 0, 0, [], []
+    a, b = a_tokens(text), b_tokens(text)
+    if any(b"".join(d for _, d in t) != b" " + text.encode() for t in (a, b)):
+        return 0, 0, [], []
+    a, b = spans(a), spans(b)
+    cuts = sorted({end for _, _, end in a} & {end for _, _, end in b})
+    groups, since = [], 0
+    for cut in cuts:
+        groups.append([[i for i, s, e in side if since <= s and e <= cut] for side in (a, b)])
+        since = cut
+    # Tokens are few, and links only among those that meet.
+    links, j = [], 0
+    for i, s, e in a:
+        while b[j][2] <= s:
+            j += 1
+        k = j
+        while k < len(b) and b[k][1] < e:
+            links.append((i, b[k][0]))
+            k += 1
+    return len(a), len(b), groups, links
+
+
+def expected(rows):
+    found = [one(text) for _, text in rows]
+    counts = Counter(pair for *_, links in found for pair in set(links))
+    most = {}
+    for (a, _), n in counts.items():
+        most[a] = max(n, most.get(a, 0))
+    out = []
+    for (i, _), (n_a, n_b, groups, links) in zip(rows, found):
+        text = ";".join("|".join(",".join(map(str, ids)) for ids in g) for g in groups)
+        digest = hashlib.sha256(text.encode()).hexdigest() if groups else ""
+        best = sum(counts[p] == most[p[0]] for p in links)
+        total = sum(counts[p] for p in links)
+        out.append((i, n_a, n_b, len(groups), len(links), best, total, digest))
+    return Counter(out)
+
+
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+def got(df):
+    return Counter(tuple(r) for r in df.select(*COLUMNS).collect())
+
+
+TEXTS = [
+    "<|endoftext|> and <s> </s> <unk>", "a▁b", " two  spaces \n\n\tlines\r\n", "\n", " ", "　wide　 blanks\u0085  ",
+    "\x00 \x1f", "\U0001f600\U0001f468‍\U0001f469 中文字符 ﬁ", "é naïve", "x" * 5000, "word " * 3000,
+    "a\n b\t\tc  \n", "it's we'll 1234567890 3.14", "trailing  ", " line   para", "﻿bom <0x0A>",
+]
+
+
+@pytest.mark.parametrize("limit", [0, 1000000])
+def test_against_tokenizers(spark, docs, corpus, limit):
+    rows = list(enumerate(TEXTS + corpus))
+    assert got(alignment.link_strengths(docs(rows), TOKENIZER, PIECES, limit)) == expected(rows)
+
+
+def test_groups(spark, docs):
+    rows = alignment.alignments(docs(["hello wondrous world", None, "a▁b"]), TOKENIZER, PIECES)
+    found = {r.doc_id: r for r in rows.collect()}
+    _, _, groups, links = one("hello wondrous world")
+    assert found[0].groups == ";".join("|".join(",".join(map(str, i)) for i in g) for g in groups)
+    pairs = {(p >> 32, p & 0xFFFFFFFF): n for p, n in zip(found[0].pairs, found[0].times)}
+    assert pairs == Counter(links)
+    assert all(found[i].groups == found[i].groups_sha256 == "" for i in (1, 2))
+
+
+def test_table_starts_anew(spark, docs, corpus, monkeypatch):
+    rows = list(enumerate(corpus))
+    a, b = alignment._ByteLevel(TOKENIZER), alignment._Pieces(PIECES)
+    monkeypatch.setattr(alignment, "TABLE_BYTES", 100)
+    monkeypatch.setattr(alignment, "TEXT_BYTES", 2000)
+    table = alignment._Table(a, b)
+    import pyarrow as pa
+
+    for i, text in rows[:40]:
+        batch = pa.RecordBatch.from_pydict({"row": [i], "doc_id": [i], "text": [text], "size": [len(text.encode())]})
+        r = alignment._block(table, batch, True).to_pylist()[0]
+        n_a, n_b, groups, links = one(text)
+        assert (r["n_a"], r["n_b"], r["n_groups"], r["n_links"]) == (n_a, n_b, len(groups), len(links))
+
+
+def test_odd_rows(odd, docs):
+    rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
+    assert got(alignment.link_strengths(odd, TOKENIZER, PIECES)) == expected(rows)
+    assert alignment.link_strengths(docs([]), TOKENIZER, PIECES).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_query(spark):
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF_DIR}/documents.parquet'").fetchall()
+    assert got(QUERIES["op12_alignment"](spark, SF_DIR)) == expected(rows)
