@@ -3,6 +3,7 @@
 _LOWER = (
     "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 )
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 # The runs of symbols that repeated windows cover, from the windows' first symbols.
@@ -116,4 +117,52 @@ ORACLE_SQL = {
                    AS kept_sha256
         FROM d LEFT JOIN kept USING (doc_id)
     """,
+    "op11_divergence": f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang,
+                   coalesce(source, '') AS source, {_TERMS} AS x
+            FROM documents
+        ),
+        t AS (SELECT r, lang, source, unnest(x) AS term FROM d),
+        kept AS (
+            SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+        ),
+        l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+        c AS (
+            SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term)
+            GROUP BY lang, source, term
+        ),
+        g AS (
+            SELECT lang, source, coalesce(sum(n), 0) AS total
+            FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source)
+            GROUP BY lang, source
+        ),
+        p AS (
+            SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+                   1 + 1000000000::hugeint * (coalesce(c.n, 0) + 1) // (g.total + l.v) AS p,
+                   1 + 1000000000::hugeint * (kept.n + 1) // (l.total + l.v) AS q
+            FROM g JOIN l USING (lang) JOIN kept USING (lang)
+            LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+        ),
+        pair AS (
+            SELECT lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+            FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source
+            GROUP BY lang, a.source, b.source
+        ),
+        entry AS (
+            SELECT lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+            FROM g a JOIN g b USING (lang)
+            LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+            WHERE a.source <> b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q
+        )
+        SELECT lang, source, part, item, value::bigint AS value, "rank"::integer AS "rank"
+        FROM (
+            SELECT *, row_number() OVER (
+                PARTITION BY lang, source, part ORDER BY value DESC, item
+            ) AS "rank" FROM entry
+        )
+        WHERE part = 'pair' OR "rank" <= 200
+    """,
 }

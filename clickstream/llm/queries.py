@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clickstream.llm import (
     alignment,
     decontamination,
+    divergence,
     exact_dedup,
     fingerprints,
     jaccard_join,
@@ -96,6 +97,10 @@ def op10_suffix_dedup(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
 
 
+def op11_divergence(spark, sf_dir):
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 def op12_alignment(spark, sf_dir):
     return alignment.link_strengths(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)
 
@@ -115,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_line_dedup": op9_line_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_divergence": op11_divergence,
     "op12_alignment": op12_alignment,
     "op13_fingerprints": op13_fingerprints,
 }
