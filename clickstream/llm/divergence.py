@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickstream.llm.common import materialise, partitions, ship
 
-BLOCK_POSTINGS = 400_000  # that a task holds in memory
+BLOCK_POSTINGS = 1_000_000  # that a task holds in memory
 PIECE_BYTES = 1 << 20  # of a text whose terms are listed at a time
 LEAST_DOCUMENTS = 3  # of a language that must have a kept term
 TERMS = 200  # reported per group
@@ -59,58 +59,64 @@ class _Block:
 
     def __init__(self):
         self.counts: dict[tuple[str, str], Counter] = {}
-        self.documents: dict[tuple[str, str], Counter] = {}
+        self.documents: dict[str, Counter] = {}  # by language
         self.postings = 0
 
-    def add(self, group: tuple[str, str], text: str, size: int) -> None:
-        counts = self.counts.setdefault(group, Counter())
-        documents = self.documents.setdefault(group, Counter())
+    def add(self, lang: str, source: str, text: str, size: int) -> None:
+        counts = self.counts.setdefault((lang, source), Counter())
         before, own = len(counts), set()
         for terms in _pieces(text, size):
             counts.update(terms)
             own.update(terms)
-        documents.update(own)
+        self.documents.setdefault(lang, Counter()).update(own)
         self.postings += len(counts) - before
 
-    def run(self, shards: int) -> pa.RecordBatch:
-        """A row per shard and language: its terms in order and the postings of each."""
-        entries = sorted(
-            (group[0], term, group[1], n, self.documents[group][term])
-            for group, counts in self.counts.items()
-            for term, n in counts.items()
-        )
-        rows: dict[tuple[int, str], list] = {}
-        for lang, term, source, n, documents in entries:
-            key = (_shard(lang, term, shards), lang)
-            row = rows.get(key)
-            if row is None:
-                row = rows[key] = [[], [], [], [], []]
-            if not row[0] or row[0][-1] != term:
-                row[0].append(term)
-                row[1].append(0)
-            row[1][-1] += 1
-            row[2].append(source)
-            row[3].append(n)
-            row[4].append(documents)
-        columns = list(zip(*rows.values())) or [[]] * 5
-        arrays = [
-            pa.array([shard for shard, _ in rows], pa.int32()),
-            pa.array([lang for _, lang in rows], pa.string()),
-            *[pa.array(list(c), pa.list_(t)) for c, t in zip(columns, _TYPES)],
-        ]
-        return pa.RecordBatch.from_arrays(arrays, names=_NAMES)
+    def run(self, shards: int) -> Iterator[pa.RecordBatch]:
+        """Rows of a language and shard: its terms in order and the postings of each."""
+        for lang, documents in self.documents.items():
+            terms, seed = sorted(documents), crc32(lang.encode())
+            # The place of each term among those of all shards, shard by shard.
+            shard = np.array([crc32(term, seed) % shards for term in terms], np.int32)
+            by_shard = np.argsort(shard, kind="stable")
+            place = np.empty(len(terms), np.int64)
+            place[by_shard] = np.arange(len(terms))
+            place_of = dict(zip(terms, place.tolist()))
+            groups = [(s, c) for (of, s), c in self.counts.items() if of == lang]
+            sizes = [len(counts) for _, counts in groups]
+            at, number = np.empty(sum(sizes), np.int64), np.empty(sum(sizes), np.int64)
+            since = 0
+            for (_, counts), size in zip(groups, sizes):
+                found = map(place_of.__getitem__, counts)
+                at[since : since + size] = np.fromiter(found, np.int64, size)
+                number[since : since + size] = np.fromiter(counts.values(), np.int64, size)
+                since += size
+            order = np.argsort(at, kind="stable")
+            each = np.bincount(at, minlength=len(terms))
+            source = np.repeat(np.arange(len(groups)), sizes)[order]
+            shards_here, first = np.unique(shard[by_shard], return_index=True)
+            first = np.append(first, len(terms))
+            upto = np.concatenate([[0], np.cumsum(each)])[first]
+            of_terms = [
+                pa.array(terms, pa.binary()).take(pa.array(by_shard)),
+                pa.array(np.array([documents[t] for t in terms], np.int64)[by_shard]),
+                pa.array(each.astype(np.int32)),
+            ]
+            names = pa.array([name for name, _ in groups], pa.string())
+            of_postings = [names.take(pa.array(source)), pa.array(number[order])]
+            lists = [
+                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+                for offsets, columns in ((first, of_terms), (upto, of_postings))
+                for values in columns
+            ]
+            langs = pa.array([lang] * len(shards_here), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(shards_here), langs, *lists], _RUN_NAMES)
 
 
-_NAMES = ["shard", "lang", "terms", "sizes", "sources", "counts", "documents"]
-_TYPES = [pa.binary(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
 _RUN = (
-    "shard int, lang string, terms array<binary>, sizes array<int>, sources array<string>, "
-    "counts array<long>, documents array<long>"
+    "shard int, lang string, terms array<binary>, documents array<long>, sizes array<int>, "
+    "sources array<string>, counts array<long>"
 )
-
-
-def _shard(lang: str, term: bytes, shards: int) -> int:
-    return crc32(term, crc32(lang.encode())) % shards
+_RUN_NAMES = [column.split()[0] for column in _RUN.split(", ")]
 
 
 def _runs(shards: int, postings: int, size: int):
@@ -119,62 +125,93 @@ def _runs(shards: int, postings: int, size: int):
         for batch in batches:
             columns = [batch.column(name) for name in ("lang", "source", "text")]
             for lang, source, text in zip(*columns):
-                block.add((lang.as_py(), source.as_py()), text.as_py(), size)
+                block.add(lang.as_py(), source.as_py(), text.as_py(), size)
                 if block.postings >= postings:
-                    yield block.run(shards)
+                    yield from block.run(shards)
                     block = _Block()
         if block.postings:
-            yield block.run(shards)
+            yield from block.run(shards)
 
     return run
 
 
 def _segment(batch: pa.RecordBatch, row: int) -> Iterator[tuple]:
     """The terms of a run's row in order, each with its postings; some are decoded at a time."""
-    lang = batch.column("lang")[row].as_py()
-    lists = [batch.column(name)[row].values for name in _NAMES[2:]]
+    lists = [batch.column(name)[row].values for name in _RUN_NAMES[2:]]
     at = 0
     for first in range(0, len(lists[0]), 1024):
-        terms, sizes = (values.slice(first, 1024).to_pylist() for values in lists[:2])
-        postings = [values.slice(at, sum(sizes)).to_pylist() for values in lists[2:]]
-        at, low = at + sum(sizes), 0
-        for term, size in zip(terms, sizes):
-            yield lang, term, list(zip(*[values[low : low + size] for values in postings]))
-            low += size
+        terms, documents, sizes = (v.slice(first, 1024).to_pylist() for v in lists[:3])
+        whole = sum(sizes)
+        sources, counts = (values.slice(at, whole).to_pylist() for values in lists[3:])
+        stops = list(itertools.accumulate(sizes))
+        at += whole
+        for term, of, low, high in zip(terms, documents, [0, *stops], stops):
+            yield term, of, sources[low:high], counts[low:high]
+
+
+_FREQUENCIES = "lang string, term string, whole long, sources array<string>, counts array<long>"
 
 
 def _merged(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A shard is in one task; a task's shards are merged as one.
-        segments = [_segment(batch, row) for batch in batches for row in range(batch.num_rows)]
-        merged = heapq.merge(*segments, key=lambda entry: entry[:2])
-        rows: list[tuple] = []
-        for (lang, term), entries in itertools.groupby(merged, key=lambda entry: entry[:2]):
-            postings, documents = Counter(), 0
-            for _, _, found in entries:
-                for source, count, of in found:
-                    postings[source] += count
+        segments: dict[str, list] = {}
+        for batch in batches:
+            for row, lang in enumerate(batch.column("lang").to_pylist()):
+                segments.setdefault(lang, []).append(_segment(batch, row))
+        out = _Kept()
+        for lang, runs in segments.items():
+            current, documents, sources, counts = None, 0, [], []
+            for term, of, some, number in heapq.merge(*runs):
+                if term == current:  # of another run
                     documents += of
+                    sources += some
+                    counts += number
+                    continue
+                if documents >= least:
+                    out.add(lang, current, sources, counts)
+                    if len(out.langs) >= 10_000:
+                        yield out.taken()
+                current, documents, sources, counts = term, of, some, number
             if documents >= least:
-                whole, term = sum(postings.values()), term.decode()
-                for n, (source, count) in enumerate(sorted(postings.items())):
-                    rows.append((lang, term, source, count, whole, int(n == 0)))
-            if len(rows) >= 50_000:
-                yield _frequencies(rows)
-                rows = []
-        if rows:
-            yield _frequencies(rows)
+                out.add(lang, current, sources, counts)
+        if out.langs:
+            yield out.taken()
 
     return run
 
 
-_FREQUENCIES = "lang string, term string, source string, count long, whole long, first int"
+class _Kept:
+    """Merged terms, as columns."""
 
-
-def _frequencies(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.string()] * 3 + [pa.int64()] * 2 + [pa.int32()]
-    arrays = [pa.array(list(column), type_) for column, type_ in zip(zip(*rows), types)]
-    return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in _FREQUENCIES.split(", ")])
+    def __init__(self):
+        self.langs, self.terms, self.wholes, self.ends = [], [], [], [0]
+        self.sources, self.counts = [], []
+
+    def add(self, lang: str, term: bytes, sources: list[str], counts: list[int]) -> None:
+        if len(set(sources)) < len(sources):
+            sums: dict[str, int] = {}
+            for source, count in zip(sources, counts):
+                sums[source] = sums.get(source, 0) + count
+            sources, counts = list(sums), list(sums.values())
+        self.langs.append(lang)
+        self.terms.append(term)
+        self.wholes.append(sum(counts))
+        self.sources += sources
+        self.counts += counts
+        self.ends.append(len(self.counts))
+
+    def taken(self) -> pa.RecordBatch:
+        ends = pa.array(self.ends, pa.int32())
+        arrays = [
+            pa.array(self.langs, pa.string()),
+            pa.array(self.terms, pa.binary()).cast(pa.string()),
+            pa.array(self.wholes, pa.int64()),
+            pa.ListArray.from_arrays(ends, pa.array(self.sources, pa.string())),
+            pa.ListArray.from_arrays(ends, pa.array(self.counts, pa.int64())),
+        ]
+        self.__init__()
+        return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in _FREQUENCIES.split(", ")])
 
 
 def _groups_of(docs: DataFrame) -> DataFrame:
@@ -185,9 +222,9 @@ def _groups_of(docs: DataFrame) -> DataFrame:
 
 
 def frequencies(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
-    """Occurrences (`count`) of each kept `term` per `lang` and `source` that has it.
+    """A row for each kept `term` of each `lang`: its occurrences there (`whole`), the `sources`
+    that have it and how often each does (`counts`).
 
-    `whole` is the term's count in the language, and `first` is 1 in one row of the term, else 0.
     Terms are runs of letters, A-Z in lower case, and of all characters beyond ASCII. A language
     keeps those of at least `least` of its documents; every row is a document, also one that
     repeats another. Null text, lang and source count as empty.
@@ -199,14 +236,22 @@ def frequencies(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     return materialise(merged, "frequencies")
 
 
+def postings(found: DataFrame) -> DataFrame:
+    """`lang`, `term`, `whole`, `source` and `count` of each source that has a kept term."""
+    rows = found.select("lang", "term", "whole", F.explode(F.arrays_zip("sources", "counts")))
+    return rows.select(
+        "lang", "term", "whole", F.col("col.sources").alias("source"), F.col("col.counts").alias("count")
+    )
+
+
 def groups(docs: DataFrame, found: DataFrame) -> DataFrame:
     """Every `lang` and `source` that occurs, in order: `number` from 0 within the language and
     `sources` there, `total` occurrences of kept terms, those of the language (`lang_total`) and its
     number of kept terms (`terms`)."""
     of_lang = found.groupBy("lang").agg(
-        F.sum("count").alias("lang_total"), F.sum("first").cast("long").alias("terms")
+        F.sum("whole").alias("lang_total"), F.count(F.lit(1)).alias("terms")
     )
-    of_group = found.groupBy("lang", "source").agg(F.sum("count").alias("total"))
+    of_group = postings(found).groupBy("lang", "source").agg(F.sum("count").alias("total"))
     every = _groups_of(docs).select("lang", "source").distinct()
     in_lang = Window.partitionBy("lang")
     return materialise(
@@ -252,7 +297,8 @@ def _ranked(values: DataFrame, part: str) -> DataFrame:
 def leading_terms(found: DataFrame, every: DataFrame, limit: int = TERMS) -> DataFrame:
     """The terms that are more probable in a group than in its language, by how much they depart."""
     values = (
-        found.join(_small(every.drop("number", "sources")), ["lang", "source"])
+        postings(found)
+        .join(_small(every.drop("number", "sources")), ["lang", "source"])
         .withColumn("p", _p("count", "total"))
         .withColumn("q", _p("whole", "lang_total"))
         .filter("p > q")
@@ -382,8 +428,9 @@ def source_pairs(found: DataFrame, every: DataFrame) -> DataFrame:
         "lang", "number", "of", F.expr(f"CAST(terms AS DECIMAL(20)) * {_f('p0', 'q0')}").alias("value")
     )
     # Where one of the two has the term: by how many of its terms are how probable.
-    postings = found.join(_small(every), ["lang", "source"]).withColumn("p", _p("count", "total"))
-    alike = postings.groupBy("lang", "number", "p", "p0").agg(F.count(F.lit(1)).alias("n"))
+    known = postings(found).join(_small(every), ["lang", "source"])
+    known = known.withColumn("p", _p("count", "total"))
+    alike = known.groupBy("lang", "number", "p", "p0").agg(F.count(F.lit(1)).alias("n"))
     forth = f"CAST(n AS DECIMAL(20)) * ({_f('p', 'q0')} - {_f('p0', 'q0')})"
     back = f"CAST(n AS DECIMAL(20)) * ({_f('q0', 'p')} - {_f('q0', 'p0')})"
     single = alike.join(few, "lang").filter(distinct)
@@ -397,7 +444,7 @@ def source_pairs(found: DataFrame, every: DataFrame) -> DataFrame:
     # Where both have it: in blocks of sources, so that the sums of a block fit into memory.
     block = F.floor(F.col("number") / SOURCES).cast("int")
     blocks = F.ceil(F.col("sources") / SOURCES).cast("int")
-    placed = postings.select(
+    placed = known.select(
         "lang", "term", "number", "p", "p0", block.alias("block"),
         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("with"),
     ).select(
