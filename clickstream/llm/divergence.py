@@ -154,7 +154,7 @@ _FREQUENCIES = "lang string, term string, whole long, sources array<string>, cou
 
 def _merged(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # A shard is in one task; a task's shards are merged as one.
+        # The task has one shard.
         segments: dict[str, list] = {}
         for batch in batches:
             for row, lang in enumerate(batch.column("lang").to_pylist()):
@@ -232,7 +232,7 @@ def frequencies(docs: DataFrame, least: int = LEAST_DOCUMENTS) -> DataFrame:
     ship(docs.sparkSession)
     shards = partitions(docs.sparkSession)
     runs = _groups_of(docs).mapInArrow(_runs(shards, BLOCK_POSTINGS, PIECE_BYTES), _RUN)
-    merged = runs.repartition(shards, "shard").mapInArrow(_merged(least), _FREQUENCIES)
+    merged = runs.repartitionById(shards, "shard").mapInArrow(_merged(least), _FREQUENCIES)
     return materialise(merged, "frequencies")
 
 
