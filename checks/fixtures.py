@@ -5,14 +5,18 @@ Spark derives it from whole tables. `FIXTURES.md` lists the columns and the defe
 
 from __future__ import annotations
 
+import json
 import os
+import sys
 from pathlib import Path
 from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from clickstream.operators.offsets import offset_ranges
 from clickstream.schema import LOG_FIELDS, TIME_FORMAT
-from clickstream.storage import exists, scratch_dir
+from clickstream.storage import create, exists, scratch_dir
 
 # Lines of the matrix of malformed lines.
 MALFORMED = [
@@ -146,3 +150,92 @@ def _land(spark, sf_dir, kind, write, source) -> str:
         write(source(spark, sf_dir), path)
         _landed[key] = path
     return _landed[key]
+
+
+class LandedLog(DataSource):
+    """The landed Kafka-shaped log as a stream with Kafka's offsets: JSON by topic and partition.
+
+    Options: `path`; `ends` and `starts`, such JSON; `every`, of which offsets that are multiples are
+    gone, as from a compacted topic. What a run finds is up to `ends`.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "landed_log"
+
+    def schema(self) -> str:
+        return (
+            "key binary, value binary, topic string, partition int, offset bigint, "
+            "timestamp timestamp"
+        )
+
+    def streamReader(self, schema) -> DataSourceStreamReader:
+        return LandedLogReader(self.options)
+
+
+class LandedLogReader(DataSourceStreamReader):
+    def __init__(self, options):
+        self.path, self.every = options["path"], int(options.get("every", 0))
+        self.ends, self.starts = json.loads(options["ends"]), json.loads(options["starts"])
+
+    def initialOffset(self) -> dict:
+        return self.starts
+
+    def latestOffset(self) -> dict:
+        return self.ends
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [
+            InputPartition((topic, int(number), start.get(topic, {}).get(number, 0), until))
+            for topic, ends in end.items()
+            for number, until in ends.items()
+        ]
+
+    def read(self, partition: InputPartition):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import pyarrow.dataset as ds
+
+        topic, number, since, until = partition.value
+        folder = f"{self.path}/partition={number}"
+        if not os.path.isdir(folder):
+            return
+        offset = ds.field("offset")
+        wanted = (offset >= since) & (offset < until)
+        names = ["key", "value", "topic", "partition", "offset", "timestamp"]
+        for batch in ds.dataset(folder, format="parquet").to_batches(filter=wanted):
+            if self.every:
+                left = pc.subtract(
+                    batch["offset"],
+                    pc.multiply(pc.divide(batch["offset"], self.every), self.every),
+                )
+                batch = batch.filter(pc.not_equal(left, 0))
+            columns = {name: batch[name] for name in names if name != "partition"}
+            columns["partition"] = pa.array([number] * batch.num_rows, pa.int32())
+            columns["timestamp"] = columns["timestamp"].cast(pa.timestamp("us", "UTC"))
+            yield pa.RecordBatch.from_arrays([columns[name] for name in names], names)
+
+
+def partitioned_log(
+    spark: SparkSession, sf_dir: str, checkpoint: str, ends: dict, starts: dict | None = None, every: int = 0
+) -> DataFrame:
+    """The log as a stream of a source with positions by topic and partition.
+
+    As Kafka's source does, the positions it starts with are left in a new checkpoint.
+    """
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    spark.dataSource.register(LandedLog)
+    starts = json.dumps(starts or {topic: dict.fromkeys(found, 0) for topic, found in ends.items()})
+    if not exists(spark, f"{checkpoint}/sources/0/0"):
+        create(spark, f"{checkpoint}/sources/0/0", b"\0v1\n" + starts.encode())
+    reader = spark.readStream.format("landed_log").option("path", str(_local(landed_kafka(spark, sf_dir))))
+    options = {"ends": json.dumps(ends), "starts": starts, "every": str(every)}
+    return reader.options(**options).load()
+
+
+def log_ends(spark: SparkSession, sf_dir: str, share: float = 1.0) -> dict:
+    """The topic's end positions, or those that this share of each partition reaches."""
+    ranges = offset_ranges(spark.read.parquet(landed_kafka(spark, sf_dir))).collect()
+    return {"access": {str(r.partition): int(r.until_offset * share) for r in ranges}}

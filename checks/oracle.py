@@ -170,6 +170,12 @@ _BODIES = {
     "job_malformed": """
         SELECT "partition", "offset", value, kind FROM lines WHERE kind IS NOT NULL""",
     "job_archive": f"SELECT {RECORD} FROM rec",
+    "job_planned_offsets": f"""
+        SELECT topic, "partition", from_offset, until_offset, 3 AS batches, 0 AS gaps
+        FROM ({OFFSETS}) UNION ALL SELECT 'access', 3, 0, 0, 3, 0""",
+    "job_handed_over_kpis": KPIS,
+    "job_handed_over_archive": f"SELECT {RECORD} FROM rec",
+    "job_compacted_archive": f"SELECT {RECORD} FROM rec",
 }
 
 ORACLE_SQL = {name: BASE + body for name, body in _BODIES.items()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -348,6 +349,85 @@ def job_archive(spark, sf_dir):
     return archived.withColumn("event_time", F.col("event_time").cast("string"))
 
 
+def _started_job(spark, work: str, checkpoint: str, stream, **options):
+    return cs.run_job(
+        cs.envelope(stream),
+        f"{work}/kpis",
+        checkpoint,
+        offsets_path=f"{work}/offsets",
+        malformed_path=f"{work}/malformed",
+        raw_path=f"{work}/raw",
+        compact_every=2,
+        trigger=NOW,
+        **options,
+    )
+
+
+def _grown_job(spark, sf_dir, every: int = 0, shares=(0.3, 0.6, 1.0)) -> str:
+    """The job on a log that grows between its runs, with a partition that has no records."""
+    work = scratch_dir(spark, "job")
+    for share in shares:
+        ends = fixtures.log_ends(spark, sf_dir, share)
+        ends["access"]["3"] = 0
+        stream = fixtures.partitioned_log(spark, sf_dir, f"{work}/checkpoint", ends, every=every)
+        _started_job(spark, work, f"{work}/checkpoint", stream).awaitTermination()
+    return work
+
+
+def job_planned_offsets(spark, sf_dir):
+    """Every seventh offset is gone from the log, the last ones too, and a partition is empty."""
+    ledger = cs.batch_table(spark, f"{_grown_job(spark, sf_dir, every=7)}/offsets")
+    gaps = ledger.alias("a").join(
+        ledger.alias("b"),
+        F.expr("a.partition = b.partition AND a.batch_id = b.batch_id - 1 AND a.until_offset <> b.from_offset"),
+        "left_semi",
+    )
+    return ledger.groupBy("topic", "partition").agg(
+        F.min("from_offset").alias("from_offset"),
+        F.max("until_offset").alias("until_offset"),
+        F.count(F.lit(1)).alias("batches"),
+    ).withColumn("gaps", F.lit(gaps.count()))
+
+
+def _handed_over_job(spark, sf_dir) -> str:
+    """The job loses its checkpoint twice, and goes on from the recorded offsets each time."""
+    work = scratch_dir(spark, "job")
+    starts = None
+    for run, share in enumerate((0.25, 0.5, 0.8, 1.0)):
+        checkpoint = f"{work}/checkpoint{(run + 1) // 2}"  # the second run goes on, as the third does
+        ends = fixtures.log_ends(spark, sf_dir, share)
+        stream = fixtures.partitioned_log(spark, sf_dir, checkpoint, ends, starts)
+        _started_job(spark, work, checkpoint, stream, take_over=run > 0).awaitTermination()
+        ledger = cs.next_offsets(cs.batch_table(spark, f"{work}/offsets"))
+        starts = json.loads(cs.starting_offsets_json(ledger).first().starting_offsets)
+    return work
+
+
+def job_handed_over_kpis(spark, sf_dir):
+    return cs.latest_kpis(spark, f"{_handed_over_job(spark, sf_dir)}/kpis")
+
+
+def job_handed_over_archive(spark, sf_dir):
+    archived = cs.batch_table(spark, f"{_handed_over_job(spark, sf_dir)}/raw")
+    return archived.drop("batch_id", "topic", "partition", "offset").withColumn(
+        "event_time", F.col("event_time").cast("string")
+    )
+
+
+def job_compacted_archive(spark, sf_dir):
+    """The archive of a job whose small folders were merged between its runs."""
+    work = scratch_dir(spark, "job")
+    for share in (0.2, 0.4, 0.6, 0.8, 1.0):
+        ends = fixtures.log_ends(spark, sf_dir, share)
+        stream = fixtures.partitioned_log(spark, sf_dir, f"{work}/checkpoint", ends)
+        _started_job(spark, work, f"{work}/checkpoint", stream).awaitTermination()
+        cs.compact_table(spark, f"{work}/raw")
+    archived = cs.batch_table(spark, f"{work}/raw")
+    return archived.drop("batch_id", "topic", "partition", "offset").withColumn(
+        "event_time", F.col("event_time").cast("string")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "raw_pv": raw_pv,
     "visits": visits,
@@ -399,4 +479,8 @@ QUERIES: dict[str, Query] = {
     "job_offsets": job_offsets,
     "job_malformed": job_malformed,
     "job_archive": job_archive,
+    "job_planned_offsets": job_planned_offsets,
+    "job_handed_over_kpis": job_handed_over_kpis,
+    "job_handed_over_archive": job_handed_over_archive,
+    "job_compacted_archive": job_compacted_archive,
 }

@@ -36,9 +36,11 @@ from clickstream.operators import (
 from clickstream.plans import kafka_kpis, line_report, sql_report
 from clickstream.schema import LOG, category_dim, log_schema
 from clickstream.sources import (
+    consumed_ranges,
     envelope,
     kafka_options,
     kafka_source,
+    next_offsets,
     rate_cap,
     read_json,
     read_lines,
@@ -48,6 +50,7 @@ from clickstream.sources import (
 from clickstream.streaming import (
     archive,
     batch_table,
+    compact_table,
     each_batch,
     kpi_sink,
     latest_kpis,
@@ -65,11 +68,13 @@ __all__ = [
     "area_distribution",
     "areas_of",
     "batch_table",
+    "compact_table",
     "between_times",
     "category_dim",
     "category_product_views",
     "dedup_offsets",
     "each_batch",
+    "consumed_ranges",
     "envelope",
     "identified",
     "kafka_kpis",
@@ -87,6 +92,7 @@ __all__ = [
     "pv_uv_raw",
     "pv_uv_raw_of",
     "quarantine",
+    "next_offsets",
     "rate_cap",
     "read_json",
     "read_lines",

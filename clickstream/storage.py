@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -59,3 +60,43 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="clickstream-")
     return f"{base.rstrip('/')}/clickstream/{name}-{uuid.uuid4().hex}"
+
+
+def read(spark: SparkSession, path: str) -> bytes:
+    """The content of a small file."""
+    fs, jvm_path = _path(spark, path)
+    stream = fs.open(jvm_path)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
+def create_new(spark: SparkSession, path: str, content: bytes) -> bool:
+    """Writes a small file that appears whole or not at all; False if there is one already.
+
+    The file system must have an atomic rename, as a streaming checkpoint needs too.
+    """
+    folder, _, name = path.rpartition("/")
+    hidden = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    create(spark, hidden, content)
+    jvm = spark._jvm.org.apache.hadoop.fs
+    context = jvm.FileContext.getFileContext(
+        jvm.Path(path).toUri(), spark._jsc.hadoopConfiguration()
+    )
+    options = spark.sparkContext._gateway.new_array(jvm.Options.Rename, 1)
+    options[0] = jvm.Options.Rename.NONE
+    try:
+        context.rename(jvm.Path(hidden), jvm.Path(path), options)
+    except Py4JJavaError as error:
+        delete(spark, hidden)
+        if "FileAlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    return True
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below the folder."""
+    fs, jvm_path = _path(spark, path)
+    return fs.getContentSummary(jvm_path).getLength()

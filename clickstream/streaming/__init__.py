@@ -2,6 +2,7 @@ from clickstream.streaming.batches import (
     BATCH_INTERVAL,
     archive,
     batch_table,
+    compact_table,
     each_batch,
     quarantine,
     record_offsets,
@@ -16,6 +17,7 @@ __all__ = [
     "KPI_SCHEMA",
     "archive",
     "batch_table",
+    "compact_table",
     "each_batch",
     "kpi_sink",
     "latest_kpis",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,7 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickstream.functions.parse import malformed, parse_log
 from clickstream.operators.offsets import offset_ranges
-from clickstream.storage import create, delete, names, partition_values
+from clickstream.sources.kafka import consumed_ranges
+from clickstream.storage import delete, names, size
+from clickstream.streaming import commits as log
 
 Step = Callable[[DataFrame, int], None]
 
@@ -21,8 +24,8 @@ def each_batch(*steps: Step, skip_empty: bool = True) -> Step:
     """A `foreachBatch` function that runs every step on the batch.
 
     If there are several steps the batch is kept for them, so the source is read once. An empty
-    batch is skipped; the look whether it is empty reads a little of a batch that is not kept,
-    so it must be turned off after a stateful operator.
+    batch is skipped, but for steps that are marked `on_empty`; the look whether it is empty reads
+    a little of a batch that is not kept, so it must be turned off after a stateful operator.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -30,8 +33,9 @@ def each_batch(*steps: Step, skip_empty: bool = True) -> Step:
         if shared:
             batch.persist()
         try:
-            if not (skip_empty and batch.isEmpty()):
-                for step in steps:
+            empty = skip_empty and batch.isEmpty()
+            for step in steps:
+                if not empty or getattr(step, "on_empty", False):
                     step(batch, batch_id)
         finally:
             if shared:
@@ -43,7 +47,13 @@ def each_batch(*steps: Step, skip_empty: bool = True) -> Step:
 def run_batches(
     stream: DataFrame, checkpoint: str, *steps: Step, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Start a query that runs `steps` on every batch of `stream`."""
+    """Start a query that runs `steps` on every batch of `stream`.
+
+    Tables of its steps must be new or of the same checkpoint.
+    """
+    for step in steps:
+        if path := getattr(step, "path", None):
+            log.check_owner(stream.sparkSession, path, checkpoint)
     return (
         stream.writeStream.foreachBatch(each_batch(*steps))
         .option("checkpointLocation", checkpoint)
@@ -52,89 +62,161 @@ def run_batches(
     )
 
 
+# Below it a folder for each batch or merge, whose name begins with the kind of its writer. To Spark
+# the name is a value of a partition column, so that all of them are read as one table.
+DATA, BATCH, MERGE = "data", "batch", "merge"
+_FOLDER = "commit_folder"
+
+
+def _place(path: str, folder: str) -> str:
+    return f"{path}/{DATA}/{_FOLDER}={folder}"
+
+
 def write_batch(
-    path: str,
-    transform: Callable[[DataFrame], DataFrame],
-    by: Sequence[str] = (),
-    compact_every: int = 100,
+    path: str, transform: Callable[[DataFrame], DataFrame], by: Sequence[str] = ()
 ) -> Step:
     """A step that adds what `transform` makes of the batch to the table at `path`.
 
-    Read the table with `batch_table`. A batch has a folder of its own and overwrites it, so one
-    that runs again is not written twice; an empty result leaves none. `by` names partition
-    columns below it. Every `compact_every` batches the folders since the last time are merged to
-    one, every `compact_every` times that the merged ones, and so on: the number of folders grows
-    with the logarithm of that of batches. Merged folders are removed by a later batch.
+    Read the table with `batch_table`. A batch writes a folder of its own and then commits it to the
+    table's log (`streaming.commits`), which alone says what the table holds: a batch that runs
+    again finds itself committed and writes nothing, and what a killed one left is never read and is
+    removed by the next run. An empty result is not committed. `by` names partition columns.
+    `compact_table` merges small folders, at any time and in any process.
     """
+    return _write_batch(path, lambda batch, batch_id: transform(batch), by)
+
+
+def _write_batch(
+    path: str, transform: Callable[[DataFrame, int], DataFrame], by: Sequence[str] = ()
+) -> Step:
+    known: list[log.Commits] = []  # what this run has read of the log
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        for until in _folders(spark, path) - _current(spark, path, batch_id):
-            delete(spark, f"{path}/until={until}")
-        rows = transform(batch).withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        span = _span(batch_id, compact_every)
-        merged = {u for u in _current(spark, path, batch_id) if batch_id - span < u < batch_id}
-        if span and merged:
-            rows = _read(spark, path, merged).unionByName(rows)
-        (
-            rows.withColumn("until", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("until", *by)
-            .parquet(path)
-        )
-        if span and merged:
-            create(spark, f"{path}/{MERGED}/{batch_id}-{span}", b"")
-
+        if not known:
+            known.append(log.load(spark, path))
+            log.claim(spark, path, known[0])
+            _remove_remains(spark, path, known[0], BATCH)
+        state = log.claim(spark, path, known[0])
+        number = state.base + batch_id
+        if number <= state.last:
+            return
+        folder = f"{BATCH}-{number}-{uuid.uuid4().hex}"
+        place = _place(path, folder)
+        rows = transform(batch, batch_id).withColumn("batch_id", F.lit(number).cast("bigint"))
+        rows.write.partitionBy(*by).parquet(place)
+        if spark.read.schema(rows.schema).parquet(place).isEmpty():
+            delete(spark, place)
+            return
+        entry = {"add": {folder: (number, size(spark, place))}, "by": list(by)}
+        me = state.owner
+
+        def decide(now: log.Commits) -> dict:
+            if now.owner != me:
+                raise ValueError(f"{path} was handed over to another checkpoint")
+            return entry
+
+        log.commit(spark, path, state, decide)
+
+    step.path = path
     return step
 
 
-def batch_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The rows that `write_batch` steps wrote, with their `batch_id`; None before the first."""
-    current = _current(spark, path)
-    return _read(spark, path, current) if current else None
-
-
-# Below it an empty file `batch-span` for each finished merged folder.
-MERGED = "_merged"
-
+def _remove_remains(spark: SparkSession, path: str, state: log.Commits, kind: str) -> None:
+    """Removes folders of killed writers of this kind, of which no other may run now."""
+    known = {*state.folders, *state.replaced}
+    for name in names(spark, f"{path}/{DATA}"):
+        folder = name.removeprefix(f"{_FOLDER}=")
+        if folder.startswith(kind) and folder not in known:
+            delete(spark, _place(path, folder))
 
-def _span(batch_id: int, compact_every: int) -> int:
-    """How many batches are merged at this one; 0 for none."""
-    if batch_id == 0 or batch_id % compact_every:
-        return 0
-    span = compact_every
-    while batch_id % (span * compact_every) == 0:
-        span *= compact_every
-    return span
 
+def batch_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows that `write_batch` steps committed, with their `batch_id`; None before the first."""
+    return _read(spark, path, list(log.load(spark, path).folders))
 
-def _folders(spark: SparkSession, path: str) -> set[int]:
-    return set(partition_values(spark, path, "until"))
 
+def _read(spark: SparkSession, path: str, folders: list[str]) -> DataFrame | None:
+    paths = [_place(path, folder) for folder in sorted(folders)]
+    if not paths:
+        return None
+    return spark.read.option("basePath", f"{path}/{DATA}").parquet(*paths).drop(_FOLDER)
 
-def _current(spark: SparkSession, path: str, before: int | None = None) -> set[int]:
-    """The folders that are not part of a merged one, of batches before the given one."""
-    spans = [tuple(map(int, name.split("-"))) for name in names(spark, f"{path}/{MERGED}")]
-    spans = [(until, span) for until, span in spans if before is None or until < before]
-    return {
-        until
-        for until in _folders(spark, path)
-        if not any(end - span < until < end for end, span in spans)
-    }
 
+def compact_table(spark: SparkSession, path: str, target_bytes: int = 128 << 20) -> int:
+    """Merges the small folders of a batch table; returns how many there were.
 
-def _read(spark: SparkSession, path: str, folders: set[int]) -> DataFrame:
-    paths = [f"{path}/until={until}" for until in sorted(folders)]
-    return spark.read.option("basePath", path).parquet(*paths).drop("until")
+    A job of its own, beside the running stream or after it; one at a time per table. Folders of
+    consecutive batches are merged up to `target_bytes`, and folders of that size are never written
+    again, so each row is rewritten few times however long the stream runs. The last batch is left
+    alone. What was merged goes with the merge after the next, so that a reader that began before
+    finds its files.
+    """
+    state = log.load(spark, path)
+    _remove_remains(spark, path, state, MERGE)
+    for folder in state.replaced:
+        delete(spark, _place(path, folder))
+    if state.replaced:
+        gone = list(state.replaced)
+        log.commit(spark, path, state, lambda now: {"deleted": gone})
+    merged = 0
+    for group in _groups(state, target_bytes):
+        batch, whole = max(state.folders[f][0] for f in group), sum(state.folders[f][1] for f in group)
+        folder = f"{MERGE}-{batch}-{uuid.uuid4().hex}"
+        place = _place(path, folder)
+        rows = _read(spark, path, group)
+        if state.by:
+            # A value with much of the rows is spread over as many tasks as fill a file each.
+            share = F.pmod(F.spark_partition_id(), F.lit(1 + whole // target_bytes))
+            rows = rows.repartition(*state.by, share)
+        else:
+            rows = rows.coalesce(1 + whole // target_bytes)
+        rows.write.partitionBy(*state.by).parquet(place)
+        entry = {"remove": group, "add": {folder: (batch, size(spark, place))}}
+
+        def decide(now: log.Commits, entry=entry) -> dict | None:
+            # Nothing to commit if the table was handed over without some of the batches.
+            return entry if now.folders.keys() >= set(entry["remove"]) else None
+
+        log.commit(spark, path, state, decide)
+        merged += len(group)
+    return merged
+
+
+def _groups(state: log.Commits, target_bytes: int) -> list[list[str]]:
+    groups, group, filled = [], [], 0
+    small = [
+        (batch, folder, bytes_)
+        for folder, (batch, bytes_) in state.folders.items()
+        if bytes_ < target_bytes and batch < state.last
+    ]
+    for _, folder, bytes_ in sorted(small):
+        if group and filled + bytes_ > target_bytes:
+            groups.append(group)
+            group, filled = [], 0
+        group.append(folder)
+        filled += bytes_
+    return [g for g in [*groups, group] if len(g) > 1]
+
+
+def record_offsets(path: str, checkpoint: str | None = None) -> Step:
+    """A step that records the offset ranges of each batch of Kafka records.
+
+    With the query's `checkpoint` these are the ranges that the batch was planned for: gaps,
+    partitions without records and batches without any are in them. Without it, or if the source has
+    no positions by topic and partition, they are the offsets of the rows.
+    """
 
+    def ranges(batch: DataFrame, batch_id: int) -> DataFrame:
+        planned = checkpoint and consumed_ranges(batch.sparkSession, checkpoint, batch_id)
+        return planned or offset_ranges(batch)
 
-def record_offsets(path: str, compact_every: int = 100) -> Step:
-    """A step that records the offset ranges of each batch of Kafka records."""
-    return write_batch(path, offset_ranges, compact_every=compact_every)
+    step = _write_batch(path, ranges)
+    step.on_empty = True
+    return step
 
 
-def quarantine(path: str, compact_every: int = 100) -> Step:
+def quarantine(path: str) -> Step:
     """A step that keeps the malformed lines of each batch with their coordinates.
 
     The batch may be parsed already; if not, each line is parsed once here.
@@ -143,7 +225,7 @@ def quarantine(path: str, compact_every: int = 100) -> Step:
     def bad(batch: DataFrame) -> DataFrame:
         return malformed(batch if "ok" in batch.columns else parse_log(batch, fields=()))
 
-    return write_batch(path, bad, compact_every=compact_every)
+    return write_batch(path, bad)
 
 
 def archive(

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickstream.functions.parse import parse_log, valid
 from clickstream.operators.sales import KPIS, code_kpis, labelled_kpis
 from clickstream.schema import LOG_FIELDS
-from clickstream.storage import exists, partition_values
+from clickstream.streaming import commits as log
 from clickstream.streaming.batches import (
     BATCH_INTERVAL,
     Step,
@@ -20,7 +20,13 @@ from clickstream.streaming.batches import (
     record_offsets,
     write_batch,
 )
-from clickstream.streaming.sinks import kpi_increments, kpi_sink, latest_kpis, remove_remains
+from clickstream.streaming.sinks import (
+    hand_over_kpis,
+    kpi_increments,
+    kpi_sink,
+    latest_kpis,
+    remove_remains,
+)
 
 STATE_PARTITIONS = 8
 
@@ -37,6 +43,7 @@ def run_kpis(
     state_partitions: int | None = STATE_PARTITIONS,
     query_name: str | None = None,
     also: Sequence[Step] = (),
+    take_over: bool = False,
 ) -> StreamingQuery:
     """Start a query that sums the sales in `lines.value` and keeps the table up to date.
 
@@ -55,13 +62,15 @@ def run_kpis(
     for `also`: functions of `(changed_rows, batch_id)` that run after the table is written,
     for instance to push the changed indicators to a key/value store.
 
-    A table belongs to one checkpoint and one running query. With a new checkpoint the batch
-    numbers start again below those in the table, so a new checkpoint with a filled table is
-    refused.
+    A table belongs to one checkpoint and one running query; with another checkpoint a filled
+    table is refused. `take_over` hands it over to this new checkpoint: its values go on growing
+    from what they are, and the query that owned it can no longer write. The caller has
+    the stream start after what the table holds.
     """
     spark = lines.sparkSession
-    if partition_values(spark, table, "batch_id") and not exists(spark, f"{checkpoint}/metadata"):
-        raise ValueError(f"{table} has rows of another checkpoint; give a new table")
+    if take_over and log.checkpoint_id(spark, checkpoint) is None:
+        hand_over_kpis(spark, table)
+    log.check_owner(spark, table, checkpoint)
     remove_remains(spark, table)
     fields = ["total_money", *(KPIS[kpi] for kpi in kpis if KPIS[kpi])]
     if event_types is not None:
@@ -105,6 +114,7 @@ def run_job(
     trigger: dict | None = None,
     compact_every: int = 100,
     query_name: str | None = None,
+    take_over: bool = False,
 ) -> StreamingQuery:
     """Start one query that does all of the streaming job on each batch of Kafka records.
 
@@ -112,22 +122,36 @@ def run_job(
     it with `latest_kpis`), and as far as paths are given the offset ranges, the malformed lines
     and the archive of the records by day (read them with `batch_table`). All have one checkpoint
     and so the same batches. Sums of the batch are added to the table's values: the table is
-    the state, and nothing is kept per key elsewhere.
+    the state, and nothing is kept per key elsewhere. The offset ranges are recorded last, so a
+    batch whose ranges are there is in all tables.
+
+    Tables belong to one checkpoint; with another they are refused. If the checkpoint is lost, start
+    a new one with `take_over` and the source at `next_offsets` of the recorded ranges: what a
+    batch wrote that is not recorded is dropped from all tables, the sums go on, batches are
+    numbered on, and the old query, should it still run, can no longer write.
     """
     spark = stream.sparkSession
-    if partition_values(spark, table, "batch_id") and not exists(spark, f"{checkpoint}/metadata"):
-        raise ValueError(f"{table} has rows of another checkpoint; give a new table")
+    others = [path for path in (malformed_path, raw_path, offsets_path) if path]
+    if take_over and log.checkpoint_id(spark, checkpoint) is None:
+        if not offsets_path:
+            raise ValueError("only a job with an offsets_path can be taken over")
+        base = log.load(spark, offsets_path).last + 1
+        hand_over_kpis(spark, table, base)
+        for path in others:
+            log.hand_over(spark, path, base)
+    for path in (table, *others):
+        log.check_owner(spark, path, checkpoint)
     remove_remains(spark, table)
     add = kpi_increments(table, compact_every)
     steps: list[Step] = [
         lambda batch, batch_id: add(code_kpis(valid(batch), kpis, event_types), batch_id)
     ]
-    if offsets_path:
-        steps.append(record_offsets(offsets_path, compact_every))
     if malformed_path:
-        steps.append(quarantine(malformed_path, compact_every))
+        steps.append(quarantine(malformed_path))
     if raw_path:
-        steps.append(write_batch(raw_path, valid, by=["dt"], compact_every=compact_every))
+        steps.append(write_batch(raw_path, valid, by=["dt"]))
+    if offsets_path:
+        steps.append(record_offsets(offsets_path, checkpoint))
     # Only what the steps need is kept; the archive needs all fields.
     fields = LOG_FIELDS if raw_path else ["time", "cid", "province", "total_money", "event_type"]
     names = ["topic", "partition", "offset", "value"]

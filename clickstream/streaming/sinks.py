@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickstream.operators.sales import labelled_kpis
 from clickstream.schema import MONEY_SUM
-from clickstream.storage import create, delete, names, partition_values
+from clickstream.storage import create, delete, exists, names, partition_values
+from clickstream.streaming import commits as log
 
-KPI_SCHEMA = f"kpi string, key string, value {MONEY_SUM}, batch_id bigint"
+_VALUES = f"kpi string, key string, value {MONEY_SUM}"
+KPI_SCHEMA = f"{_VALUES}, batch_id bigint"
 
 
 def kpi_sink(path: str, compact_every: int = 100) -> Callable[[DataFrame, int], None]:
@@ -25,55 +27,93 @@ def kpi_sink(path: str, compact_every: int = 100) -> Callable[[DataFrame, int],
     the changed ones. Once a second such whole partition is finished, a later batch, of this run or
     another, removes what is older than the first. So the table stays at about twice
     `compact_every` folders, and a reader has that many batches before folders it has listed go.
+
+    The values are those of the query's state. In a table that was handed over, they are added to
+    what it held then.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        _remove_old(spark, path, batch_id)
+        base = log.claim(spark, path, log.load(spark, path)).base
+        _remove_old(spark, path, base + batch_id)
         changed = batch.select("kpi", "key", "value")
-        whole = batch_id > 0 and batch_id % compact_every == 0
-        if whole:
-            changed = _latest(
-                _table(spark, path)
-                .filter(F.col("batch_id") < batch_id)
-                .unionByName(changed.withColumn("batch_id", F.lit(batch_id).cast("bigint")))
-            )
-        (
-            changed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
-            .parquet(path)
-        )
-        if whole:
-            create(spark, f"{path}/{WHOLE}/{batch_id}", b"")
+        if base:
+            changed = _added(changed, _carried(spark, path, base))
+        _write(changed, path, base + batch_id, compact_every)
 
     return write
 
 
+def _write(changed: DataFrame, path: str, number: int, compact_every: int) -> None:
+    spark = changed.sparkSession
+    whole = number > 0 and number % compact_every == 0
+    if whole:
+        changed = _latest(
+            _table(spark, path)
+            .filter(F.col("batch_id") < number)
+            .unionByName(changed.withColumn("batch_id", F.lit(number).cast("bigint")))
+        )
+    (
+        changed.withColumn("batch_id", F.lit(number).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
+    if whole:
+        create(spark, f"{path}/{WHOLE}/{number}", b"")
+
+
+def _added(sums: DataFrame, before: DataFrame) -> DataFrame:
+    """The keys of `sums`, with what was there before."""
+    before = before.withColumnRenamed("value", "before")
+    same = sums["kpi"].eqNullSafe(before["kpi"]) & sums["key"].eqNullSafe(before["key"])
+    value = F.coalesce(F.col("value") + F.col("before"), "value", "before")
+    return sums.join(before, same, "left").select(
+        sums["kpi"], sums["key"], value.cast(MONEY_SUM).alias("value")
+    )
+
+
+def _carried(spark: SparkSession, path: str, base: int) -> DataFrame:
+    """The values before the batch `base`, kept apart as old partitions go."""
+    kept = f"{path}/{CARRIED}/{base}"
+    if not exists(spark, f"{kept}/_SUCCESS"):
+        before = _latest(_table(spark, path).filter(F.col("batch_id") < base))
+        before.write.mode("overwrite").parquet(kept)
+    return spark.read.schema(_VALUES).parquet(kept)
+
+
 def kpi_increments(path: str, compact_every: int = 100) -> Callable[[DataFrame, int], None]:
     """As `kpi_sink`, for the sums of the batch alone: they are added to the table's values.
 
-    What earlier batches left is the state, so a batch that runs again finds the same as before.
+    What earlier batches left is the state, so a batch that runs again finds the same as before, and
+    a table that was handed over goes on with its sums.
     """
-    write = kpi_sink(path, compact_every)
 
     def add(sums: DataFrame, batch_id: int) -> None:
         spark = sums.sparkSession
-        before = _table(spark, path) if partition_values(spark, path, "batch_id") else None
-        if before is not None:
-            before = _latest(before.filter(F.col("batch_id") < batch_id))
-            before = before.withColumnRenamed("value", "before")
-            same = sums["kpi"].eqNullSafe(before["kpi"]) & sums["key"].eqNullSafe(before["key"])
-            value = F.coalesce(F.col("value") + F.col("before"), "value", "before")
-            sums = sums.join(before, same, "left").select(
-                sums["kpi"], sums["key"], value.cast(MONEY_SUM).alias("value")
-            )
-        write(sums, batch_id)
+        number = log.claim(spark, path, log.load(spark, path)).base + batch_id
+        _remove_old(spark, path, number)  # before the table is listed
+        if partition_values(spark, path, "batch_id"):
+            sums = _added(sums, _latest(_table(spark, path).filter(F.col("batch_id") < number)))
+        _write(sums.select("kpi", "key", "value"), path, number, compact_every)
 
     return add
 
 
+def hand_over_kpis(spark: SparkSession, path: str, base: int | None = None) -> None:
+    """Opens the table to a new checkpoint; what batches from `base` on wrote is dropped."""
+    numbers = partition_values(spark, path, "batch_id")
+    base = base if base is not None else max(numbers, default=-1) + 1
+    log.hand_over(spark, path, base)
+    for number in numbers:
+        if number >= base:
+            delete(spark, f"{path}/{WHOLE}/{number}")
+            delete(spark, f"{path}/batch_id={number}")
+
+
+# Below it the values that a table had when it was handed over, by the number of the batch.
+CARRIED = "_carried"
 # Below it an empty file for each whole partition that is finished.
 WHOLE = "_whole"
 
