@@ -119,6 +119,17 @@ def landed_stream(spark: SparkSession, sf_dir: str, batches: int = 3) -> DataFra
     return reader.parquet(path)
 
 
+def replayed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as a stream of some batches, which then gives all of it again, ten days later."""
+    path = scratch_dir(spark, "replayed")
+    log = spark.read.parquet(landed_kafka(spark, sf_dir))
+    later = log.withColumn("timestamp", F.expr("timestamp + INTERVAL 10 DAYS"))
+    for n, part in enumerate((log, later)):
+        part.repartition(2).write.parquet(f"{path}/replay={n}")
+    reader = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1)
+    return reader.parquet(f"{path}/replay=*")
+
+
 class GrowingLog:
     """A log file that takes over the landed lines, some at a time, and is rotated by renaming."""
 

@@ -145,6 +145,8 @@ _BODIES = {
                  ORDER BY "partition") || '}}}}' AS starting_offsets
         FROM ({OFFSETS})""",
     "dedup_replay": 'SELECT \'access\' AS topic, "partition", "offset", value FROM lines',
+    "stream_drop_replayed": """
+        SELECT 'access' AS topic, "partition", "offset", value FROM lines""",
     "recode_lines": """
         SELECT event_id,
                CASE cid WHEN '1' THEN '图书' WHEN '2' THEN '服装' WHEN '3' THEN '家具'

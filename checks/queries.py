@@ -180,6 +180,22 @@ def dedup_replay(spark, sf_dir):
     return cs.dedup_offsets(log.union(log)).select("topic", "partition", "offset", "value")
 
 
+def stream_drop_replayed(spark, sf_dir):
+    """The log, and all of it again ten days later."""
+    work = scratch_dir(spark, "replays")
+    records = cs.envelope(fixtures.replayed_stream(spark, sf_dir)).drop("key")
+    query = (
+        cs.drop_replayed(records)
+        .writeStream.format("parquet")
+        .option("path", f"{work}/records")
+        .option("checkpointLocation", f"{work}/checkpoint")
+        .trigger(**NOW)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{work}/records").select("topic", "partition", "offset", "value")
+
+
 def recode_lines(spark, sf_dir):
     log = fixtures.log_from_events(spark, sf_dir).select("event_id", "cid", "city")
     labelled = cs.with_category(log, cs.category_dim(spark, "zh"))
@@ -463,6 +479,7 @@ QUERIES: dict[str, Query] = {
     "starting_offsets": starting_offsets,
     "dedup_replay": dedup_replay,
     "recode_lines": recode_lines,
+    "stream_drop_replayed": stream_drop_replayed,
     "stream_total_sales": _stream_kpi("total"),
     "stream_sales_by_day": _stream_kpi("day", "dt", "date"),
     "stream_sales_by_category": _stream_kpi("category", "category"),

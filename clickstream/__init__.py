@@ -14,6 +14,7 @@ from clickstream.operators import (
     areas_of,
     category_product_views,
     dedup_offsets,
+    drop_replayed,
     kpi_values,
     offset_ranges,
     pv_uv,
@@ -68,13 +69,14 @@ __all__ = [
     "area_distribution",
     "areas_of",
     "batch_table",
-    "compact_table",
     "between_times",
     "category_dim",
     "category_product_views",
+    "compact_table",
+    "consumed_ranges",
     "dedup_offsets",
+    "drop_replayed",
     "each_batch",
-    "consumed_ranges",
     "envelope",
     "identified",
     "kafka_kpis",

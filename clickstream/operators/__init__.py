@@ -1,5 +1,6 @@
 from clickstream.operators.offsets import dedup_offsets, offset_ranges, starting_offsets_json
 from clickstream.operators.ranking import category_product_views, top_products, with_category
+from clickstream.operators.replays import drop_replayed
 from clickstream.operators.sales import (
     kpi_values,
     sales_between,
@@ -26,6 +27,7 @@ __all__ = [
     "areas_of",
     "category_product_views",
     "dedup_offsets",
+    "drop_replayed",
     "kpi_values",
     "offset_ranges",
     "pv_uv",
