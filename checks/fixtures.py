@@ -146,6 +146,9 @@ class GrowingLog:
                 lines = part.read_bytes().splitlines(keepends=True)
                 log.writelines(lines[int(begin * len(lines)) : int(end * len(lines))])
 
+    def size(self) -> int:
+        return os.path.getsize(self.path)
+
     def rotate(self) -> None:
         os.rename(self.path, f"{self.path}.1")
 

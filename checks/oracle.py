@@ -164,6 +164,8 @@ _BODIES = {
     "archive_sales_today": TODAY,
     "stream_tail": "SELECT value FROM lines WHERE value <> ''",
     "stream_tail_rotated": "SELECT value FROM lines WHERE value <> ''",
+    "stream_tail_capped": """
+        SELECT value FROM lines, range(2) WHERE value <> ''""",
     "stream_offset_ranges": OFFSETS,
     "stream_quarantine": """
         SELECT "partition", "offset", value, kind FROM lines WHERE kind IS NOT NULL""",

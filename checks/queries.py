@@ -295,6 +295,28 @@ def stream_tail_rotated(spark, sf_dir):
     return spark.read.parquet(f"{work}/lines")
 
 
+def stream_tail_capped(spark, sf_dir):
+    """A backlog that is read a fifth at a time, by a run that is stopped and one that goes on."""
+    cs.register_tail(spark)
+    work = scratch_dir(spark, "tail")
+    log = fixtures.GrowingLog(fixtures.landed_lines(spark, sf_dir), f"{work}/logs")
+    log.append(0, 1)
+    cap = log.size() // 5 + 1
+    for _ in range(2):
+        reader = spark.readStream.format("tail_log").option("path", log.path)
+        options = {"maxBytesPerTrigger": cap, "positions": f"{log.folder}/_positions"}
+        lines = reader.options(**options).load().select("value")
+        writer = lines.writeStream.format("parquet").option("path", f"{work}/lines")
+        query = writer.option("checkpointLocation", f"{work}/checkpoint").start()
+        query.processAllAvailable()
+        query.stop()
+        log.append(0, 1)
+    lines = spark.read.parquet(f"{work}/lines")
+    if len(lines.inputFiles()) < 10:  # a file or more of each batch
+        raise ValueError("the backlog was not read in parts")
+    return lines
+
+
 def _batch_steps(spark, sf_dir) -> str:
     work = scratch_dir(spark, "batches")
     cs.run_batches(
@@ -490,6 +512,7 @@ QUERIES: dict[str, Query] = {
     "archive_sales_today": archive_sales_today,
     "stream_tail": stream_tail,
     "stream_tail_rotated": stream_tail_rotated,
+    "stream_tail_capped": stream_tail_capped,
     "stream_offset_ranges": stream_offset_ranges,
     "stream_quarantine": stream_quarantine,
     "job_kpis": job_kpis,

@@ -23,13 +23,19 @@ past the old position since. What is cut off before it is read is lost, as for a
 that was renamed before a restart and is still written to after it may be read twice if the job is
 killed within the batch in which that happens.
 
-With the trigger `availableNow` a run makes one batch; if an earlier run was killed within a batch,
+A cap delays lines and drops none. Files that have little new are read whole, the others share
+what is left, and each gives at least a line. What a batch was given ends at a line. Spark does not tell
+a Python source where it went on after a restart, so the source notes that itself, in `positions`,
+before each batch; the first batch after a restart may reach over two caps.
+
+With the trigger `availableNow` a run makes one batch, of at most a cap if there is one; if an earlier run was killed within a batch,
 that one is finished first and the lines after it wait for the next run.
 """
 
 from __future__ import annotations
 
 import glob
+import json
 import os
 import sys
 import warnings
@@ -84,6 +90,11 @@ class TailLogReader(DataSourceStreamReader):
             raise ValueError(f"lines cannot be told apart by bytes in {self.charset}")
         self.split_bytes = int(options.get("splitBytes", SPLIT_BYTES))
         self.fail_on_data_loss = options.get("failOnDataLoss", "true").lower() != "false"
+        self.max_bytes = int(options.get("maxBytesPerTrigger", 0))
+        self.positions = options.get("positions")
+        if self.max_bytes and not self.positions:
+            raise ValueError("maxBytesPerTrigger needs the option 'positions'")
+        self.given = None  # how far each file was given out, by a cap
         self.seen = {}
         self.followed = set()
         self.placed = set()
@@ -114,10 +125,41 @@ class TailLogReader(DataSourceStreamReader):
                 self.followed.add(key)
             follow = key in self.followed
             latest[key] = {"path": path, "end": end, "size": size, "head": head, "follow": follow}
+        if self.max_bytes:
+            self._cap(latest)
         return latest
 
+    def _cap(self, latest: dict) -> None:
+        """Takes back what is beyond the cap, and notes how far each file is given out."""
+        if self.given is None:
+            self.given = _noted(self.positions)
+        waiting = []
+        for key, to in latest.items():
+            since = self.given.get(key, 0)
+            since = since if since <= to["end"] else 0  # else written anew
+            if to["follow"] and to["end"] > since:
+                waiting.append((to["end"] - since, since, key))
+        room = self.max_bytes
+        for place, (more, since, key) in enumerate(sorted(waiting)):
+            to, share = latest[key], room // (len(waiting) - place)
+            if more > share:
+                try:
+                    end = _last_line_end(to["path"], since, since + share)
+                    to["end"] = end if end > since else _first_line_end(to["path"], since)
+                    to["head"] = _head(to["path"], min(to["end"], HEAD_BYTES))
+                except FileNotFoundError:  # renamed just now: the next poll finds it
+                    to["end"] = since
+                    to["head"] = [0, 0] if not since else to["head"]
+            room = max(0, room - (to["end"] - since))
+        given = {key: to["end"] for key, to in latest.items() if to["follow"]}
+        if given != self.given:
+            _note(self.positions, given)
+            self.given = given
+
     def partitions(self, start: dict, end: dict) -> list[Share]:
         self._check_lost(start, end)
+        if self.max_bytes and self.given is None:  # a batch runs again
+            self.given = {key: to["end"] for key, to in end.items() if to["follow"]}
         shares, slices, room = [], [], self.split_bytes
         for key, to in sorted(end.items()):
             since = start.get(key, {"end": 0, "follow": False})
@@ -126,6 +168,8 @@ class TailLogReader(DataSourceStreamReader):
             # What a file held before it first matched the pattern has not been read.
             first = since["end"] if since["follow"] or key in self.placed else 0
             stop = to["end"]
+            if self.max_bytes and stop < first <= to["size"]:
+                raise ValueError(f"{self.positions} is not of this checkpoint: run once without a cap")
             self.followed.add(key)
             self.placed.add(key)
             if stop < first or (first and not _same_start(since["head"], to["head"], to["path"])):
@@ -252,6 +296,29 @@ def _last_line_end(path: str, start: int, size: int) -> int:
     return start
 
 
+def _first_line_end(path: str, start: int) -> int:
+    """Position after the first newline from `start` on."""
+    with open(path, "rb") as file:
+        file.seek(start)
+        return start + len(file.readline())
+
+
+def _noted(path: str) -> dict[str, int]:
+    try:
+        with open(path, encoding="utf-8") as file:
+            return json.load(file)
+    except FileNotFoundError:
+        return {}
+
+
+def _note(path: str, given: dict[str, int]) -> None:
+    with open(f"{path}.new", "w", encoding="utf-8") as file:
+        json.dump(given, file)
+        file.flush()
+        os.fsync(file.fileno())
+    os.replace(f"{path}.new", path)
+
+
 def register_tail(spark: SparkSession) -> None:
     """Make `tail_log` known to the session; the class travels to the executors by value."""
     from pyspark import cloudpickle
