@@ -160,6 +160,14 @@ _BODIES = {
         SELECT coalesce(p_brand, 'unknown') AS brand, {AMOUNT}
         FROM rec LEFT JOIN part ON CAST(p_partkey AS varchar) = cid GROUP BY 1""",
     "stream_kpis": KPIS,
+    "stream_uv": """
+        SELECT count(*) AS pv, count(DISTINCT openid) AS uv FROM rec WHERE openid IS NOT NULL""",
+    "stream_uv_by_day": """
+        SELECT dt, count(DISTINCT openid) AS uv FROM rec WHERE openid IS NOT NULL GROUP BY dt""",
+    "stream_top_products": f"""
+        SELECT category, pid, views, "rank" FROM (
+          SELECT *, row_number() OVER (PARTITION BY category ORDER BY views DESC, pid) AS "rank"
+          FROM ({VIEWS})) WHERE "rank" <= 2""",
     "stream_archive": f"SELECT {RECORD} FROM rec",
     "archive_sales_today": TODAY,
     "stream_tail": "SELECT value FROM lines WHERE value <> ''",

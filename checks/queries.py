@@ -241,6 +241,34 @@ def stream_kpis(spark, sf_dir):
     return _kpi_table(spark, cs.envelope(fixtures.landed_stream(spark, sf_dir)))
 
 
+def _counted(spark, sf_dir, run, **options):
+    work = scratch_dir(spark, "visitors")
+    stream = cs.envelope(fixtures.landed_stream(spark, sf_dir))
+    run(stream, f"{work}/table", f"{work}/checkpoint", trigger=NOW, **options).awaitTermination()
+    return cs.latest_kpis(spark, f"{work}/table").withColumn("value", F.col("value").cast("bigint"))
+
+
+def stream_uv(spark, sf_dir):
+    views = _counted(spark, sf_dir, cs.run_views).select(F.col("value").alias("pv"), "key")
+    visitors = _counted(spark, sf_dir, cs.run_visitors).select(F.col("value").alias("uv"), "key")
+    return views.join(visitors, "key").select("pv", "uv")
+
+
+def stream_uv_by_day(spark, sf_dir):
+    """With the state of a day kept until all of the log has come."""
+    counts = _counted(spark, sf_dir, cs.run_visitors, by_day=True, keep_days=40)
+    return counts.select(F.col("key").cast("date").alias("dt"), F.col("value").alias("uv"))
+
+
+def stream_top_products(spark, sf_dir):
+    work = scratch_dir(spark, "rankings")
+    stream = cs.envelope(fixtures.landed_stream(spark, sf_dir))
+    cs.run_top_products(
+        stream, f"{work}/table", f"{work}/checkpoint", trigger=NOW
+    ).awaitTermination()
+    return cs.batch_table(spark, f"{work}/table").drop("batch_id")
+
+
 def _archive(spark, sf_dir, **options):
     work = scratch_dir(spark, "archive")
     stream = fixtures.landed_stream(spark, sf_dir).select(F.col("value").cast("string"))
@@ -508,6 +536,9 @@ QUERIES: dict[str, Query] = {
     "stream_sales_by_province": _stream_kpi("province", "province"),
     "stream_sales_by_brand": stream_sales_by_brand,
     "stream_kpis": stream_kpis,
+    "stream_uv": stream_uv,
+    "stream_uv_by_day": stream_uv_by_day,
+    "stream_top_products": stream_top_products,
     "stream_archive": stream_archive,
     "archive_sales_today": archive_sales_today,
     "stream_tail": stream_tail,

@@ -60,6 +60,9 @@ from clickstream.streaming import (
     run_batches,
     run_job,
     run_kpis,
+    run_top_products,
+    run_views,
+    run_visitors,
     write_batch,
 )
 
@@ -105,6 +108,9 @@ __all__ = [
     "run_batches",
     "run_job",
     "run_kpis",
+    "run_top_products",
+    "run_views",
+    "run_visitors",
     "sales_between",
     "sales_by_category",
     "sales_by_day",

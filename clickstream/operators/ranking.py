@@ -64,9 +64,14 @@ def top_products(df: DataFrame, dim: DataFrame | None = None, n: int = 2) -> Dat
         .agg(F.min("views").alias("least"))
     )
     reached = views.join(cutoff, "category").filter(F.col("views") >= F.col("least"))
+    return leading(reached, n)
+
+
+def leading(views: DataFrame, n: int) -> DataFrame:
+    """The first `n` rows of each category by `views` and `pid`, ranked in shares first."""
     order = [F.col("views").desc(), F.col("pid").asc_nulls_last()]
     share = F.pmod(F.xxhash64("pid"), F.lit(SHARES))
-    first = _first(reached.withColumn("share", share), ["category", "share"], order, n)
+    first = _first(views.withColumn("share", share), ["category", "share"], order, n)
     ranked = _first(first.drop("share", "rank"), ["category"], order, n)
     return ranked.select("category", "pid", "views", F.col("rank").cast("bigint").alias("rank"))
 

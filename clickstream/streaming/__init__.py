@@ -6,11 +6,14 @@ from clickstream.streaming.batches import (
     each_batch,
     quarantine,
     record_offsets,
+    replace_table,
     run_batches,
     write_batch,
 )
 from clickstream.streaming.kpis import run_job, run_kpis
+from clickstream.streaming.rankings import run_top_products
 from clickstream.streaming.sinks import KPI_SCHEMA, kpi_sink, latest_kpis
+from clickstream.streaming.visitors import run_views, run_visitors
 
 __all__ = [
     "BATCH_INTERVAL",
@@ -23,8 +26,12 @@ __all__ = [
     "latest_kpis",
     "quarantine",
     "record_offsets",
+    "replace_table",
     "run_batches",
     "run_job",
     "run_kpis",
+    "run_top_products",
+    "run_views",
+    "run_visitors",
     "write_batch",
 ]

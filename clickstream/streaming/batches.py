@@ -86,8 +86,27 @@ def write_batch(
     return _write_batch(path, lambda batch, batch_id: transform(batch), by)
 
 
+def replace_table(
+    path: str, transform: Callable[[DataFrame, DataFrame | None], DataFrame]
+) -> Step:
+    """A step that replaces the table at `path` by what `transform` makes of the batch and of the
+    table as the batch before left it (None before the first). Read it with `batch_table`.
+
+    The old folders of the last two batches stay for readers that have listed them.
+    """
+
+    def made(batch: DataFrame, batch_id: int) -> DataFrame:
+        before = batch_table(batch.sparkSession, path)
+        return transform(batch, None if before is None else before.drop("batch_id"))
+
+    return _write_batch(path, made, replace=True)
+
+
 def _write_batch(
-    path: str, transform: Callable[[DataFrame, int], DataFrame], by: Sequence[str] = ()
+    path: str,
+    transform: Callable[[DataFrame, int], DataFrame],
+    by: Sequence[str] = (),
+    replace: bool = False,
 ) -> Step:
     known: list[log.Commits] = []  # what this run has read of the log
 
@@ -100,6 +119,8 @@ def _write_batch(
         state = log.claim(spark, path, known[0])
         number = state.base + batch_id
         if number <= state.last:
+            # Only what the query itself keeps of the batch is made again.
+            batch.write.format("noop").mode("append").save()
             return
         folder = f"{BATCH}-{number}-{uuid.uuid4().hex}"
         place = _place(path, folder)
@@ -109,6 +130,10 @@ def _write_batch(
             delete(spark, place)
             return
         entry = {"add": {folder: (number, size(spark, place))}, "by": list(by)}
+        if replace:
+            entry |= {"remove": list(state.folders), "deleted": state.replaced[:-1]}
+            for old in entry["deleted"]:
+                delete(spark, _place(path, old))
         me = state.owner
 
         def decide(now: log.Commits) -> dict:
