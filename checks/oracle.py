@@ -152,6 +152,11 @@ _BODIES = {
                CASE cid WHEN '1' THEN '图书' WHEN '2' THEN '服装' WHEN '3' THEN '家具'
                         WHEN '4' THEN '手机' ELSE 'unknown' END || ' ' || city AS value
         FROM log""",
+    "recode_lines_gbk": """
+        SELECT event_id,
+               CASE cid WHEN '1' THEN '图书' WHEN '2' THEN '服装' WHEN '3' THEN '家具'
+                        WHEN '4' THEN '手机' ELSE 'unknown' END || ' ' || city AS value
+        FROM log""",
     "stream_total_sales": TOTAL,
     "stream_sales_by_day": BY_DAY,
     "stream_sales_by_category": BY_CATEGORY,

@@ -204,6 +204,18 @@ def recode_lines(spark, sf_dir):
     return cs.recode(labelled.select("event_id", garbled.alias("value")))
 
 
+def recode_lines_gbk(spark, sf_dir):
+    log = fixtures.log_from_events(spark, sf_dir).select("event_id", "cid", "city")
+    # The few labels are made as a reader of the wrong charset would see them.
+    labels = [
+        (row.cid, row.category.encode("gbk").decode("latin-1"))
+        for row in cs.category_dim(spark, "zh").collect()
+    ]
+    labelled = cs.with_category(log, spark.createDataFrame(labels, "cid string, category string"))
+    text = F.concat_ws(" ", "category", "city")
+    return cs.recode(labelled.select("event_id", text.alias("value")), "GBK")
+
+
 # Streams
 
 
@@ -529,6 +541,7 @@ QUERIES: dict[str, Query] = {
     "starting_offsets": starting_offsets,
     "dedup_replay": dedup_replay,
     "recode_lines": recode_lines,
+    "recode_lines_gbk": recode_lines_gbk,
     "stream_drop_replayed": stream_drop_replayed,
     "stream_total_sales": _stream_kpi("total"),
     "stream_sales_by_day": _stream_kpi("day", "dt", "date"),

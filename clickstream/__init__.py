@@ -50,6 +50,7 @@ from clickstream.sources import (
 )
 from clickstream.streaming import (
     archive,
+    await_stop,
     batch_table,
     compact_table,
     each_batch,
@@ -57,12 +58,14 @@ from clickstream.streaming import (
     latest_kpis,
     quarantine,
     record_offsets,
+    request_stop,
     run_batches,
     run_job,
     run_kpis,
     run_top_products,
     run_views,
     run_visitors,
+    stop_at,
     write_batch,
 )
 
@@ -71,6 +74,7 @@ __all__ = [
     "archive",
     "area_distribution",
     "areas_of",
+    "await_stop",
     "batch_table",
     "between_times",
     "category_dim",
@@ -105,6 +109,7 @@ __all__ = [
     "record_offsets",
     "register_log",
     "register_tail",
+    "request_stop",
     "run_batches",
     "run_job",
     "run_kpis",
@@ -118,6 +123,7 @@ __all__ = [
     "sales_today",
     "sql_report",
     "starting_offsets_json",
+    "stop_at",
     "stream_lines",
     "top_products",
     "total_sales",

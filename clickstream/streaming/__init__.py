@@ -13,12 +13,14 @@ from clickstream.streaming.batches import (
 from clickstream.streaming.kpis import run_job, run_kpis
 from clickstream.streaming.rankings import run_top_products
 from clickstream.streaming.sinks import KPI_SCHEMA, kpi_sink, latest_kpis
+from clickstream.streaming.stopping import await_stop, request_stop, stop_at
 from clickstream.streaming.visitors import run_views, run_visitors
 
 __all__ = [
     "BATCH_INTERVAL",
     "KPI_SCHEMA",
     "archive",
+    "await_stop",
     "batch_table",
     "compact_table",
     "each_batch",
@@ -27,11 +29,13 @@ __all__ = [
     "quarantine",
     "record_offsets",
     "replace_table",
+    "request_stop",
     "run_batches",
     "run_job",
     "run_kpis",
     "run_top_products",
     "run_views",
     "run_visitors",
+    "stop_at",
     "write_batch",
 ]

@@ -27,6 +27,7 @@ from clickstream.streaming.sinks import (
     latest_kpis,
     remove_remains,
 )
+from clickstream.streaming.stopping import stop_at
 
 STATE_PARTITIONS = 8
 
@@ -44,6 +45,7 @@ def run_kpis(
     query_name: str | None = None,
     also: Sequence[Step] = (),
     take_over: bool = False,
+    stop_marker: str | None = None,
 ) -> StreamingQuery:
     """Start a query that sums the sales in `lines.value` and keeps the table up to date.
 
@@ -65,7 +67,7 @@ def run_kpis(
     A table belongs to one checkpoint and one running query; with another checkpoint a filled
     table is refused. `take_over` hands it over to this new checkpoint: its values go on growing
     from what they are, and the query that owned it can no longer write. The caller has
-    the stream start after what the table holds.
+    the stream start after what the table holds. With a `stop_marker`, wait by `await_stop`.
     """
     spark = lines.sparkSession
     if take_over and log.checkpoint_id(spark, checkpoint) is None:
@@ -76,7 +78,8 @@ def run_kpis(
     if event_types is not None:
         fields.append("event_type")
     values = code_kpis(valid(parse_log(lines, fields)), kpis, event_types)
-    steps = [kpi_sink(table, compact_every), *(_with_labels(step, table, dim) for step in also)]
+    steps = [stop_at(stop_marker)] if stop_marker else []
+    steps += [kpi_sink(table, compact_every), *(_with_labels(step, table, dim) for step in also)]
     writer = (
         values.writeStream.outputMode("update")
         .foreachBatch(each_batch(*steps, skip_empty=False))
@@ -115,6 +118,7 @@ def run_job(
     compact_every: int = 100,
     query_name: str | None = None,
     take_over: bool = False,
+    stop_marker: str | None = None,
 ) -> StreamingQuery:
     """Start one query that does all of the streaming job on each batch of Kafka records.
 
@@ -128,7 +132,8 @@ def run_job(
     Tables belong to one checkpoint; with another they are refused. If the checkpoint is lost, start
     a new one with `take_over` and the source at `next_offsets` of the recorded ranges: what a
     batch wrote that is not recorded is dropped from all tables, the sums go on, batches are
-    numbered on, and the old query, should it still run, can no longer write.
+    numbered on, and the old query, should it still run, can no longer write. With a `stop_marker`,
+    wait by `await_stop`.
     """
     spark = stream.sparkSession
     others = [path for path in (malformed_path, raw_path, offsets_path) if path]
@@ -143,7 +148,8 @@ def run_job(
         log.check_owner(spark, path, checkpoint)
     remove_remains(spark, table)
     add = kpi_increments(table, compact_every)
-    steps: list[Step] = [
+    steps: list[Step] = [stop_at(stop_marker)] if stop_marker else []
+    steps += [
         lambda batch, batch_id: add(code_kpis(valid(batch), kpis, event_types), batch_id)
     ]
     if malformed_path:
