@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickstream.llm.common import materialise, ship, text_of
 from clickstream.llm.hashing import blocks, byte_sums, regrouped, run_hashes
-from clickstream.llm.tokens import _WIDE_LEADS, _segment_starts
+from clickstream.llm.tokens import _segment_starts, ends_whole
 
 TEXT_BYTES = 2 << 20  # of text that a task aligns at a time; a longer text is taken alone
 TABLE_BYTES = 96 << 20  # that the different segments take which a task keeps
@@ -114,14 +114,6 @@ def overlaps(
     return a, np.arange(len(a)) - np.repeat(upto - number, number) + np.repeat(first, number)
 
 
-def _whole(segment: bytes) -> bool:
-    """Whether what follows the segment, beginning with white space, leaves its tokens alone."""
-    last = segment[-1]
-    if last < 0x80:
-        return 0x20 < last < 0x7F
-    return len(segment) > 3 and segment[-2] != 0xC2 and segment[-3] not in _WIDE_LEADS
-
-
 class _Table:
     """What is known of the segments met so far, by their number."""
 
@@ -146,7 +138,7 @@ class _Table:
         """Aligns new segments: those that may stand side by side many at a time."""
         batches: list[list[int]] = [[]]
         for i, segment in enumerate(segments):
-            if not (self.cuts[0x20] and _whole(segment)):
+            if not (self.cuts[0x20] and ends_whole(segment)):
                 batches[-1:-1] = [[i]]
                 continue
             if len(batches[-1]) == JOINED:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from clickstream.llm.common import materialise, numbered, ship, text_of
 from clickstream.llm.hashing import regrouped
-from clickstream.llm.tokens import encode
+from clickstream.llm.tokens import Table, encode
 
 CAPACITY = 2048
 END = 0  # the id after each document
@@ -46,8 +46,9 @@ def token_pieces(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = Table()
         for batch in regrouped(batches, GROUP_BYTES):
-            yield _pieces(batch, tokenizer, capacity, ids)
+            yield _pieces(batch, tokenizer, capacity, ids, table)
             pa.default_memory_pool().release_unused()
 
     ship(docs.sparkSession)
@@ -55,9 +56,11 @@ def token_pieces(
     return rows.select("*", F.octet_length("text").alias("size")).mapInArrow(cut, schema)
 
 
-def _pieces(batch: pa.RecordBatch, tokenizer: str, capacity: int, with_ids: bool):
+def _pieces(
+    batch: pa.RecordBatch, tokenizer: str, capacity: int, with_ids: bool, table: Table
+) -> pa.RecordBatch:
     rows, numbers, starts, lengths, sums, all_ids = [], [], [], [], [], []
-    for row, ids in enumerate(encode(batch.column("text").to_pylist(), tokenizer)):
+    for row, ids in enumerate(encode(batch.column("text").to_pylist(), tokenizer, table)):
         ids = np.append(ids, np.uint32(END)).astype("<u4")
         rest = len(ids) % capacity
         cuts = ([0] if rest else []) + list(range(rest, len(ids), capacity))

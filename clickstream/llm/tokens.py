@@ -62,12 +62,43 @@ def _segments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, run_hashes(byte_sums(data), starts, stops)
 
 
-def encode(texts: list[str], path: str) -> Iterator[np.ndarray]:
+TABLE_SEGMENTS = 400_000  # that a table keeps before it starts anew
+
+
+class Table:
+    """The ids of the segments met so far, for as long as a task lives."""
+
+    def __init__(self):
+        self.number: dict[int, int] = {}  # by hash
+        self.starts = np.zeros(0, np.int64)
+        self.counts = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def numbers(self, hashes: np.ndarray, segment, path: str) -> np.ndarray:
+        """The number of each different hash; `segment(i)` is the bytes of the i-th."""
+        if len(self.number) > TABLE_SEGMENTS:
+            self.__init__()
+        values = hashes.tolist()
+        new = [i for i, value in enumerate(values) if value not in self.number]
+        if new:
+            ids, counts = _encode_segments([segment(i) for i in new], path)
+            starts = len(self.ids) + np.cumsum(counts) - counts
+            first = len(self.counts)
+            self.number.update((values[i], first + n) for n, i in enumerate(new))
+            self.starts = np.concatenate([self.starts, starts])
+            self.counts = np.concatenate([self.counts, counts])
+            self.ids = np.concatenate([self.ids, ids])
+        return np.fromiter(map(self.number.__getitem__, values), np.int64, len(values))
+
+
+def encode(texts: list[str], path: str, table: Table | None = None) -> Iterator[np.ndarray]:
     """The ids of each text, as `tokenizers` gives them without special tokens added.
 
     The texts are cut where that leaves the ids unchanged; each different segment is encoded once,
-    many of them in one call, and the ids are told apart by the bytes that they stand for.
+    many of them in one call, and the ids are told apart by the bytes that they stand for. With a
+    `table`, what earlier texts have is not encoded again.
     """
+    table = Table() if table is None else table
     encoded = [text.encode() for text in texts]
     sizes = np.array([len(e) for e in encoded], np.int64)
     whole = b"".join(encoded)
@@ -84,23 +115,32 @@ def encode(texts: list[str], path: str) -> Iterator[np.ndarray]:
             found.append((starts + ends[first], hashes))
     starts = np.concatenate([f[0] for f in found])
     stops = np.append(starts[1:], len(data))
-    _, firsts, which = np.unique(
+    hashes, firsts, which = np.unique(
         np.concatenate([f[1] for f in found]), return_index=True, return_inverse=True
     )
     del found
-    segments = [whole[a:b] for a, b in zip(starts[firsts].tolist(), stops[firsts].tolist())]
-    ids, counts = _encode_segments(segments, path)
-    del segments, stops, firsts
-    offsets = np.cumsum(counts) - counts
+    numbers = table.numbers(
+        hashes, lambda i: whole[starts[firsts[i]] : stops[firsts[i]]], path
+    )[which]
+    counts, offsets, ids = table.counts, table.starts, table.ids
+    del stops, firsts, which
     cuts = np.searchsorted(starts, ends)
     for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-        own = which[first:last]
+        own = numbers[first:last]
         number = counts[own]
         upto = np.cumsum(number)
         at = np.repeat(offsets[own] - (upto - number), number)
         yield ids[at + np.arange(len(at))]
 
 
+def ends_whole(segment: bytes) -> bool:
+    """Whether white space after the segment leaves its tokens alone; in doubt not."""
+    last = segment[-1]
+    if last < 0x80:
+        return 0x20 < last < 0x7F
+    return len(segment) > 3 and segment[-2] != 0xC2 and segment[-3] not in _WIDE_LEADS
+
+
 def _encode_segments(segments: list[bytes], path: str) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all segments, one after the other, and how many each has.
 
@@ -110,7 +150,7 @@ def _encode_segments(segments: list[bytes], path: str) -> tuple[np.ndarray, np.n
     blank = b" \t\n\v\f\r"
     batches: list[list[int]] = [[]]
     for i, segment in enumerate(segments):
-        if segment[0] in blank and segment[-1] not in blank and segment[-1] < 0x80:
+        if segment[0] in blank and ends_whole(segment):
             if len(batches[-1]) == 1024:
                 batches.append([])
             batches[-1].append(i)

@@ -37,7 +37,7 @@ def run(spark, name, *columns):
 
 def test_all_are_registered():
     names = {name.split("_")[0] for name in QUERIES}
-    assert names == {f"op{n}" for n in range(1, 11)}
+    assert names == {f"op{n}" for n in range(1, 14)}
     assert entry.queries().keys() >= QUERIES.keys() | {"pipeline"}
 
 
