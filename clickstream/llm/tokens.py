@@ -62,7 +62,7 @@ def _segments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, run_hashes(byte_sums(data), starts, stops)
 
 
-TABLE_SEGMENTS = 400_000  # that a table keeps before it starts anew
+TABLE_SEGMENTS = 1_000_000  # that a table keeps before it starts anew, some 200 bytes each
 
 
 class Table:
