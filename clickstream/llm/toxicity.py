@@ -1,12 +1,13 @@
 """Toxicity by compression distance: which of two dictionaries compresses a text better.
 
-One zstandard dictionary is trained on toxic text and one on ordinary text. A window that takes
-fewer bytes with the toxic one is nearer to toxic text. Insults are single words within otherwise
-ordinary prose, so a window is a word; it is written `REPEAT` times, as a shorter input leaves
-the compressor nothing to save. The toxic text consists of the words that toxic documents have
-far more often than ordinary ones, without the prose around them. How many bytes a window has to
-save, and what the number of such windows says of a document, is calibrated on documents that
-the dictionaries have not seen.
+One zstandard dictionary is trained on toxic text and one on ordinary text. Insults are single words
+within otherwise ordinary prose, in some languages with any ending, so a window is a part of a word:
+each run of `PART` letters of it, a blank before and after the word counting as letters. A window
+that takes fewer bytes with the toxic dictionary is nearer to toxic text. It is written `REPEAT`
+times, as a shorter input leaves the compressor nothing to save. The toxic text consists of the
+parts that are significantly more frequent in toxic documents, without the prose around them; the
+language is not asked for. How many bytes a window has to save, and what the rate of words with such
+a window says of a document, is calibrated on documents that the dictionaries have not seen.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -30,29 +31,56 @@ SAMPLE = 2000  # labelled documents of each class that the model is fitted on, a
 LONGEST = 1 << 16  # bytes of such a document
 HELD_OUT = 2  # remainder of crc32(doc_id) by 4 whose labels are never read
 PREDICTED = 0.3
-DICTIONARY = 1024  # bytes
+DICTIONARY = 12_000  # bytes of each; in 16,384 or more zstandard finds nothing for so short a text
+PART = 5  # letters of a window
 REPEAT = 3
-LEVEL = 9
-CONTRAST = 0.3  # of the largest contrast, for a word to belong to the toxic text
-SIGNIFICANT = 10.8  # of the contrast, which is chi-squared: one in a thousand
-_WORD = re.compile(rb"[a-z\x80-\xff]+")
+ERROR = 0.01  # probability that any part at all is taken for toxic by chance
+TIMES = (1, 2, 4)  # a part is counted in documents that have it at least so often
+FOLDS = 4  # of which each is calibrated on dictionaries of the others
+_WORD = re.compile("[a-z\x80-\U0010ffff]+")
 
 
 @dataclass(frozen=True)
 class Model:
+    """Two dictionaries and what hits, words with a toxic window, say of a document."""
+
     toxic: bytes
     ordinary: bytes
-    saved: int  # bytes that a window of toxic text saves, at least
-    scores: tuple[float, ...]  # by the number of such windows; the last is for all above
+    saved: int  # bytes that a toxic window saves, at least
+    rates: tuple[float, float]  # hits per word in ordinary and in toxic documents
+    line: tuple[float, float]  # log odds: the first, and the second times the evidence
+
+    def scores(self, words: np.ndarray, hits: np.ndarray) -> np.ndarray:
+        """The probability of the label 1, of documents with so many words and hits."""
+        odds = self.line[0] + self.line[1] * _evidence(words, hits, self.rates)
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(-odds))
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters: a-z after lower case, and all beyond ASCII."""
+    return _WORD.findall(text.lower())
+
 
+def parts_of(word: str) -> list[str]:
+    """The windows of a word."""
+    word = f" {word} "
+    return [word[i : i + PART] for i in range(max(1, len(word) - PART + 1))]
 
-def words_of(text: str) -> list[bytes]:
-    """Runs of letters: a-z after lower case, and all bytes beyond ASCII."""
-    return _WORD.findall(text.lower().encode())
 
+def letters(text: str) -> bytes:
+    """One byte a letter, so that a window is as long in any script.
+
+    The byte is the letter's code up to 255; beyond, letters 128 codes apart share one.
+    """
+    try:
+        return text.encode("latin-1")
+    except UnicodeEncodeError:
+        return bytes(code if code < 128 else 128 | code & 127 for code in map(ord, text))
 
-def window(word: bytes) -> bytes:
-    return (b" " + word + b" ") * REPEAT
+
+def window(part: str) -> bytes:
+    return letters(part) * REPEAT
 
 
 def _dictionary(samples: list[bytes]) -> bytes:
@@ -68,91 +96,183 @@ def _dictionary(samples: list[bytes]) -> bytes:
 
 
 def _compressor(dictionary: bytes):
-    options = dict(write_content_size=False, write_checksum=False, write_dict_id=False)
+    """Both dictionaries are searched in the same way: a level alone would go by their sizes.
+
+    They serve as text alone; their code tables would differ by more than a window does.
+    """
+    search = zstandard.ZstdCompressionParameters(
+        window_log=17, chain_log=16, hash_log=16, search_log=7, min_match=5, target_length=64,
+        strategy=zstandard.STRATEGY_LAZY2,
+        write_content_size=False, write_checksum=False, write_dict_id=False,
+    )
     if not dictionary:
-        return zstandard.ZstdCompressor(level=LEVEL, **options).compress
-    data = zstandard.ZstdCompressionDict(dictionary)
-    data.precompute_compress(level=LEVEL)
-    return zstandard.ZstdCompressor(dict_data=data, **options).compress
+        return zstandard.ZstdCompressor(compression_params=search).compress
+    data = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    data.precompute_compress(compression_params=search)
+    return zstandard.ZstdCompressor(dict_data=data, compression_params=search).compress
 
 
 class Savings:
-    """How many bytes the toxic dictionary saves on the window of a word."""
+    """How many bytes the toxic dictionary saves on the best window of each word."""
 
     def __init__(self, toxic: bytes, ordinary: bytes):
         self._toxic, self._ordinary = _compressor(toxic), _compressor(ordinary)
-        self._known: dict[bytes, int] = {}
+        self._plain = _compressor(b"")
+        self._words: dict[str, int] = {}
+        self._parts: dict[str, int] = {}
 
-    def __call__(self, words: list[bytes]) -> list[int]:
-        known = self._known
+    def __call__(self, words: list[str]) -> list[int]:
+        known = self._words
         if len(known) > 500_000:  # what is forgotten is computed again
             known.clear()
         for word in {word for word in words if word not in known}:
-            text = window(word)
-            known[word] = len(self._ordinary(text)) - len(self._toxic(text))
+            known[word] = max(map(self._part, parts_of(word)))
         return [known[word] for word in words]
 
-
-def _contrast(toxic: int, ordinary: int, n_toxic: int, n_ordinary: int) -> float:
-    """The log-likelihood ratio of a word's share in toxic documents being larger, else 0."""
-    if toxic * n_ordinary <= ordinary * n_toxic:
-        return 0.0
-    share = (toxic + ordinary) / (n_toxic + n_ordinary)
-    cells = (
-        (toxic, n_toxic * share), (ordinary, n_ordinary * share),
-        (n_toxic - toxic, n_toxic * (1 - share)), (n_ordinary - ordinary, n_ordinary * (1 - share)),
-    )
-    return 2 * sum(seen * math.log(seen / expected) for seen, expected in cells if seen)
-
-
-def _toxic_words(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> set[bytes]:
-    counts = [Counter(), Counter()]
-    for counter, texts in zip(counts, (toxic, ordinary)):
-        for words in set(map(tuple, texts)):
-            counter.update(set(words))
-    sizes = [max(1, len(toxic)), max(1, len(ordinary))]
-    contrast = {w: _contrast(n, counts[1][w], *sizes) for w, n in counts[0].items()}
-    least = max(SIGNIFICANT, CONTRAST * max(contrast.values(), default=0))
-    return {word for word, value in contrast.items() if value >= least}
+    def _part(self, part: str) -> int:
+        saved = self._parts.get(part)
+        if saved is None:
+            if len(self._parts) > 500_000:
+                self._parts.clear()
+            text = window(part)
+            # Scattered short matches can make the output longer than no dictionary does.
+            ordinary = min(len(self._ordinary(text)), len(self._plain(text)))
+            saved = self._parts[part] = ordinary - len(self._toxic(text))
+        return saved
+
+
+class _Counts:
+    """In how many documents of each fold and class each part is found 1, 2 and 4 times."""
+
+    def __init__(self, texts: list[list[str]], labels: np.ndarray, folds: np.ndarray):
+        self.parts: dict[str, int] = {}
+        known: dict[str, list[int]] = {}
+        cells: list[dict[int, int]] = [{} for _ in range(2 * FOLDS * len(TIMES))]
+        for words, label, fold in zip(texts, labels, folds):
+            here: Counter[int] = Counter()
+            for word, times in Counter(words).items():
+                if word not in known:
+                    known[word] = [self.parts.setdefault(p, len(self.parts)) for p in parts_of(word)]
+                for part in known[word]:
+                    here[part] += times
+            for t, least in enumerate(TIMES):
+                cell = cells[(2 * fold + label) * len(TIMES) + t]
+                for part, times in here.items():
+                    if times >= least:
+                        cell[part] = cell.get(part, 0) + 1
+        self.table = np.zeros((FOLDS, 2, len(TIMES), len(self.parts)), np.int32)
+        for cell, row in zip(cells, self.table.reshape(-1, len(self.parts))):
+            row[list(cell)] = list(cell.values())
+        self.sizes = np.zeros((FOLDS, 2), np.int64)
+        np.add.at(self.sizes, (folds, labels), 1)
+
+    def toxic_parts(self, folds: list[int]) -> set[str]:
+        """The parts that toxic documents of these folds have significantly more often.
+
+        The likelihood ratio is chi-squared; its bound keeps the probability of a single wrong part
+        among all those tested below `ERROR`, whatever the other parts reach.
+        """
+        ordinary, toxic = self.table[folds].sum(0)
+        sizes = np.maximum(1, self.sizes[folds].sum(0))
+        tested = int((toxic > 0).sum())
+        if not tested:
+            return set()
+        share = (toxic + ordinary) / sizes.sum()
+        ratio = np.zeros(share.shape)
+        for seen, size in ((ordinary, sizes[0]), (toxic, sizes[1])):
+            for count, expected in ((seen, size * share), (size - seen, size * (1 - share))):
+                some = count > 0
+                ratio[some] += 2 * count[some] * np.log(count[some] / expected[some])
+        ratio[toxic * sizes[0] <= ordinary * sizes[1]] = 0
+        # The tail of a chi-squared value v with one degree of freedom is below exp(-v / 2).
+        found = (ratio >= 2 * math.log(tested / ERROR)).any(axis=0)
+        return {part for part, i in self.parts.items() if found[i]}
+
+
+def _passages(words: list[str], marked: set[str]) -> bytes:
+    """What the marked parts cover of the words, with blanks between."""
+    found = []
+    for word in words:
+        starts = [i for i, part in enumerate(parts_of(word)) if part in marked]
+        end = 0
+        for i in starts:
+            if i > end or not found:
+                found.append(" ")
+            found.append(f" {word} "[max(i, end) : i + PART])
+            end = i + PART
+    return letters("".join(found))
+
+
+def _dictionaries(
+    texts: list[list[str]], labels: np.ndarray, chosen: np.ndarray, marked: set[str]
+) -> tuple[bytes, bytes]:
+    toxic, ordinary = ([texts[i] for i in np.flatnonzero(chosen & (labels == k))] for k in (1, 0))
+    passages = [_passages(words, marked) for words in toxic] if marked else []
+    vocabularies = [letters(" ".join(sorted(set(words)))) for words in ordinary]
+    return _dictionary([p for p in passages if p]), _dictionary([v for v in vocabularies if v])
+
+
+def _evidence(words: np.ndarray, hits: np.ndarray, rates: tuple[float, float]) -> np.ndarray:
+    """The log likelihood ratio of the toxic rate of hits to the ordinary one."""
+    return hits * math.log(rates[1] / rates[0]) - words * (rates[1] - rates[0])
+
+
+def _logistic(x: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[float, float]:
+    """Log odds as a line in `x`, by Newton's method with a weak pull to 0; it never falls."""
+    design = np.stack([np.ones(len(x)), x], axis=1)
+    line = np.zeros(2)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(design @ line, -30, 30)))
+        slope = design.T @ (weights * (labels - p)) - 0.01 * line
+        curve = design.T @ (design * (weights * p * (1 - p))[:, None]) + 0.01 * np.eye(2)
+        step = np.linalg.solve(curve, slope)
+        line += np.clip(step, -2, 2)
+        if abs(step).max() < 1e-8:
+            break
+    return float(line[0]), max(0.0, float(line[1]))
 
 
 def fit(rows: list[tuple[str, int]], sizes: tuple[int, int] | None = None) -> Model:
-    """A model of labelled texts: the dictionaries from one half, the calibration from the other.
+    """A model of labelled texts.
 
-    `sizes` are the numbers of ordinary and toxic documents that the texts stand for: a sample
-    with its own share of toxic ones is weighted accordingly.
+    Equal texts count once. Each fold of them is calibrated on dictionaries of the others; those of
+    the model are of all. `sizes` are the numbers of ordinary and toxic documents that the texts
+    stand for: a sample with its own share of toxic ones is weighted accordingly.
     """
-    texts = [(words_of(text), label) for text, label in rows]
-    halves = texts[::2], texts[1::2] or texts[::2]
-    toxic, ordinary = ([w for w, label in halves[0] if label == k] for k in (1, 0))
-    marked = _toxic_words(toxic, ordinary)
-    passages = [[w for w in words if w in marked] for words in toxic] if marked else toxic
-    join = lambda lists: [b" " + b" ".join(words) + b" " for words in lists if words]
-    dictionaries = _dictionary(join(passages)), _dictionary(join([w[:200] for w in ordinary]))
-    savings = Savings(*dictionaries)
-    saved = [np.array(savings(words), np.int64) for words, _ in halves[1]]
-    labels = np.array([label for _, label in halves[1]], np.int64)
-    if not len(labels):
-        return Model(*dictionaries, 1, (0.0,))
-    most = np.array([s.max(initial=0) for s in saved])
-
-    def gain(least: int) -> float:
-        hit = most >= least
-        return sum(
-            (hit if k else ~hit)[labels == k].mean() if (labels == k).any() else 0 for k in (0, 1)
-        )
-
-    least = max(range(1, 1 + max(1, int(most.max()))), key=gain)
-    hits = np.minimum([int((s >= least).sum()) for s in saved], 3)
-    here = [max(1, int((labels == k).sum())) for k in (0, 1)]
+    rows = list(dict.fromkeys(rows))
+    texts = [words_of(text) for text, _ in rows]
+    labels = np.array([label for _, label in rows], np.int64)
+    folds = np.arange(len(rows)) % FOLDS
+    if not labels.any():
+        return Model(b"", b"", 1, (1.0, 1.0), (-math.inf, 0.0))
+    counts = _Counts(texts, labels, folds)
+    words = np.array([len(w) for w in texts], np.int64)
+    saved = [np.zeros(0, np.int64)] * len(rows)
+    for fold in range(FOLDS):
+        others = [k for k in range(FOLDS) if k != fold]
+        marked = counts.toxic_parts(others)
+        savings = Savings(*_dictionaries(texts, labels, folds != fold, marked))
+        for i in np.flatnonzero(folds == fold):
+            saved[i] = np.array(savings(texts[i]) if marked else [], np.int64)
+    here = np.maximum(1, np.bincount(labels, minlength=2))
     weights = np.array([size / n for size, n in zip(sizes or here, here)])[labels]
     weights *= len(labels) / max(weights.sum(), 1e-9)
-    prior = (weights * labels).mean()
-    scores = [
-        ((weights * labels)[hits == k].sum() + 2 * prior) / (weights[hits == k].sum() + 2)
-        for k in range(4)
-    ]
-    return Model(*dictionaries, least, tuple(np.maximum.accumulate(scores).tolist()))
+    best = None
+    for least in range(1, 2 + max(int(s.max(initial=0)) for s in saved)):
+        hits = np.array([int((s >= least).sum()) for s in saved], np.int64)
+        ordinary, toxic = (
+            (hits[labels == k].sum() + 0.5) / (words[labels == k].sum() + 1000) for k in (0, 1)
+        )
+        rates = float(ordinary), float(max(toxic, ordinary))
+        line = _logistic(_evidence(words, hits, rates), labels, weights)
+        model = Model(b"", b"", least, rates, line)
+        p = np.clip(model.scores(words, hits), 1e-9, 1 - 1e-9)
+        loss = -(weights * np.log(np.where(labels == 1, p, 1 - p))).sum()
+        if best is None or loss < best[0]:
+            best = loss, model
+    everything = counts.toxic_parts(list(range(FOLDS)))
+    dictionaries = _dictionaries(texts, labels, np.ones(len(rows), bool), everything)
+    return replace(best[1], toxic=dictionaries[0], ordinary=dictionaries[1])
 
 
 def training_rows(
@@ -163,16 +283,16 @@ def training_rows(
 
     They are those of the smallest hash of their id, so the choice does not depend on the order
     of the tables; texts above `LONGEST` bytes are left out. Only the chosen ids are sent to the
-    documents.
+    documents. Of documents that repeat an id the least text is taken.
     """
     open_ = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != HELD_OUT
-    usable = labels.filter(open_ & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
+    usable = labels.filter(open_ & F.col("toxic").isin(0, 1)).select("doc_id", "toxic").distinct()
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = usable.filter("toxic = 1").orderBy(*order).limit(sample)
     chosen = chosen.union(usable.filter("toxic = 0").orderBy(*order).limit(sample))
     rows = docs.select("doc_id", text_of().alias("text")).filter(F.octet_length("text") <= LONGEST)
-    rows = rows.join(F.broadcast(chosen), "doc_id")
-    found = rows.select("doc_id", "text", "toxic").collect()  # at most 2 * sample documents
+    rows = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic")
+    found = rows.agg(F.min("text").alias("text")).collect()  # at most 2 * sample documents
     found.sort(key=lambda row: (zlib.crc32(f"half {row['doc_id']}".encode()), row["text"]))
     counts = {row["toxic"]: row["count"] for row in usable.groupBy("toxic").count().collect()}
     rows = [(row["text"], int(row["toxic"])) for row in found]
@@ -180,16 +300,17 @@ def training_rows(
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """`doc_id`, `windows`, `toxic_windows` and `score` (0 to 1) of every row, by its whole text.
+    """`doc_id`, `words`, `toxic_words` and `score` (0 to 1) of every row, by its whole text.
 
-    A null or empty text has no windows, and the score of documents without a toxic one.
+    `toxic_words` have a window that is nearer to toxic text. A null or empty text has no words;
+    its score is what the shares of the labels say.
     """
     ship(docs.sparkSession)
     schema = T.StructType(
         [
             T.StructField("doc_id", docs.schema["doc_id"].dataType),
-            T.StructField("windows", T.LongType()),
-            T.StructField("toxic_windows", T.LongType()),
+            T.StructField("words", T.LongType()),
+            T.StructField("toxic_words", T.LongType()),
             T.StructField("score", T.DoubleType()),
         ]
     )
@@ -199,17 +320,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for first, last in blocks(batch.column("size").to_numpy(), 8 << 20):
                 part = batch.slice(first, last - first)
-                windows, hits = [], []
+                words, hits = [], []
                 for text in part.column("text").to_pylist():
                     saved = savings(words_of(text))
-                    windows.append(len(saved))
+                    words.append(len(saved))
                     hits.append(sum(s >= model.saved for s in saved))
-                scores = [model.scores[min(n, len(model.scores) - 1)] for n in hits]
+                scores = model.scores(np.array(words, np.int64), np.array(hits, np.int64))
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part.column("doc_id"),
-                        "windows": pa.array(windows, pa.int64()),
-                        "toxic_windows": pa.array(hits, pa.int64()),
+                        "words": pa.array(words, pa.int64()),
+                        "toxic_words": pa.array(hits, pa.int64()),
                         "score": pa.array(scores, pa.float64()),
                     }
                 )
@@ -219,7 +340,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """`doc_id`, `held_out`, `score`, `predicted`, `windows` and `toxic_windows` of every document.
+    """`doc_id`, `held_out`, `score`, `predicted`, `words` and `toxic_words` of every document.
 
     `held_out` says whether the label, if any, was kept from the model; false for a null id.
     Without labels every score is 0.
@@ -231,6 +352,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
         F.coalesce(rest == HELD_OUT, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= PREDICTED).cast("int").alias("predicted"),
-        "windows",
-        "toxic_windows",
+        "words",
+        "toxic_words",
     )

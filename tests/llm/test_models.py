@@ -255,15 +255,70 @@ def test_scores_are_of_the_whole_not_of_the_sample(corpus):
     toxic, ordinary = [r for r in rows if r[1]], [r for r in rows if not r[1]]
     sample = sorted((r for pair in zip(toxic, ordinary) for r in pair), key=lambda r: r[0])
     model = toxicity.fit(sample, (9000, 1000))
-    assert model.scores[0] < 0.1 and model.scores[2] > 0.3
+    scores = model.scores(np.array([70, 70, 70]), np.array([0, 2, 4]))
+    assert scores[0] < 0.1 and scores[1] > 0.3 and scores[2] >= scores[1]
 
 
 def test_the_whole_text_counts(corpus):
     model = toxicity.fit([(text, y) for _, text, y in labelled(corpus)])
     savings = toxicity.Savings(model.toxic, model.ordinary)
-    ordinary = [w for w in toxicity.words_of(corpus[1]) if savings([w])[0] < model.saved]
-    assert all(s >= model.saved for s in savings([w.encode() for w in INSULTS]))
-    assert len(ordinary) > 0
+    words = toxicity.words_of(corpus[1])
+    assert all(s >= model.saved for s in savings(INSULTS))
+    assert sum(s >= model.saved for s in savings(words)) < 0.02 * len(words)
+
+
+def test_parts_of_words_in_every_script(corpus):
+    """Insults with any ending, of which no word comes twice, count by their rate."""
+    import random
+
+    rng = random.Random(5)
+    rows = []
+    for i, text, y in labelled(corpus):
+        words = [w for w in text.split() if w not in INSULTS]
+        if y:
+            ends = ["".join(rng.choices("aeioulmnrst", k=4)) for _ in range(5)]
+            words += [("rée\u00fbk" if i % 2 else "\u0434\u0443\u0440\u0430\u043a") + end for end in ends]
+        rows.append((" ".join(words), y))
+    model = toxicity.fit(rows[:300])
+    savings = toxicity.Savings(model.toxic, model.ordinary)
+    for text, y in rows[300:]:
+        saved = savings(toxicity.words_of(text))
+        hits = sum(s >= model.saved for s in saved)
+        assert (model.scores(np.array([len(saved)]), np.array([hits]))[0] >= 0.3) == y
+
+
+def test_toxic_parts_by_a_plain_count(corpus):
+    """The table of counts and its bound, against counting anew; no fold sees its own documents."""
+    rows = labelled(corpus, 120)
+    texts = [toxicity.words_of(t) for _, t, _ in rows]
+    labels, folds = np.array([y for *_, y in rows]), np.arange(len(rows)) % toxicity.FOLDS
+    counts = toxicity._Counts(texts, labels, folds)
+    for chosen in ([0, 1, 2, 3], [0, 2, 3]):
+        seen = {}
+        size = [int(((labels == k) & np.isin(folds, chosen)).sum()) for k in (0, 1)]
+        for words, y, fold in zip(texts, labels, folds):
+            if fold in chosen:
+                for part, n in Counter(p for w in words for p in toxicity.parts_of(w)).items():
+                    for least in toxicity.TIMES:
+                        if n >= least:
+                            seen.setdefault((part, least), [0, 0])[y] += 1
+        tested, found = sum(c[1] > 0 for c in seen.values()), set()
+        for (part, _), (o, t) in seen.items():
+            ratio, share = 0, (o + t) / sum(size)
+            for count, n in ((o, size[0]), (t, size[1])):
+                for c, e in ((count, n * share), (n - count, n * (1 - share))):
+                    ratio += 2 * c * math.log(c / e) if c else 0
+            if t / size[1] > o / size[0] and ratio >= 2 * math.log(tested / toxicity.ERROR):
+                found.add(part)
+        assert found == counts.toxic_parts(chosen) and found
+
+
+def test_an_id_on_many_rows_is_one_labelled_row(spark, docs):
+    """What is collected stays within the sample."""
+    df = docs([(1, f"text {i}") for i in range(500)] + [(3, "other")])
+    labels = spark.createDataFrame([(1, 1)] * 9 + [(3, 0)], "doc_id long, toxic int")
+    rows, sizes = toxicity.training_rows(df, labels, 2)
+    assert sorted(rows) == [("other", 0), ("text 0", 1)] and sizes == (1, 1)
 
 
 def test_toxicity_of_odd_rows(spark, odd, docs):
