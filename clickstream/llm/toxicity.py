@@ -161,8 +161,8 @@ class _Counts:
                     if times >= least:
                         cell[part] = cell.get(part, 0) + 1
         self.table = np.zeros((FOLDS, 2, len(TIMES), len(self.parts)), np.int32)
-        for cell, row in zip(cells, self.table.reshape(-1, len(self.parts))):
-            row[list(cell)] = list(cell.values())
+        for cell, row in zip(cells, self.table.reshape(len(cells), len(self.parts))):
+            row[np.array(list(cell), np.int64)] = list(cell.values())
         self.sizes = np.zeros((FOLDS, 2), np.int64)
         np.add.at(self.sizes, (folds, labels), 1)
 
