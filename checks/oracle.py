@@ -193,6 +193,12 @@ _BODIES = {
     "job_handed_over_kpis": KPIS,
     "job_handed_over_archive": f"SELECT {RECORD} FROM rec",
     "job_compacted_archive": f"SELECT {RECORD} FROM rec",
+    "history_areas": AREAS,
+    "history_pv_uv": """
+        SELECT count(*) AS pv, count(DISTINCT openid) AS uv FROM rec WHERE openid IS NOT NULL""",
+    "history_traffic_by_day": """
+        SELECT CAST(dt AS VARCHAR) AS dt, count(openid) AS pv, count(DISTINCT openid) AS uv
+        FROM rec GROUP BY dt""",
 }
 
 ORACLE_SQL = {name: BASE + body for name, body in _BODIES.items()}

@@ -441,7 +441,7 @@ def _started_job(spark, work: str, checkpoint: str, stream, **options):
     )
 
 
-def _grown_job(spark, sf_dir, every: int = 0, shares=(0.3, 0.6, 1.0)) -> str:
+def _grown_job(spark, sf_dir, every: int = 0, shares=(0.3, 0.6, 1.0), after=None) -> str:
     """The job on a log that grows between its runs, with a partition that has no records."""
     work = scratch_dir(spark, "job")
     for share in shares:
@@ -449,9 +449,35 @@ def _grown_job(spark, sf_dir, every: int = 0, shares=(0.3, 0.6, 1.0)) -> str:
         ends["access"]["3"] = 0
         stream = fixtures.partitioned_log(spark, sf_dir, f"{work}/checkpoint", ends, every=every)
         _started_job(spark, work, f"{work}/checkpoint", stream).awaitTermination()
+        if after is not None:
+            after(work)
     return work
 
 
+def _history(spark, sf_dir):
+    """Counts per day, refreshed after each run of the job; the archive is merged in between."""
+
+    def refresh(work):
+        cs.refresh_visits(spark, f"{work}/raw", f"{work}/visits", files_per_day=2)
+        cs.compact_table(spark, f"{work}/raw")
+
+    work = _grown_job(spark, sf_dir, after=refresh)
+    return cs.daily_visits(spark, f"{work}/visits")
+
+
+def history_areas(spark, sf_dir):
+    return cs.areas_of_days(_history(spark, sf_dir))
+
+
+def history_pv_uv(spark, sf_dir):
+    return cs.traffic_of_days(_history(spark, sf_dir))
+
+
+def history_traffic_by_day(spark, sf_dir):
+    report = cs.traffic_by_day(_history(spark, sf_dir))
+    return report.withColumn("dt", F.col("dt").cast("string"))
+
+
 def job_planned_offsets(spark, sf_dir):
     """Every seventh offset is gone from the log, the last ones too, and a partition is empty."""
     ledger = cs.batch_table(spark, f"{_grown_job(spark, sf_dir, every=7)}/offsets")
@@ -567,4 +593,7 @@ QUERIES: dict[str, Query] = {
     "job_handed_over_kpis": job_handed_over_kpis,
     "job_handed_over_archive": job_handed_over_archive,
     "job_compacted_archive": job_compacted_archive,
+    "history_areas": history_areas,
+    "history_pv_uv": history_pv_uv,
+    "history_traffic_by_day": history_traffic_by_day,
 }

@@ -50,14 +50,17 @@ from clickstream.sources import (
 )
 from clickstream.streaming import (
     archive,
+    areas_of_days,
     await_stop,
     batch_table,
     compact_table,
+    daily_visits,
     each_batch,
     kpi_sink,
     latest_kpis,
     quarantine,
     record_offsets,
+    refresh_visits,
     request_stop,
     run_batches,
     run_job,
@@ -66,6 +69,8 @@ from clickstream.streaming import (
     run_views,
     run_visitors,
     stop_at,
+    traffic_by_day,
+    traffic_of_days,
     write_batch,
 )
 
@@ -74,6 +79,7 @@ __all__ = [
     "archive",
     "area_distribution",
     "areas_of",
+    "areas_of_days",
     "await_stop",
     "batch_table",
     "between_times",
@@ -81,6 +87,7 @@ __all__ = [
     "category_product_views",
     "compact_table",
     "consumed_ranges",
+    "daily_visits",
     "dedup_offsets",
     "drop_replayed",
     "each_batch",
@@ -107,6 +114,7 @@ __all__ = [
     "read_lines",
     "recode",
     "record_offsets",
+    "refresh_visits",
     "register_log",
     "register_tail",
     "request_stop",
@@ -127,6 +135,8 @@ __all__ = [
     "stream_lines",
     "top_products",
     "total_sales",
+    "traffic_by_day",
+    "traffic_of_days",
     "traffic_report",
     "typed",
     "valid",
