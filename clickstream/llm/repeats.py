@@ -41,15 +41,23 @@ from clickstream.llm.hashing import (
 GROUP_BYTES = 8 << 20  # of text in which a task looks for repeats of its own
 LAST = np.iinfo(np.int64).max  # stands for a null id, which comes after all others
 
+# A mark holds the number of windows in its lowest bits; places within a context are as wide.
+COUNT_BITS = 16
+MOST = (1 << 15) - 1
+
 
 @dataclass(frozen=True)
 class Unit:
-    """What a document consists of, and how long a repeat has to be."""
+    """What a document consists of, and how long a repeat has to be: at most `MOST` symbols."""
 
     kind: str  # "words" or "bytes"
     window: int
     seed: int
 
+    def __post_init__(self):
+        if not 1 <= self.seed <= self.window <= MOST:
+            raise ValueError(f"a window has between seed and {MOST} symbols, a seed at least one")
+
     @property
     def reach(self) -> int:
         """How many windows can share an anchor."""
@@ -143,7 +151,7 @@ def _smallest_of_equal(doc: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray,
 
 _RECORD = {
     "anchor": np.int32, "context": np.int64, "doc": np.int64, "row": np.int64, "lo": np.int32,
-    "count": np.int8, "left": np.int8, "right": np.int8,
+    "count": np.int16, "left": np.int8, "right": np.int8,
 }
 _RECORD_SCHEMA = "bucket int, " + ", ".join(
     f"{name} binary" for name in (*_RECORD, "done_doc", "done_row", "done_mark")
@@ -153,7 +161,7 @@ _MARKS = "doc long, row long, mark long, wanted byte"
 
 def _mark(lo: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The first symbol and the number of windows in one number."""
-    return lo.astype(np.int64) << 8 | count.astype(np.int64)
+    return lo.astype(np.int64) << COUNT_BITS | count.astype(np.int64)
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -281,10 +289,11 @@ def _cut_contexts(unit: Unit, buckets: int) -> Callable:
             for doc, row, text, told in zip(*[batch.column(name).to_pylist() for name in names]):
                 symbols, size = _symbols(unit, text), unit_bytes(unit)
                 for mark in told:
-                    lo, count, sides = mark >> 10, mark >> 2 & 255, mark & 3
+                    mark, sides = mark >> 2, mark & 3
+                    lo, count = mark >> COUNT_BITS, mark & MOST
                     docs.append(doc)
                     rows.append(row)
-                    marks.append(mark >> 2)
+                    marks.append(mark)
                     wanted.append(sides)
                     contexts.append(symbols[lo * size : (lo + count + unit.window - 1) * size])
             if not contexts:
@@ -342,7 +351,7 @@ def _resolved(unit: Unit, resolve: Callable) -> Callable:
             table.column(name).to_numpy() for name in ("doc", "row", "mark", "key", "side", "at")
         )
         contexts = table.column("context").to_pylist()
-        count = mark & 255
+        count = mark & MOST
         # One entry per window: its context and the place of its first symbol in all contexts.
         sizes = np.array([len(c) // unit_bytes(unit) for c in contexts], np.int64)
         begins = np.cumsum(sizes) - sizes
@@ -362,7 +371,7 @@ def _resolved(unit: Unit, resolve: Callable) -> Callable:
             {
                 "doc": doc[of],
                 "row": row[of],
-                "mark": _mark((mark[of] >> 8) + nth[first], length),
+                "mark": _mark((mark[of] >> COUNT_BITS) + nth[first], length),
             }
         )
 
@@ -372,8 +381,8 @@ def _resolved(unit: Unit, resolve: Callable) -> Callable:
 def repeated_windows(docs: DataFrame, unit: Unit, resolve: Callable) -> DataFrame:
     """`doc`, `row`, `text` and `marks` of every document.
 
-    `marks` tells its repeated windows: the first symbol of a run of them, shifted by 8 bits, and
-    their number. It is null for a document without one. `doc_id` is an integer; a null one comes
+    `marks` tells its repeated windows: the first symbol of a run of them, shifted by `COUNT_BITS`,
+    and their number. It is null for a document without one. `doc_id` is an integer; a null one comes
     after all others, and its rows do not repeat each other. Documents shorter than a window have
     no windows, and null texts are empty.
     """
@@ -404,9 +413,9 @@ def covered(unit: Unit, marks: list[int] | None, total: int) -> np.ndarray:
     if not marks:
         return np.zeros((0, 2), np.int64)
     marks = np.array(marks, np.int64)
-    lo = marks >> 8
+    lo = marks >> COUNT_BITS
     step = np.zeros(total + 1, np.int32)
     np.add.at(step, lo, 1)
-    np.add.at(step, lo + (marks & 255) + unit.window - 1, -1)
+    np.add.at(step, lo + (marks & MOST) + unit.window - 1, -1)
     inside = np.concatenate([[False], np.cumsum(step)[:-1] > 0, [False]])
     return np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)

@@ -54,6 +54,25 @@ def test_few_symbols_and_short_windows(docs):
     )
 
 
+@pytest.mark.parametrize("window", [140, 141, 177, 200, 300, 1000])
+def test_wide_windows(docs, corpus, window):
+    """Anchors that share more windows than fit a byte, in long repeats and in repeated symbols."""
+    texts = [t[:3000] for t in corpus[:12]]
+    texts += [texts[0][100:1500] + texts[1][:1200], "x" * 700 + texts[2][:1300], "ab" * 900, "ab" * 800]
+    expected = Counter(brute.repeated_bytes(list(enumerate(texts)), window))
+    assert sum(row[2] for row in expected) > 1000
+    assert bytes_(docs(texts), window=window) == expected
+    spaced = [" ".join(t[:1500]) for t in texts]
+    found = Counter(brute.repeated_words(list(enumerate(spaced)), window))
+    assert words(docs(spaced), window=window) == found
+
+
+def test_impossible_windows(docs):
+    for window, seed in ((5, 6), (40_000, 9), (5, 0)):
+        with pytest.raises(ValueError):
+            Unit("bytes", window, seed)
+
+
 def test_contexts_meet_by_all_bits_of_their_hash():
     """Contexts of one anchor whose hashes agree in 32 bits only are no repeats."""
     import numpy as np
