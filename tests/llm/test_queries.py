@@ -82,6 +82,22 @@ def test_toxicity(spark, texts):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
 
 
+def test_toxicity_of_held_out_labels(spark):
+    """In every language, though none is told; and ordinary documents are left alone."""
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    found = QUERIES["op8_toxicity"](spark, folder).filter("held_out")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    counted = found.join(labels, "doc_id").join(docs, "doc_id").groupBy("lang", "toxic")
+    rows = counted.agg({"predicted": "sum", "doc_id": "count"}).collect()
+    share = {(r["lang"], r["toxic"]): (r["sum(predicted)"], r["count(doc_id)"]) for r in rows}
+    assert {lang for lang, _ in share} == {"en", "de", "fr", "es"}
+    assert all(n >= 0.8 * of for (_, toxic), (n, of) in share.items() if toxic), share
+    assert all(n <= 0.06 * of for (_, toxic), (n, of) in share.items() if not toxic), share
+
+
 def test_pipeline(spark, texts, tables):
     """Each stage on what the one before kept, against the operators' own definitions."""
     from clickstream.llm.common import materialise, table
