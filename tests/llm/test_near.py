@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from clickstream.llm import jaccard_join, line_dedup
+from clickstream.llm.common import materialise_alone
 from clickstream.llm.components import components
 from tests.llm import brute
 
@@ -197,3 +198,33 @@ def test_lines_of_odd_rows(odd, docs):
     kept = line_dedup.line_dedup(odd)
     assert kept.columns == odd.columns and kept.count() == odd.count() - 1
     assert line_dedup.line_dedup(docs([])).count() == 0
+
+
+def test_pieces_that_are_absent_bound_the_edits(spark):
+    """What skips the count of edits loses no pair, whatever the edits are."""
+    rng = random.Random(9)
+    pairs = []
+    for _ in range(300):
+        line = "".join(rng.choices("abcdé𝒳 ", k=rng.randint(0, 80)))
+        copy = list(line)
+        for _ in range(rng.randint(0, 12)):
+            at = rng.randint(0, len(copy))
+            copy[at : at + rng.randint(0, 1)] = rng.choices("abcé ", k=rng.randint(0, 2))
+        pairs.append((line, "".join(copy)))
+    absent = line_dedup._absent("a", "b")
+    found = spark.createDataFrame(pairs, "a string, b string").selectExpr("a", "b", f"{absent} AS absent")
+    rows = found.collect()
+    assert all(r.absent <= brute.edit_distance(r.a, r.b) for r in rows)
+    assert sum(r.absent > 0 for r in rows) > 100
+
+
+def test_shuffles_of_lines_leave_the_disk(spark, docs):
+    """What made the blocks of lines is not kept beside them until the query ends."""
+    jvm = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    rng = random.Random(3)
+    before = jvm.getAllFiles().size()
+    texts = ["\n".join(f"{rng.getrandbits(80):x} {rng.getrandbits(80):x}" for _ in range(20)) for _ in range(50)]
+    lines = line_dedup._marked(line_dedup._lines(docs(texts)))
+    assert materialise_alone(lines, "lines").count() == 1000
+    assert jvm.getAllFiles().size() <= before + 8
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
