@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from clickstream.llm.common import materialise, numbered, ship, text_of
 from clickstream.llm.hashing import regrouped
-from clickstream.llm.tokens import Table, encode
+from clickstream.llm.tokens import Table, encode, worker_table
 
 CAPACITY = 2048
 END = 0  # the id after each document
@@ -46,7 +46,7 @@ def token_pieces(
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Table()
+        table = worker_table(tokenizer)
         for batch in regrouped(batches, GROUP_BYTES):
             yield _pieces(batch, tokenizer, capacity, ids, table)
             pa.default_memory_pool().release_unused()

@@ -62,11 +62,11 @@ def _segments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, run_hashes(byte_sums(data), starts, stops)
 
 
-TABLE_SEGMENTS = 400_000  # that a table keeps before it starts anew
+TABLE_SEGMENTS = 400_000  # that a table keeps before it drops those not at hand
 
 
 class Table:
-    """The ids of the segments met so far, for as long as a task lives."""
+    """The ids of the segments met so far; a full table keeps those of the texts at hand."""
 
     def __init__(self):
         self.number: dict[int, int] = {}  # by hash
@@ -76,9 +76,9 @@ class Table:
 
     def numbers(self, hashes: np.ndarray, segment, path: str) -> np.ndarray:
         """The number of each different hash; `segment(i)` is the bytes of the i-th."""
-        if len(self.number) > TABLE_SEGMENTS:
-            self.__init__()
         values = hashes.tolist()
+        if len(self.number) > TABLE_SEGMENTS:
+            self._keep([value for value in values if value in self.number])
         new = [i for i, value in enumerate(values) if value not in self.number]
         if new:
             ids, counts = _encode_segments([segment(i) for i in new], path)
@@ -91,6 +91,22 @@ class Table:
         return np.fromiter(map(self.number.__getitem__, values), np.int64, len(values))
 
 
+    def _keep(self, values: list[int]) -> None:
+        own = np.fromiter(map(self.number.__getitem__, values), np.int64, len(values))
+        starts, self.counts = self.starts[own], self.counts[own]
+        upto = np.cumsum(self.counts)
+        self.starts = upto - self.counts
+        at = np.repeat(starts - self.starts, self.counts)
+        self.ids = self.ids[at + np.arange(len(at))]
+        self.number = {value: number for number, value in enumerate(values)}
+
+
+@functools.cache
+def worker_table(path: str) -> Table:
+    """The table of a tokenizer that the tasks of a Python worker share, one after the other."""
+    return Table()
+
+
 def encode(texts: list[str], path: str, table: Table | None = None) -> Iterator[np.ndarray]:
     """The ids of each text, as `tokenizers` gives them without special tokens added.
 

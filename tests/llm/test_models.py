@@ -328,3 +328,18 @@ def test_toxicity_of_odd_rows(spark, odd, docs):
     one = spark.createDataFrame([(0, 1), (1, 0), (1, 0), (None, 1), (3, None)], "doc_id long, toxic int")
     assert toxicity.toxicity(odd, one).count() == odd.count()
     assert toxicity.toxicity(docs([]), one).count() == 0
+
+
+def test_a_full_table_keeps_the_segments_at_hand(monkeypatch):
+    """What the texts at hand share with earlier ones is not encoded again, and ids stay right."""
+    monkeypatch.setattr(tokens, "TABLE_SEGMENTS", 40)
+    encoded = []
+    whole = tokens._encode_segments
+    monkeypatch.setattr(tokens, "_encode_segments", lambda new, path: encoded.extend(new) or whole(new, path))
+    tokenizer, table = tokens._tokenizer(TOKENIZER), tokens.Table()
+    common = "".join(f" common{i}" for i in range(30))
+    for n in range(8):
+        texts = [common + "".join(f" own{n}x{i}" for i in range(20)), "", f"é {n}" + common]
+        for text, ids in zip(texts, tokens.encode(texts, TOKENIZER, table)):
+            assert ids.tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoded.count(b" common7") == 1 and len(table.number) < 100
