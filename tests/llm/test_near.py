@@ -228,3 +228,18 @@ def test_shuffles_of_lines_leave_the_disk(spark, docs):
     assert materialise_alone(lines, "lines").count() == 1000
     assert jvm.getAllFiles().size() <= before + 8
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_pairs_in_shares(spark):
+    """More pairs than lines: each is looked at once, whichever share it is in."""
+    lines = [f"the same words in all of these lines but for the last one {i:x}" for i in range(12)]
+    lines += [f"{i} " * 20 for i in range(100, 112)]
+    texts = spark.createDataFrame(list(enumerate(lines)), "place int, line string")
+    every = [(a, b) for a in range(24) for b in range(a + 1, 24)]
+    found = line_dedup._verified(spark.createDataFrame(every, "a int, b int"), texts, 0.9)
+    got = sorted(map(tuple, found.collect()))
+    assert got == [
+        (a, b) for a, b in every
+        if brute.edit_distance(lines[a], lines[b]) <= 0.1 * max(len(lines[a]), len(lines[b]))
+    ]
+    assert len(got) >= 66 and len(found.inputFiles()) >= 2
