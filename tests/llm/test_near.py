@@ -243,3 +243,12 @@ def test_pairs_in_shares(spark):
         if brute.edit_distance(lines[a], lines[b]) <= 0.1 * max(len(lines[a]), len(lines[b]))
     ]
     assert len(got) >= 66 and len(found.inputFiles()) >= 2
+
+
+def test_counters_of_any_width_give_the_same_bits(spark):
+    rng = random.Random(8)
+    rows = [([rng.getrandbits(64) - (1 << 63) for _ in range(n)],) for n in (1, 2, 7, 100, 255)]
+    df = spark.createDataFrame(rows, "h array<bigint>")
+    for h, *bits in df.selectExpr("h", *[line_dedup._majority("h", lane) for lane in (9, 21, 63)]).collect():
+        set_ = [2 * sum(x >> k & 1 for x in h) > len(h) for k in range(63)]
+        assert bits == [sum(1 << k for k in range(63) if set_[k])] * 3
