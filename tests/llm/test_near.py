@@ -218,6 +218,63 @@ def test_pieces_that_are_absent_bound_the_edits(spark):
     assert sum(r.absent > 0 for r in rows) > 100
 
 
+def edited(rng, alphabet):
+    """A line and what some random edits make of it."""
+    line = "".join(rng.choices(alphabet, k=rng.randint(1, 400)))
+    copy = list(line)
+    for _ in range(rng.randint(0, 12)):
+        at = rng.randint(0, len(copy))
+        copy[at : at + rng.randint(0, 1)] = rng.choices(alphabet, k=rng.randint(0, 2))
+    return line, "".join(copy)
+
+
+def test_letters_and_words_bound_the_edits(spark):
+    """Counts of letters never ask for more edits than there are, words in their order never for fewer."""
+    rng = random.Random(12)
+    pairs = [edited(rng, alphabet) for alphabet in ("etaoinsrhldc xé𝒳", "ab ", "e") for _ in range(40)]
+    pairs += [("e" * 3000, "t" * 3000), ("an apple", "a lot of pears and plums"), ("x", "")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    low, high = line_dedup._letters("a")
+    df = df.select("a", "b", low.alias("al"), high.alias("ah"), *line_dedup._letters("b"))
+    surplus = f"{line_dedup._surplus('al', 'low')} + {line_dedup._surplus('ah', 'high')}"
+    back = f"{line_dedup._surplus('low', 'al')} + {line_dedup._surplus('high', 'ah')}"
+    found = df.selectExpr("a", "b", f"greatest({surplus}, {back}) AS least", f"{line_dedup._aligned('a', 'b')} AS most")
+    rows = [(r.least, brute.edit_distance(r.a, r.b), r.most) for r in found.collect() if len(r.a) < 3000]
+    assert all(least <= edits <= most for least, edits, most in rows)
+    assert sum(least > 0 for least, _, _ in rows) > 40 and sum(edits == most > 0 for _, edits, most in rows) > 10
+    assert found.filter("length(a) = 3000").first().least == 255
+
+
+def test_lines_of_different_groups_are_compared_once(spark, docs, monkeypatch):
+    """A few lines first, then the others: together all pairs of different groups, none twice."""
+    monkeypatch.setattr(line_dedup, "SOME", 3)
+    rng = random.Random(13)
+    base = [f"word{i}" for i in range(60)]
+    texts = []
+    for i in range(24):
+        copy = list(base)
+        copy[rng.randrange(60)] = f"other{i}"
+        texts.append(" ".join(copy))
+    texts += [f"alone {rng.getrandbits(90):x} and {rng.getrandbits(90):x}" for _ in range(5)]
+    near = line_dedup._near_lines(line_dedup._marked(line_dedup._lines(docs(texts))), 0.9).persist()
+    places = sorted(r.place for r in near.select("place").collect())
+    assert len(places) == 24
+    groups = spark.createDataFrame(
+        [(p, places[at // 8 * 8]) for at, p in enumerate(places[:20])],
+        f"node {near.schema['place'].dataType.simpleString()}, root {near.schema['place'].dataType.simpleString()}",
+    )
+    of = [at // 8 if at < 20 else at for at in range(24)]
+    pairs = [
+        tuple(sorted((places.index(r.a), places.index(r.b))))
+        for some in (True, False)
+        for r in line_dedup._apart(near, groups, 0.9, some).collect()
+    ]
+    assert len(pairs) == len(set(pairs))
+    assert all(of[a] != of[b] for a, b in pairs)
+    every = {(a, b) for a in range(24) for b in range(a + 1, 24) if of[a] != of[b]}
+    assert len(pairs) >= 0.9 * len(every)  # those that share a block
+
+
 def test_shuffles_of_lines_leave_the_disk(spark, docs):
     """What made the blocks of lines is not kept beside them until the query ends."""
     jvm = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
