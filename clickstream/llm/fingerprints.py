@@ -43,9 +43,7 @@ def _packed(piece: Column) -> Column:
     ).otherwise(F.array(piece))
     return F.transform(
         grams,
-        lambda gram, place: F.xxhash64(gram)
-        .bitwiseAND(F.lit(~PLACE))
-        .bitwiseOR((F.lit(PLACE) - place).cast("long")),
+        lambda gram, place: F.xxhash64(gram).bitwiseOR(F.lit(PLACE)) - place,
     )
 
 
@@ -123,10 +121,15 @@ def _within(found: Column, length: Column) -> Column:
             .otherwise(before["position"] + WINDOW)
         )
 
+    def ends(last: Column) -> Callable[[Column, Column], Column]:
+        # That window ends less than a window behind the hash, and not before it: few are so near
+        # to the last gram that it must be found.
+        return lambda entry, i: F.when(entry["position"] <= last - WINDOW, True).otherwise(
+            (entry["position"] <= last) & (end(entry, i) <= last)
+        )
+
     # The last gram's position is computed once, not for each entry.
-    return _let(
-        length - GRAM, lambda last: F.filter(found, lambda entry, i: end(entry, i) <= last)
-    )
+    return _let(length - GRAM, lambda last: F.filter(found, ends(last)))
 
 
 def spliced(

@@ -83,6 +83,18 @@ def test_positions_and_ties(spark, corpus, size):
     assert [[(e.position, e.hash) for e in r[0]] for r in rows] == [winnowed(long), winnowed(tied)]
 
 
+def test_what_full_windows_within_a_length_keep(spark, corpus):
+    """At every length, those at which a window or a gram begins or ends among them."""
+    long = max(corpus, key=len)[:260]
+    rows = [(text, n) for text in (long, "abcabcabd" * 29, "a" * 260) for n in range(len(text) + 1)]
+    df = spark.createDataFrame(rows, "text string, n int").withColumn("found", fp.winnowed(F.col("text")))
+    found = df.select("text", "n", fp._within(F.col("found"), F.col("n")).alias("kept")).collect()
+    for r in found:
+        full = r.n >= fp.GRAM + fp.WINDOW - 1
+        assert [(e.position, e.hash) for e in r.kept] == (winnowed(r.text[: r.n]) if full else [])
+    assert len(found) > 700
+
+
 def test_against_plain_rewrite(spark, docs, corpus):
     rows = list(enumerate(TEXTS + corpus))
     assert got(docs(rows)) == Counter(expected(rows))
