@@ -275,6 +275,31 @@ def test_lines_of_different_groups_are_compared_once(spark, docs, monkeypatch):
     assert len(pairs) >= 0.9 * len(every)  # those that share a block
 
 
+def test_lines_that_share_a_passage_are_no_pairs_unless_near(spark, docs):
+    """Of lines with one long passage only those become pairs that reach the edit similarity, once each."""
+    rng = random.Random(14)
+    passage = " ".join(f"word{i}" for i in range(40))
+    heads = [" ".join(f"{rng.getrandbits(28):07x}" for _ in range(10)) for _ in range(30)]
+    heads += [head.replace(" ", " x", 1) for head in heads[:5]]
+    texts = [f"{head} {passage}" for head in heads]
+    near = line_dedup._near_lines(line_dedup._marked(line_dedup._lines(docs(texts))), 0.9)
+    places = sorted(r.place for r in near.select("place").collect())
+    assert len(places) == 35
+    # That the passage alone links all of them is what the blocks say, not the edits.
+    kind = near.schema["place"].dataType.simpleString()
+    groups = spark.createDataFrame([], f"node {kind}, root {kind}")
+    pairs = [
+        tuple(sorted((places.index(r.a), places.index(r.b))))
+        for some in (True, False)
+        for r in line_dedup._apart(near, groups, 0.9, some).collect()
+    ]
+    assert sorted(pairs) == [
+        (a, b) for a in range(35) for b in range(a + 1, 35)
+        if brute.edit_distance(texts[a], texts[b]) <= 0.1 * max(len(texts[a]), len(texts[b]))
+    ]
+    assert len(pairs) == 5
+
+
 def test_shuffles_of_lines_leave_the_disk(spark, docs):
     """What made the blocks of lines is not kept beside them until the query ends."""
     jvm = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
