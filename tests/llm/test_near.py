@@ -218,6 +218,22 @@ def test_pieces_that_are_absent_bound_the_edits(spark):
     assert sum(r.absent > 0 for r in rows) > 100
 
 
+def test_hashes_of_pieces_bound_the_edits_and_tell_unrelated_lines(spark):
+    """What a line's pieces and grams are is known before it is compared: hashes that a pair reads."""
+    rng = random.Random(15)
+    pairs = [edited(rng, alphabet) for alphabet in ("bcdfgé𝒳 ", "etaoin bcd", "ab ", "e") for _ in range(40)]
+    words = ["".join(rng.choices("abcdefghilmnoprstuy", k=rng.randint(2, 9))) for _ in range(2000)]
+    shared = " ".join(rng.choices(words, k=3))
+    unrelated = [f"{shared} {' '.join(rng.choices(words, k=rng.randint(30, 150)))}" for _ in range(80)]
+    rows = [(i, a, b) for i, (a, b) in enumerate([*pairs, *zip(unrelated[::2], unrelated[1::2])])]
+    hashes = [line_dedup._short(line_dedup._pieces("a"), "p"), line_dedup._short(line_dedup._grams("b"), "g")]
+    df = spark.createDataFrame(rows, "i int, a string, b string").select("*", *hashes)
+    found = [tuple(r) for r in df.selectExpr("i", "a", "b", "size(array_except(p, g))").collect()]
+    near = [(n, brute.edit_distance(a, b)) for i, a, b, n in found if i < len(pairs)]
+    assert all(least <= edits for least, edits in near) and sum(least > 0 for least, _ in near) > 40
+    assert all(n > 0.1 * min(len(a), len(b)) for i, a, b, n in found if i >= len(pairs))
+
+
 def edited(rng, alphabet):
     """A line and what some random edits make of it."""
     line = "".join(rng.choices(alphabet, k=rng.randint(1, 400)))
